@@ -48,7 +48,9 @@ def version_counts(versions: DataFrame, runs: DataFrame, counts: DataFrame) -> D
     A version whose run is unreadable has none.
     """
     readable = with_counts(runs.select("run_id"), counts)
-    looked = outer_lookup(versions.select("model_name", "version", "run_id"), readable, "run_id")
+    looked = outer_lookup(
+        versions.select("model_name", "version", "run_id"), readable, ["run_id"], ["model_name", "version"]
+    )
     return looked.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in COUNTS})
 
 

@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# NULL keys are dealt over this many values, so that they do not share one task.
+# Starts a key that no id can have.
+NO_KEY = "\0"
+
+# Rows without a key are dealt over this many values of a second key.
 SPREAD = 1024
 
 
-def outer_lookup(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left outer join; rows without a key bypass the shuffle.
+def outer_lookup(left: DataFrame, right: DataFrame, keys: list[str], row: list[str]) -> DataFrame:
+    """Left outer join whose first key is absent in many rows of ``left``.
 
-    A third of all rows may have no key, and a plain join would send every one
-    of them to the same task.
+    Up to a third of all rows may have no key, and a plain join would send every
+    one of them to the same task. Here such a row gets a key of its own, made
+    from the columns ``row`` that identify it, which matches nothing. Text keys
+    keep the partitioning ``right`` already has.
     """
-    keyed = left.where(F.col(key).isNotNull()).join(right, key, "left")
-    keyless = left.where(F.col(key).isNull())
-    return keyed.unionByName(keyless, allowMissingColumns=True)
+    first, rest = keys[0], keys[1:]
+    own = F.concat(F.lit(NO_KEY), F.xxhash64(*row).cast("string"))
+    placed = left.withColumn("_key", F.coalesce(F.col(first).cast("string"), own))
+    found = right.withColumn("_key", F.col(first).cast("string")).drop(first)
+    return placed.join(found, ["_key", *rest], "left").drop("_key")
 
 
 def spread_absent(key: Column, *row: Column) -> Column:

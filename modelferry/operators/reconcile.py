@@ -57,8 +57,13 @@ def reconcile(
         F.col("run_id").alias("target_run_id"), F.lit(True).alias("has_target"),
     )
     paired = versions.join(arrived, ["target_model", "source_model_version"], "left")
-    with_source = outer_lookup(paired, _readable(source.runs, source_counts, "source"), "source_run_id")
-    both = outer_lookup(with_source, _readable(target.runs, target_counts, "target"), "target_run_id")
+    version = ["model_name", "version"]
+    with_source = outer_lookup(
+        paired, _readable(source.runs, source_counts, "source"), ["source_run_id"], version
+    )
+    both = outer_lookup(
+        with_source, _readable(target.runs, target_counts, "target"), ["target_run_id"], version
+    )
     has_target = F.col("has_target").isNotNull()
     source_run, target_run = F.col("source_run").isNotNull(), F.col("target_run").isNotNull()
 
@@ -107,7 +112,9 @@ def target_rollup(target: Snapshot, counts: DataFrame, host: str, target_host: s
     """
     made = tagged_versions(target.versions).where(F.col("source_host") == normal_host(host))
     runs = with_counts(target.runs.select("run_id", "experiment_id"), counts)
-    looked = outer_lookup(made.select("model_name", "run_id"), runs, "run_id")
+    looked = outer_lookup(
+        made.select("model_name", "version", "run_id"), runs, ["run_id"], ["model_name", "version"]
+    )
     pairs = looked.groupBy("model_name", "experiment_id").agg(
         F.count(F.lit(1)).alias("versions"), *[F.sum(c).alias(c) for c in COUNTS]
     )

@@ -17,7 +17,9 @@ def version_states(versions: DataFrame, runs: DataFrame) -> DataFrame:
 
     A version without run_id counts as ready; one whose run is gone is blocked.
     """
-    looked = outer_lookup(versions, runs.withColumn("_found", F.lit(True)), "run_id")
+    looked = outer_lookup(
+        versions, runs.withColumn("_found", F.lit(True)), ["run_id"], ["model_name", "version"]
+    )
     state = (
         F.when(F.col("run_id").isNull(), NO_RUN)
         .when(F.col("_found"), READY)

@@ -22,6 +22,12 @@ TAG_VERSION = "source_model_version"
 TAG_RUN_NAME = "mlflow.runName"
 REASON_LENGTH = 120
 
+# Columns of the migration summary.
+SUMMARY = (
+    "migrated_models", "migrated_model_versions", "migrated_experiments", "migrated_runs",
+    "distinct_runs",
+)
+
 
 # -- what is new ------------------------------------------------------------
 
@@ -285,7 +291,8 @@ def judged_versions(
         "run_id", "target_run_id", "target_artifact_uri", "target_name",
         F.col("experiment_id").alias("_experiment"), F.lit(True).alias("_found"),
     )
-    looked = outer_lookup(versions, runs, "run_id").withColumn(
+    version = ["model_name", "version"]
+    looked = outer_lookup(versions, runs, ["run_id"], version).withColumn(
         "model_path", model_artifact_path(F.col("source_uri"))
     )
     folders = looked.where(F.col("target_run_id").isNotNull()).select(
@@ -305,9 +312,7 @@ def judged_versions(
     files = in_source.unionByName(in_target).groupBy("run_id", "model_path").agg(
         F.max("_there").alias("on_target"), F.lit(True).alias("_files")
     )
-    keyed = looked.where(F.col("run_id").isNotNull()).join(files, ["run_id", "model_path"], "left")
-    keyless = looked.where(F.col("run_id").isNull())
-    return keyed.unionByName(keyless, allowMissingColumns=True).withColumns({
+    return outer_lookup(looked, files, ["run_id", "model_path"], version).withColumns({
         "reason": F.left(_reason(), F.lit(REASON_LENGTH)),
         "on_target": F.coalesce(F.col("on_target"), F.lit(False)),
     }).drop("_found", "_files", "_experiment")

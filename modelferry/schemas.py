@@ -12,8 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 
+_TYPES = {"string": "string", "int": "integer", "bigint": "long", "double": "double", "timestamp": "timestamp"}
+
+
 def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+    """Schema of 'name type, ...'; needs no session, so tasks may import this module."""
+    schema = StructType()
+    for field in text.split(","):
+        name, kind = field.split()
+        schema.add(name, _TYPES[kind])
+    return schema
 
 
 # Provenance columns (source_host and source_*) are NULL in a source registry
@@ -62,6 +70,9 @@ TRACKING = _ddl(
     "target_experiment_urls string, last_updated_at timestamp"
 )
 
+# Position of the last outcome event applied to a tracking row, kept beside it.
+POSITION = _ddl("event_ms bigint, event_id bigint")
+
 TRACKING_KEYS = ("source_host", "model_name")
 
 # Written by target outcomes only.
