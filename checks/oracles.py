@@ -482,29 +482,98 @@ QUERIES: dict[str, str] = {
 }
 QUERIES["migrate_all"] = QUERIES["migration_summary"]
 
+# A resumed migration: only waiting models, and the target as it is afterwards.
+RESUMED: dict[str, str] = {}
+RESUMED["scope_versions"] = """
+  SELECT * FROM src_versions WHERE position('.' IN model_name) = 0
+    AND trim(model_name) IN (SELECT trim(model_name) FROM waiting)
+"""
+RESUMED["after_versions"] = """
+  SELECT model_name, CAST(run_id AS VARCHAR) AS run_id FROM made_versions WHERE source_model_version <> ''
+  UNION ALL SELECT target_model, target_run_id FROM created
+"""
+RESUMED["after_runs"] = """
+  SELECT CAST(run_id AS VARCHAR) AS run_id, CAST(experiment_id AS VARCHAR) AS experiment_id FROM made_runs
+  UNION ALL SELECT target_run_id, target_experiment_id FROM fresh
+"""
+RESUMED["after_counts"] = """
+  SELECT run_id, sum(p) AS params, sum(m) AS metrics, count(DISTINCT child) AS files FROM (
+    SELECT CAST(run_id AS VARCHAR) AS run_id, 1 AS p, 0 AS m, NULL AS child FROM tgt_run_params
+    UNION ALL SELECT f.target_run_id, 1, 0, NULL FROM run_params q JOIN fresh f ON f.run_id = q.run_id
+    UNION ALL SELECT CAST(run_id AS VARCHAR), 0, 1, NULL FROM tgt_run_metrics
+    UNION ALL SELECT f.target_run_id, 0, 1, NULL FROM run_metrics q JOIN fresh f ON f.run_id = q.run_id
+    UNION ALL SELECT CAST(run_id AS VARCHAR), 0, 0, split_part(path, '/', 2) FROM tgt_run_artifacts WHERE path LIKE 'model/_%'
+    UNION ALL SELECT target_run_id, 0, 0, split_part(path, '/', 2) FROM all_files WHERE path LIKE 'model/_%') q
+  GROUP BY run_id
+"""
+RESUMED["after_rollup"] = f"""
+  SELECT v.model_name, count(*) AS versions,
+         coalesce(sum(CASE WHEN r.run_id IS NOT NULL THEN coalesce(c.params, 0) END), 0) AS params,
+         coalesce(sum(CASE WHEN r.run_id IS NOT NULL THEN coalesce(c.metrics, 0) END), 0) AS metrics,
+         coalesce(sum(CASE WHEN r.run_id IS NOT NULL THEN coalesce(c.files, 0) END), 0) AS files,
+         string_agg(DISTINCT '{THOST}/ml/experiments/' || r.experiment_id, ' | '
+                    ORDER BY '{THOST}/ml/experiments/' || r.experiment_id) AS urls
+  FROM after_versions v LEFT JOIN after_runs r ON r.run_id = v.run_id LEFT JOIN after_counts c ON c.run_id = v.run_id
+  GROUP BY v.model_name
+"""
+RESUMED["after_models"] = """
+  SELECT m.model_name FROM models m WHERE position('.' IN model_name) = 0
+    AND trim(model_name) IN (SELECT trim(model_name) FROM waiting)
+"""
+QUERIES["migrate_pending"] = f"""
+  SELECT t.source_host, t.model_name, t.readiness, t.source_versions, t.source_versions_migratable,
+         CASE WHEN m.model_name IS NULL THEN t.target_versions ELSE CAST(coalesce(r.versions, 0) AS INT) END AS target_versions,
+         CASE WHEN m.model_name IS NULL THEN t.migration_status
+              WHEN coalesce(r.versions, 0) >= t.source_versions_migratable AND t.source_versions_migratable > 0 THEN 'COMPLETED'
+              WHEN r.versions > 0 THEN 'PARTIAL' WHEN f.failed > 0 THEN 'FAILED' ELSE 'SKIPPED' END AS migration_status,
+         CASE WHEN m.model_name IS NULL THEN t.migration_comments ELSE f.comments END AS migration_comments,
+         CASE WHEN m.model_name IS NOT NULL THEN CAST(coalesce(c.n, 0) AS INT) END AS target_runs,
+         CASE WHEN m.model_name IS NOT NULL THEN CAST(coalesce(r.params, 0) AS INT) END AS target_params,
+         CASE WHEN m.model_name IS NOT NULL THEN CAST(coalesce(r.metrics, 0) AS INT) END AS target_metrics,
+         CASE WHEN m.model_name IS NOT NULL THEN CAST(coalesce(r.files, 0) AS INT) END AS target_artifacts,
+         CASE WHEN m.model_name IS NOT NULL THEN r.urls END AS target_experiment_urls
+  FROM tracking_prev t
+  LEFT JOIN after_models m ON m.model_name = t.model_name AND t.source_host = '{SOURCE_HOST}'
+  LEFT JOIN after_rollup r ON r.model_name = concat('mig_', m.model_name)
+  LEFT JOIN fail_comments f ON f.model_name = m.model_name
+  LEFT JOIN (SELECT model_name, count(*) AS n FROM created GROUP BY 1) c ON c.model_name = m.model_name
+"""
 
-def _needed(text: str) -> list[str]:
-    """Views and parts a query is made from, in order of definition."""
-    known = {**VIEWS, **PARTS}
-    needed: set[str] = set()
-    todo = [text]
-    while todo:
-        words = set(re.findall(r"\w+", todo.pop()))
+
+def with_views(text: str, parts: dict[str, str]) -> str:
+    """The query with the views and parts it is made from in front."""
+    known = {**VIEWS, **PARTS, **parts}
+    reach, seen = {text}, set()
+    while reach:
+        words = set(re.findall(r"\w+", reach.pop()))
         for name in known:
-            if name in words and name not in needed:
-                needed.add(name)
-                todo.append(known[name])
-    return [n for n in known if n in needed]
+            if name in words and name not in seen:
+                seen.add(name)
+                reach.add(known[name])
+    ordered = _in_order([n for n in known if n in seen], known)
+    views = ",\n".join(f"{n} AS ({known[n]})" for n in ordered)
+    return f"WITH {views}\n{text}" if ordered else text
+
+
+def _in_order(names: list[str], known: dict[str, str]) -> list[str]:
+    """Each after those it is made from."""
+    placed: list[str] = []
 
+    def place(name: str) -> None:
+        if name not in placed:
+            words = set(re.findall(r"\w+", known[name]))
+            for other in names:
+                if other != name and other in words:
+                    place(other)
+            placed.append(name)
 
-def with_views(text: str, parts: dict[str, str] | None = None) -> str:
-    """The query with all its views in front."""
-    known = {**VIEWS, **PARTS, **(parts or {})}
-    needed = _needed(text)
-    if not needed:
-        return text
-    return "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in needed) + "\n" + text
+    for name in names:
+        place(name)
+    return placed
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: with_views(text) for name, text in QUERIES.items()}
+    return {
+        name: with_views(text, RESUMED if name == "migrate_pending" else {})
+        for name, text in QUERIES.items()
+    }
