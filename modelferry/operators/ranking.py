@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VERSIONS_PER_SEGMENT = 4096
-SAMPLED_SEGMENTS = 256
+SAMPLE_LEVELS = 8
 
 # Up to this cap Spark cuts the groups inside the map tasks (WindowGroupLimit),
 # so that few rows of a group are left when it reaches its task.
@@ -30,17 +30,24 @@ def version_segments(df: DataFrame, newest_first: bool = False) -> DataFrame:
     return df.withColumn(_SEGMENT, -place if newest_first else place)
 
 
-def sampled_segments(df: DataFrame, order: list[Column], pieces: int = SAMPLED_SEGMENTS) -> DataFrame:
-    """Add the segment of any order: the place among ``pieces`` sampled split points.
+def sampled_segments(df: DataFrame, order: list[Column], levels: int = SAMPLE_LEVELS) -> DataFrame:
+    """Add the segment of any order: the place among ``2**levels - 1`` sampled split points.
 
     The split points are the rows with the smallest hashes, so they are the same
-    in every attempt, and they arrive as one array of bounded size.
+    in every attempt, and they arrive as one array of bounded size. The place is
+    found by halving, one comparison to a level.
     """
-    key = F.struct(*order)
-    sample = df.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(pieces)
+    key = F.struct(*order) if len(order) > 1 else order[0]
+    sample = df.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(2**levels - 1)
     splits = sample.agg(F.array_sort(F.collect_list("_key"))).scalar()
-    place = F.size(F.filter(F.col("_splits"), lambda split: split <= key))
-    return df.withColumn("_splits", splits).withColumn(_SEGMENT, place).drop("_splits")
+    placed = df.withColumns({"_splits": splits, "_key": key, _SEGMENT: F.lit(0)})
+    for level in reversed(range(levels)):
+        step = 2**level
+        split = F.get("_splits", F.col(_SEGMENT) + F.lit(step - 1))
+        placed = placed.withColumn(
+            _SEGMENT, F.col(_SEGMENT) + F.when(split <= F.col("_key"), step).otherwise(0)
+        )
+    return placed.drop("_splits", "_key")
 
 
 def segmented_row_number(

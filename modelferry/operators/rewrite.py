@@ -296,20 +296,18 @@ def judged_versions(
         "model_path", model_artifact_path(F.col("source_uri"))
     )
     folders = looked.where(F.col("target_run_id").isNotNull()).select(
-        "run_id", "target_run_id", "model_path"
+        "run_id", "model_path"
     ).distinct()
-    path, folder = F.col("path"), F.col("model_path")
-    below = path.startswith(F.concat(folder, F.lit("/")))
-    in_source = (
-        folders.join(source_artifacts.select("run_id", "path"), "run_id")
-        .where(below | (path == folder)).select("run_id", "model_path", F.lit(False).alias("_there"))
-    )
+    places = mapped.where(~F.col("is_new")).select("run_id", "target_run_id")
     there = target_artifacts.select(F.col("run_id").cast("string").alias("target_run_id"), "path")
-    in_target = (
-        folders.join(there, "target_run_id").where(below)
-        .select("run_id", "model_path", F.lit(True).alias("_there"))
+    listed = source_artifacts.select("run_id", "path", F.lit(False).alias("_there")).unionByName(
+        there.join(places, "target_run_id").select("run_id", "path", F.lit(True).alias("_there"))
     )
-    files = in_source.unionByName(in_target).groupBy("run_id", "model_path").agg(
+    path, folder = F.col("path"), F.col("model_path")
+    below = path.startswith(F.concat(folder, F.lit("/")))
+    files = folders.join(listed, "run_id").where(
+        below | ((path == folder) & ~F.col("_there"))
+    ).groupBy("run_id", "model_path").agg(
         F.max("_there").alias("on_target"), F.lit(True).alias("_files")
     )
     return outer_lookup(looked, files, ["run_id", "model_path"], version).withColumns({

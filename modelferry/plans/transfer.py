@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -28,36 +29,44 @@ from modelferry.sources.tracking_store import TrackingStore
 
 @dataclass(frozen=True)
 class Transfer:
-    """What one migration deals with; all lazy.
+    """What one migration deals with.
 
-    ``versions`` are those to clone, ``mapping`` and ``mapped`` say where their
-    experiments and runs go.
+    ``mapping`` and ``mapped`` say where experiments and runs go; ``judged`` are
+    the versions to clone with target run, model path and failure reason.
     """
 
     source: Snapshot
     target: Snapshot
     options: Options
     found: Discovery
-    versions: DataFrame
     mapping: DataFrame
     mapped: DataFrame
+    judged: DataFrame
 
-    def judged(self) -> DataFrame:
-        """Versions with target run, model path and failure reason."""
-        return rw.judged_versions(
-            self.versions, self.mapped, self.source.run_artifacts, self.target.run_artifacts
-        )
-
-    def manifest(self, judged: DataFrame) -> DataFrame:
-        """Files to copy for the judged versions and the new runs."""
+    def manifest(self) -> DataFrame:
+        """Files to copy for the versions and the new runs."""
         return artifact_manifest(
-            judged, self.mapped, self.source.run_artifacts, self.target.run_artifacts,
+            self.judged, self.mapped, self.source.run_artifacts, self.target.run_artifacts,
             self.options.download_artifacts, self.options.include_run_artifacts,
         )
 
 
-def plan_transfer(source: Snapshot, target: Snapshot, options: Options) -> Transfer:
-    """Decide what is new, where it goes, and what cannot be created."""
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def lazily(df: DataFrame, name: str) -> DataFrame:
+    """No staging: everything stays one plan."""
+    return df
+
+
+def plan_transfer(
+    source: Snapshot, target: Snapshot, options: Options, stage: Stage = lazily
+) -> Transfer:
+    """Decide what is new, where it goes, and what cannot be created.
+
+    ``stage`` gets the results that feed many tables; :func:`written` puts them
+    into the shared folder, so that they are worked out once.
+    """
     found = discover(source, options)
     versions = rw.new_versions(
         found.versions, target.versions, source.host, options.model_prefix,
@@ -65,6 +74,7 @@ def plan_transfer(source: Snapshot, target: Snapshot, options: Options) -> Trans
     )
     if not options.migrate_models:
         versions = scope.nothing(versions)
+    versions = stage(versions, "to-clone")
     experiments = found.experiments
     if not options.migrate_experiments:
         # Only the experiments that versions need are made, on demand.
@@ -79,7 +89,9 @@ def plan_transfer(source: Snapshot, target: Snapshot, options: Options) -> Trans
     mapped = rw.placed_artifacts(
         rw.run_map(candidates, mapping, target.runs, source.host), options.artifact_root
     )
-    return Transfer(source, target, options, found, versions, mapping, mapped)
+    mapped = stage(mapped, "run-map")
+    judged = rw.judged_versions(versions, mapped, source.run_artifacts, target.run_artifacts)
+    return Transfer(source, target, options, found, mapping, mapped, stage(judged, "judged"))
 
 
 def with_addresses(manifest: DataFrame, mapped: DataFrame, source: Snapshot) -> DataFrame:
@@ -124,15 +136,10 @@ def run_transfer(
 ) -> Outcome:
     """Copy the files, write all records as one commit, and sum up.
 
-    The decisions (run map, judged versions, manifest) feed many tables, so
-    they are written to the shared folder once and read from there. With
-    ``copy_files`` off the manifest is recorded as if it had been copied.
+    With ``copy_files`` off the manifest is recorded as if it had been copied.
     """
-    plan = plan_transfer(source, target, options)
-    plan = replace(plan, mapped=written(plan.mapped, "run-map"))
-    mapped = plan.mapped
-    judged = written(plan.judged(), "versions")
-    manifest = plan.manifest(judged)
+    plan = plan_transfer(source, target, options, written)
+    mapped, judged, manifest = plan.mapped, plan.judged, plan.manifest()
     if copy_files:
         copied = written(
             copy_artifacts(with_addresses(manifest, mapped, source), options.copy_tasks), "copied"
