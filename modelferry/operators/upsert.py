@@ -28,7 +28,8 @@ def merge_inventory(
     """Upsert by (source_host, model_name).
 
     Known models get the source columns, new ones the whole row; the target
-    side, the status and rows of other hosts stay as they are.
+    side, the status, columns that ``staged`` lacks, and rows of other hosts stay
+    as they are.
     """
     keys = list(TRACKING_KEYS)
     now = F.current_timestamp() if now is None else now
@@ -40,7 +41,10 @@ def merge_inventory(
     def value(name: str) -> Column:
         if name in keys:
             return F.col(name)
-        kept, staged_value = F.col(f"old.{name}"), F.col(f"new.{name}")
+        kept = F.col(f"old.{name}")
+        if name not in staged.columns:
+            return kept.alias(name)
+        staged_value = F.col(f"new.{name}")
         if name == _STAMP:
             return F.when(is_new, now).otherwise(kept).alias(name)
         if name in source_columns:

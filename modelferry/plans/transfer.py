@@ -115,8 +115,12 @@ def fail_uncopied(judged: DataFrame, copied: DataFrame) -> DataFrame:
     broken = hit.join(lost, "run_id").where(
         path.startswith(F.concat(folder, F.lit("/"))) | (path == folder)
     ).groupBy("run_id", "model_path").agg(F.min("_error").alias("_error"))
+    failed = F.concat(
+        F.lit("Model artifacts of run "), F.col("run_id").cast("string"),
+        F.lit(" cannot be copied: "), F.col("_error"),
+    )
     return outer_lookup(judged, broken, ["run_id", "model_path"], ["model_name", "version"]).withColumn(
-        "reason", F.coalesce(F.col("reason"), F.left(F.col("_error"), F.lit(rw.REASON_LENGTH)))
+        "reason", F.coalesce(F.col("reason"), F.left(failed, F.lit(rw.REASON_LENGTH)))
     ).drop("_error")
 
 

@@ -13,8 +13,8 @@ REQUIRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Joins whose partitions turn out this small are hashed instead of sorted.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Groups a task gathers texts for by hash before it sorts instead.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
