@@ -74,6 +74,14 @@ def parent_path(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, "^(.*)/[^/]*$", 1), F.lit(""))
 
 
+def folders_above(path: Column, with_itself: bool) -> Column:
+    """'a/b/c' -> ['a', 'a/b'], and the path itself if asked for."""
+    parts = F.split(path, "/")
+    last = F.size(parts) if with_itself else F.size(parts) - 1
+    depths = F.when(last > 0, F.sequence(F.lit(1), last))
+    return F.transform(depths, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+
+
 def is_reserved_tag(key: Column) -> Column:
     """Keys the tracking server keeps for itself."""
     return key.startswith(RESERVED_TAG_PREFIX)

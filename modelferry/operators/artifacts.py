@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from modelferry.functions.names import parent_path
+from modelferry.functions.names import folders_above, parent_path
 from modelferry.functions.text import strip_space
 
 
+def in_folders(files: DataFrame, folders: DataFrame, with_itself: bool = True) -> DataFrame:
+    """Files with each of the (run_id, model_path) folders they lie in.
+
+    Each file is laid out by the folders above it and these are looked up, so
+    files and folders of a large run never meet as pairs. A folder may also be
+    the file itself.
+    """
+    laid = files.withColumn("model_path", F.explode(folders_above(F.col("path"), with_itself)))
+    return laid.join(folders, ["run_id", "model_path"])
+
+
 def artifact_manifest(
     judged: DataFrame, mapped: DataFrame, source_artifacts: DataFrame, target_artifacts: DataFrame,
     download_artifacts: bool = True, include_run_artifacts: bool = True,
@@ -23,10 +34,7 @@ def artifact_manifest(
     folders = judged.where(F.col("reason").isNull() & ~F.col("on_target")).select(
         "run_id", "target_run_id", "model_path"
     ).distinct()
-    path, folder = F.col("path"), F.col("model_path")
-    wanted = files.join(folders, "run_id").where(
-        path.startswith(F.concat(folder, F.lit("/"))) | (path == folder)
-    ).select("run_id", "target_run_id", "path", "size_bytes")
+    wanted = in_folders(files, folders).select("run_id", "target_run_id", "path", "size_bytes")
     if download_artifacts and include_run_artifacts:
         fresh = mapped.where(F.col("is_new")).select("run_id", "target_run_id")
         wanted = wanted.unionByName(

@@ -51,12 +51,14 @@ def sampled_segments(df: DataFrame, order: list[Column], levels: int = SAMPLE_LE
 
 
 def segmented_row_number(
-    cut: DataFrame, keys: list[str], order: list[Column], name: str
+    cut: DataFrame, keys: list[str], order: list[Column], name: str,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``row_number() over (partition by keys order by order)`` as ``name``.
 
     ``cut`` has a ``_segment`` that never falls while ``order`` rises. Keys must
-    not be NULL.
+    not be NULL. ``start`` (keys, start) is added to the numbers of a group; it
+    meets the counts of the segments, never the rows.
     """
     counts = cut.groupBy(*keys, _SEGMENT).agg(F.count(F.lit(1)).alias(_COUNT))
     earlier = (
@@ -66,6 +68,10 @@ def segmented_row_number(
     offsets = counts.select(
         *keys, _SEGMENT, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)).alias(_BEFORE)
     )
+    if start is not None:
+        offsets = offsets.join(start, keys, "left").withColumn(
+            _BEFORE, F.col(_BEFORE) + F.coalesce(F.col("start"), F.lit(0))
+        ).drop("start")
     inside = Window.partitionBy(*keys, _SEGMENT).orderBy(*order)
     numbered = cut.join(offsets, [*keys, _SEGMENT])
     return numbered.withColumn(
@@ -101,10 +107,8 @@ def next_versions(versions: DataFrame, model: str, taken: DataFrame) -> DataFram
 
     ``taken`` has one row by model: (model, last_version).
     """
-    ranked = segmented_row_number(
-        version_segments(versions), [model], [F.col("version")], "_rank"
+    numbered = segmented_row_number(
+        version_segments(versions), [model], [F.col("version")], "target_version",
+        taken.withColumnRenamed("last_version", "start"),
     )
-    number = F.coalesce(F.col("last_version"), F.lit(0)) + F.col("_rank")
-    return ranked.join(taken, model, "left").withColumn(
-        "target_version", number.cast("int")
-    ).drop("_rank", "last_version")
+    return numbered.withColumn("target_version", F.col("target_version").cast("int"))

@@ -30,7 +30,7 @@ def version_states(versions: DataFrame, runs: DataFrame) -> DataFrame:
 
 def _used_experiments(versions: DataFrame, runs: DataFrame) -> DataFrame:
     """Distinct experiments of the runs that versions point to."""
-    pointed = versions.where(F.col("run_id").isNotNull()).select("run_id")
+    pointed = versions.where(F.col("run_id").isNotNull()).select("run_id").distinct()
     return pointed.join(runs.select("run_id", "experiment_id"), "run_id").select(
         "experiment_id"
     ).distinct()

@@ -9,6 +9,7 @@ from modelferry.functions.names import (
     model_artifact_path, model_source_uri, normal_host, stable_id,
     target_experiment_name, target_model_name,
 )
+from modelferry.operators.artifacts import in_folders
 from modelferry.operators.joins import outer_lookup
 from modelferry.operators.ranking import next_versions
 from modelferry.operators.scope import drop_reserved_tags
@@ -88,10 +89,11 @@ def candidate_runs(listed_runs: DataFrame, all_runs: DataFrame, versions: DataFr
     """Listed runs of the experiments, and the runs of versions being cloned.
 
     The latter are fetched by id, so neither cap nor lifecycle applies to them.
+    Only ids are made distinct; the runs themselves are read once more.
     """
     pointed = versions.where(F.col("run_id").isNotNull()).select("run_id")
-    fetched = all_runs.join(pointed, "run_id", "left_semi").select(*listed_runs.columns)
-    return listed_runs.unionByName(fetched).dropDuplicates(["run_id"])
+    ids = listed_runs.select("run_id").union(pointed).distinct()
+    return all_runs.join(ids, "run_id", "left_semi").select(*listed_runs.columns)
 
 
 def run_map(
@@ -300,15 +302,16 @@ def judged_versions(
     ).distinct()
     places = mapped.where(~F.col("is_new")).select("run_id", "target_run_id")
     there = target_artifacts.select(F.col("run_id").cast("string").alias("target_run_id"), "path")
-    listed = source_artifacts.select("run_id", "path", F.lit(False).alias("_there")).unionByName(
-        there.join(places, "target_run_id").select("run_id", "path", F.lit(True).alias("_there"))
+    on_source = in_folders(source_artifacts.select("run_id", "path"), folders)
+    # In the target a folder must hold files; the same name as a file is not enough.
+    on_target = in_folders(
+        there.join(places, "target_run_id").select("run_id", "path"), folders, with_itself=False
     )
-    path, folder = F.col("path"), F.col("model_path")
-    below = path.startswith(F.concat(folder, F.lit("/")))
-    files = folders.join(listed, "run_id").where(
-        below | ((path == folder) & ~F.col("_there"))
-    ).groupBy("run_id", "model_path").agg(
-        F.max("_there").alias("on_target"), F.lit(True).alias("_files")
+    files = (
+        on_source.select("run_id", "model_path", F.lit(False).alias("_there"))
+        .unionByName(on_target.select("run_id", "model_path", F.lit(True).alias("_there")))
+        .groupBy("run_id", "model_path")
+        .agg(F.max("_there").alias("on_target"), F.lit(True).alias("_files"))
     )
     return outer_lookup(looked, files, ["run_id", "model_path"], version).withColumns({
         "reason": F.left(_reason(), F.lit(REASON_LENGTH)),

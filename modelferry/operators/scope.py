@@ -24,7 +24,7 @@ def allow_models(models: DataFrame, names) -> DataFrame:
     ``names`` is a list given by a person, or a DataFrame with ``model_name``.
     """
     if isinstance(names, DataFrame):
-        wanted = names.select(strip_space(F.col("model_name")).alias("_name"))
+        wanted = names.select(strip_space(F.col("model_name")).alias("_name")).distinct()
         return models.withColumn("_name", strip_space(F.col("model_name"))).join(
             wanted, "_name", "left_semi"
         ).select(*models.columns)

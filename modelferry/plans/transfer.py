@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from modelferry.functions.names import normal_host
 from modelferry.operators import rewrite as rw
 from modelferry.operators import scope
-from modelferry.operators.artifacts import artifact_manifest
+from modelferry.operators.artifacts import artifact_manifest, in_folders
 from modelferry.operators.counts import run_counts
 from modelferry.operators.joins import outer_lookup
 from modelferry.operators.ranking import batches
@@ -79,12 +79,13 @@ def plan_transfer(
     if not options.migrate_experiments:
         # Only the experiments that versions need are made, on demand.
         pointed = versions.where(F.col("run_id").isNotNull()).select("run_id")
-        used = source.runs.join(pointed, "run_id", "left_semi").select("experiment_id")
+        used = source.runs.join(pointed.distinct(), "run_id", "left_semi").select("experiment_id").distinct()
         experiments = source.experiments.join(used, "experiment_id", "left_semi")
     mapping = rw.experiment_map(
         experiments.select(*source.experiments.columns), target.experiments,
         options.experiment_root, options.experiment_prefix, options.create_missing_experiments,
     )
+    mapping = stage(mapping, "experiments")
     candidates = rw.candidate_runs(found.runs, source.runs, versions)
     mapped = rw.placed_artifacts(
         rw.run_map(candidates, mapping, target.runs, source.host), options.artifact_root
@@ -110,11 +111,8 @@ def fail_uncopied(judged: DataFrame, copied: DataFrame) -> DataFrame:
     ``copied`` is the manifest with ok and error. Other files may fail alone.
     """
     lost = copied.where(~F.col("ok")).select("run_id", "path", F.col("error").alias("_error"))
-    folder, path = F.col("model_path"), F.col("path")
     hit = judged.where(F.col("reason").isNull() & ~F.col("on_target")).select("run_id", "model_path").distinct()
-    broken = hit.join(lost, "run_id").where(
-        path.startswith(F.concat(folder, F.lit("/"))) | (path == folder)
-    ).groupBy("run_id", "model_path").agg(F.min("_error").alias("_error"))
+    broken = in_folders(lost, hit).groupBy("run_id", "model_path").agg(F.min("_error").alias("_error"))
     failed = F.concat(
         F.lit("Model artifacts of run "), F.col("run_id").cast("string"),
         F.lit(" cannot be copied: "), F.col("_error"),
@@ -176,7 +174,8 @@ def run_transfer(
         "models": fresh,
     }
     write_registry(records, target_path, host, commit)
-    summary = rw.migration_summary(models, plan.found.experiments, created)
+    experiments = plan.mapping if options.migrate_experiments else scope.nothing(plan.mapping)
+    summary = rw.migration_summary(models, experiments, created)
     return Outcome(summary, failures, created, copied)
 
 

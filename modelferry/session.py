@@ -12,6 +12,8 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where that costs a shuffle for what follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Groups a task gathers texts for by hash before it sorts instead.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",

@@ -28,5 +28,5 @@ def read_paged_extract(spark: SparkSession, path: str, item: StructType) -> tupl
     ahead = pages.where(F.coalesce(F.col("next_page_token"), F.lit("")) != "").select(
         "request_key", F.col("next_page_token").alias("page_token")
     ).distinct()
-    saved = pages.select("request_key", token.alias("page_token"))
+    saved = once.select("request_key", "page_token")
     return items, ahead.join(saved, ["request_key", "page_token"], "left_anti")
