@@ -526,13 +526,11 @@ def write_texts(files: DataFrame) -> int:
     """Write (address, text) rows as files from the executors; the number written."""
 
     def save(batches):
-        from pyarrow import fs
-
-        local = fs.LocalFileSystem()
         for batch in batches:
             for address, body in zip(batch["address"], batch["text"]):
-                local.create_dir(address.rsplit("/", 1)[0], recursive=True)
-                with local.open_output_stream(address) as out:
+                system, path = artifact_files.locate(address)
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                with system.open_output_stream(path) as out:
                     out.write(body.encode())
             yield batch[["address"]]
 
@@ -549,7 +547,7 @@ def artifact_copy(spark, sf_dir):
         F.col("doc_id") % 3 == 1, "model/requirements.txt"
     ).otherwise(F.concat(F.lit("plots/"), "source", F.lit(".png")))
     write_texts(documents.select(
-        F.concat_ws("/", F.lit(root.removeprefix("file:")), run, F.lit("artifacts"), place).alias("address"), "text"
+        F.concat_ws("/", F.lit(root), run, F.lit("artifacts"), place).alias("address"), "text"
     ))
     listed = artifact_files.list_artifacts(spark, root)
     manifest = listed.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +31,15 @@ class Discovery:
     runs: DataFrame
 
 
-def discover(snapshot: Snapshot, options: Options) -> Discovery:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def lazily(df: DataFrame, name: str) -> DataFrame:
+    """No staging: everything stays one plan."""
+    return df
+
+
+def discover(snapshot: Snapshot, options: Options, stage: Stage = lazily) -> Discovery:
     """Scope, cap and resolve a snapshot."""
     models = scope.allow_models(scope.scope_models(snapshot.models), list(options.model_names))
     in_scope = scope.of_models(snapshot.versions, models)
@@ -41,6 +50,7 @@ def discover(snapshot: Snapshot, options: Options) -> Discovery:
         )
     else:
         experiments = scope.nothing(snapshot.experiments)
+    experiments = stage(experiments, "experiments")
     listed = snapshot.runs.join(experiments.select("experiment_id"), "experiment_id", "left_semi")
     runs = scope.cap_runs(
         scope.lifecycle(listed.select(*snapshot.runs.columns), options.include_deleted_runs),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -19,7 +18,7 @@ from modelferry.operators.ranking import batches
 from modelferry.operators.reconcile import model_outcomes, reconcile, target_rollup
 from modelferry.operators.upsert import apply_outcomes, pending
 from modelferry.options import Options
-from modelferry.plans.survey import Discovery, discover
+from modelferry.plans.survey import Discovery, Stage, discover, lazily
 from modelferry.schemas import Snapshot
 from modelferry.session import written
 from modelferry.sources.artifact_files import copy_artifacts
@@ -51,14 +50,6 @@ class Transfer:
         )
 
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
-
-def lazily(df: DataFrame, name: str) -> DataFrame:
-    """No staging: everything stays one plan."""
-    return df
-
-
 def plan_transfer(
     source: Snapshot, target: Snapshot, options: Options, stage: Stage = lazily
 ) -> Transfer:
@@ -67,7 +58,7 @@ def plan_transfer(
     ``stage`` gets the results that feed many tables; :func:`written` puts them
     into the shared folder, so that they are worked out once.
     """
-    found = discover(source, options)
+    found = discover(source, options, stage)
     versions = rw.new_versions(
         found.versions, target.versions, source.host, options.model_prefix,
         options.skip_existing_versions,
@@ -85,7 +76,6 @@ def plan_transfer(
         experiments.select(*source.experiments.columns), target.experiments,
         options.experiment_root, options.experiment_prefix, options.create_missing_experiments,
     )
-    mapping = stage(mapping, "experiments")
     candidates = rw.candidate_runs(found.runs, source.runs, versions)
     mapped = rw.placed_artifacts(
         rw.run_map(candidates, mapping, target.runs, source.host), options.artifact_root

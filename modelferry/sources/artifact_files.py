@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import TaskContext
@@ -26,8 +27,10 @@ def _files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFr
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     df = reader.load(root)
-    # The first '/artifacts/' below the root divides run and path.
-    below = F.substring_index(F.col("path"), root.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+    # The first '/artifacts/' below the root divides run and path. Addresses are
+    # qualified by Spark, so the root is looked up without its scheme.
+    start = root.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
+    below = F.substr(F.col("path"), F.instr("path", start) + F.lit(len(start)))
     run = F.split_part(below, F.lit("/artifacts/"), F.lit(1))
     inside = F.substr(below, F.length(run) + F.lit(len("/artifacts/") + 1))
     return df.select(
@@ -48,11 +51,25 @@ def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     return run_metadata(models, needs)
 
 
-def _open(address: str):
+@lru_cache(maxsize=64)
+def _filesystem(root: str):
     from pyarrow import fs
 
-    text = address if "://" in address or not address.startswith("file:") else "file://" + address[5:]
-    return fs.FileSystem.from_uri(text)
+    return fs.FileSystem.from_uri(root)
+
+
+def locate(address: str):
+    """(file system, path) of an address, as Spark writes it: characters are not escaped.
+
+    File systems are kept by authority, so a task connects once to each store.
+    """
+    scheme, found, rest = address.partition("://")
+    if not found or scheme == "file":
+        local = "/" + address.removeprefix("file:").lstrip("/")
+        return _filesystem("file:///")[0], local
+    store, _, key = rest.partition("/")
+    system, base = _filesystem(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{store}/")
+    return system, f"{base.rstrip('/')}/{key}"
 
 
 def copy_file(source: str, target: str, attempt: str) -> int:
@@ -61,8 +78,8 @@ def copy_file(source: str, target: str, attempt: str) -> int:
     Two attempts of one task never write the same file, and a reader sees
     either no file or a whole one.
     """
-    source_fs, source_path = _open(source)
-    target_fs, target_path = _open(target)
+    source_fs, source_path = locate(source)
+    target_fs, target_path = locate(target)
     target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
     partial = f"{target_path}.{attempt}"
     done = 0

@@ -43,12 +43,13 @@ def test_pages(spark, folder):
 
 @pytest.fixture
 def tree(folder):
-    root = f"{folder}/src"
+    root = f"{folder}/model"
     files = {
         "r1/artifacts/model/MLmodel": b"flavors:\n  sklearn: {}\n  python_function: {python_version: 3.11.2}\n",
         "r1/artifacts/model/requirements.txt": b"a==1\n# c\n\n  b==2 \n  # kept\n",
         "r1/artifacts/model/data/m.bin": bytes(range(256)) * 50000,
         "r1/artifacts/plots/p.png": b"png",
+        "r1/artifacts/plots/a b#1%20.png": b"odd name",
         "r1/artifacts/other/MLmodel": b"flavors: {wrong: {}}\n",
         "r2/artifacts/model/MLmodel": b"flavors: [\n",
     }
