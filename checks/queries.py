@@ -49,11 +49,6 @@ def _plan(spark: SparkSession, sf_dir: str) -> transfer.Transfer:
     return transfer.plan_transfer(fx.source(spark, sf_dir), fx.target(spark, sf_dir), OPTIONS, written)
 
 
-def _run_plan(spark: SparkSession, sf_dir: str) -> transfer.Transfer:
-    """The same as one lazy plan."""
-    return transfer.plan_transfer(fx.source(spark, sf_dir), fx.target(spark, sf_dir), OPTIONS)
-
-
 # -- discovery --------------------------------------------------------------
 
 @query
@@ -217,7 +212,7 @@ def merge_inventory(spark, sf_dir):
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = fx.target(spark, sf_dir)
     plan = _plan(spark, sf_dir)
-    judged = plan.judged
+    judged = plan.judged()
     tracking = fx.tables(spark, sf_dir)["tracking_prev"]
     rollup = reconcile.target_rollup(target, _source_counts(target), fx.SOURCE_HOST, fx.TARGET_HOST)
     cloned = judged.where(F.col("reason").isNull()).select("model_name", "version")
@@ -283,35 +278,35 @@ def new_models(spark, sf_dir):
 
 @query
 def new_experiments(spark, sf_dir):
-    return rewrite.new_experiments(_run_plan(spark, sf_dir).mapping)
+    return rewrite.new_experiments(_plan(spark, sf_dir).mapping)
 
 
 @query
 def candidate_runs(spark, sf_dir):
-    return _run_plan(spark, sf_dir).mapped.select("run_id", "experiment_id", "lifecycle")
+    return _plan(spark, sf_dir).mapped.select("run_id", "experiment_id", "lifecycle")
 
 
 @query
 def run_id_map(spark, sf_dir):
-    return _run_plan(spark, sf_dir).mapped.select(
+    return _plan(spark, sf_dir).mapped.select(
         "run_id", "experiment_id", "target_experiment_id", "target_run_id", "is_new"
     )
 
 
 @query
 def new_runs(spark, sf_dir):
-    return rewrite.new_runs(_run_plan(spark, sf_dir).mapped).select("run_id", "target_experiment_id")
+    return rewrite.new_runs(_plan(spark, sf_dir).mapped).select("run_id", "target_experiment_id")
 
 
 @query
 def target_experiments(spark, sf_dir):
-    return rewrite.target_experiments(_run_plan(spark, sf_dir).mapping, fx.SOURCE_HOST)
+    return rewrite.target_experiments(_plan(spark, sf_dir).mapping, fx.SOURCE_HOST)
 
 
 @query
 def target_experiment_tags(spark, sf_dir):
     tags = fx.source(spark, sf_dir).experiment_tags
-    return rewrite.target_experiment_tags(_run_plan(spark, sf_dir).mapping, tags, fx.SOURCE_HOST)
+    return rewrite.target_experiment_tags(_plan(spark, sf_dir).mapping, tags, fx.SOURCE_HOST)
 
 
 def _created_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -334,27 +329,27 @@ def target_model_tags(spark, sf_dir):
 
 @query
 def target_runs(spark, sf_dir):
-    return rewrite.target_runs(_run_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_tags, fx.SOURCE_HOST)
+    return rewrite.target_runs(_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_tags, fx.SOURCE_HOST)
 
 
 @query
 def target_run_tags(spark, sf_dir):
-    return rewrite.target_run_tags(_run_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_tags, fx.SOURCE_HOST)
+    return rewrite.target_run_tags(_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_tags, fx.SOURCE_HOST)
 
 
 @query
 def target_params(spark, sf_dir):
-    return rewrite.target_params(_run_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_params)
+    return rewrite.target_params(_plan(spark, sf_dir).mapped, fx.source(spark, sf_dir).run_params)
 
 
 @query
 def metric_history(spark, sf_dir):
     s = fx.source(spark, sf_dir)
-    return rewrite.metric_history(_run_plan(spark, sf_dir).mapped, s.run_metrics, s.metric_points)
+    return rewrite.metric_history(_plan(spark, sf_dir).mapped, s.run_metrics, s.metric_points)
 
 
 def _created_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = _plan(spark, sf_dir).judged
+    judged = _plan(spark, sf_dir).judged()
     return rewrite.target_versions(judged, fx.target(spark, sf_dir).versions, fx.SOURCE_HOST)
 
 
@@ -371,32 +366,32 @@ def target_version_tags(spark, sf_dir):
 
 @query
 def migration_failures(spark, sf_dir):
-    return rewrite.version_failures(_plan(spark, sf_dir).judged)
+    return rewrite.version_failures(_plan(spark, sf_dir).judged())
 
 
 @query
 def failure_comments(spark, sf_dir):
-    return reconcile.failure_comments(rewrite.version_failures(_plan(spark, sf_dir).judged))
+    return reconcile.failure_comments(rewrite.version_failures(_plan(spark, sf_dir).judged()))
 
 
 @query
 def artifact_manifest(spark, sf_dir):
-    return _plan(spark, sf_dir).manifest()
+    plan = _plan(spark, sf_dir)
+    return plan.manifest(plan.judged())
 
 
 @query
 def model_manifest(spark, sf_dir):
     """Model files only: one of the two flags is off."""
     options = Options(model_prefix="mig_", skip_existing_versions=True, include_run_artifacts=False)
-    return transfer.plan_transfer(
-        fx.source(spark, sf_dir), fx.target(spark, sf_dir), options, written
-    ).manifest()
+    plan = transfer.plan_transfer(fx.source(spark, sf_dir), fx.target(spark, sf_dir), options, written)
+    return plan.manifest(plan.judged())
 
 
 @query
 def migration_summary(spark, sf_dir):
     plan = _plan(spark, sf_dir)
-    created = rewrite.target_versions(plan.judged, fx.target(spark, sf_dir).versions, fx.SOURCE_HOST)
+    created = rewrite.target_versions(plan.judged(), fx.target(spark, sf_dir).versions, fx.SOURCE_HOST)
     return rewrite.migration_summary(plan.found.models, plan.found.experiments, created)
 
 

@@ -16,7 +16,7 @@ from modelferry.functions.status import BAD_MARK, ERROR_PREFIX, PENDING, OK_MARK
 from modelferry.functions.text import cut, first_user, joined_sorted
 from modelferry.functions.times import day_text, minute_text
 from modelferry.operators.counts import runs_per_experiment, with_counts
-from modelferry.operators.joins import spread_absent
+from modelferry.operators.joins import outer_lookup
 from modelferry.operators.references import BLOCKED, READY, RUN_MISSING, experiment_label, version_states
 from modelferry.operators.scope import lifecycle
 from modelferry.options import Options
@@ -88,7 +88,7 @@ def _experiment_facts(snapshot: Snapshot, options: Options, in_reach: DataFrame
         )
     return snapshot.experiments.select("experiment_id", F.col("name").alias("_name")).join(
         per_experiment, "experiment_id", "left"
-    ).withColumn("_spread", F.lit(0))
+    )
 
 
 def _by_model(
@@ -115,9 +115,11 @@ def _by_model(
         F.sum("params").alias("params"), F.sum("metrics").alias("metrics"),
         F.sum("model_files").alias("files"), F.max("creation_ms").alias("creation_ms"),
     )
-    labelled = distinct.withColumn(
-        "_spread", spread_absent(F.col("experiment_id"), F.col("model_name"), F.col("text"))
-    ).join(_experiment_facts(snapshot, options, in_reach), ["experiment_id", "_spread"], "left")
+    # Only one kind of entry has an experiment.
+    labelled = outer_lookup(
+        distinct, _experiment_facts(snapshot, options, in_reach), ["experiment_id"],
+        ["model_name", "kind", "text", "nth"],
+    )
 
     def total(column: str) -> Column:
         return F.sum(F.when(F.col("kind") == _TOTALS, F.col(column)))

@@ -14,7 +14,7 @@ ACTIVE = "active"
 
 
 def scope_models(models: DataFrame) -> DataFrame:
-    """Drop three-level names."""
+    """Drop three-level names (P1); any table with ``model_name`` will do."""
     return models.where(~F.col("model_name").contains("."))
 
 

@@ -75,7 +75,9 @@ def inventory_report(
     counts = run_counts(snapshot.run_params, snapshot.run_metrics, snapshot.run_artifacts)
     # Without a cap every existing experiment of a version is in reach.
     capped = options.max_versions_per_model is not None
-    scoped = snapshot.with_tables(models=found.models, versions=found.all_versions)
+    # Scope is a filter on names here; versions without a model drop out at the end.
+    versions = scope.allow_models(scope.scope_models(snapshot.versions), list(options.model_names))
+    scoped = snapshot.with_tables(models=found.models, versions=versions)
     rows = inv.inventory(
         scoped, counts, options, target_host, found.experiments if capped else None, metadata, now
     )

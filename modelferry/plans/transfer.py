@@ -30,22 +30,30 @@ from modelferry.sources.tracking_store import TrackingStore
 class Transfer:
     """What one migration deals with.
 
-    ``mapping`` and ``mapped`` say where experiments and runs go; ``judged`` are
-    the versions to clone with target run, model path and failure reason.
+    ``versions`` are those to clone; ``mapping`` and ``mapped`` say where
+    experiments and runs go. ``stage`` got all that feeds many tables.
     """
 
     source: Snapshot
     target: Snapshot
     options: Options
     found: Discovery
+    stage: Stage
+    versions: DataFrame
     mapping: DataFrame
     mapped: DataFrame
-    judged: DataFrame
 
-    def manifest(self) -> DataFrame:
+    def judged(self) -> DataFrame:
+        """Versions with target run, model path and failure reason, staged."""
+        verdicts = rw.judged_versions(
+            self.versions, self.mapped, self.source.run_artifacts, self.target.run_artifacts
+        )
+        return self.stage(verdicts, "judged")
+
+    def manifest(self, judged: DataFrame) -> DataFrame:
         """Files to copy for the versions and the new runs."""
         return artifact_manifest(
-            self.judged, self.mapped, self.source.run_artifacts, self.target.run_artifacts,
+            judged, self.mapped, self.source.run_artifacts, self.target.run_artifacts,
             self.options.download_artifacts, self.options.include_run_artifacts,
         )
 
@@ -81,8 +89,7 @@ def plan_transfer(
         rw.run_map(candidates, mapping, target.runs, source.host), options.artifact_root
     )
     mapped = stage(mapped, "run-map")
-    judged = rw.judged_versions(versions, mapped, source.run_artifacts, target.run_artifacts)
-    return Transfer(source, target, options, found, mapping, mapped, stage(judged, "judged"))
+    return Transfer(source, target, options, found, stage, versions, mapping, mapped)
 
 
 def with_addresses(manifest: DataFrame, mapped: DataFrame, source: Snapshot) -> DataFrame:
@@ -131,7 +138,8 @@ def run_transfer(
     With ``copy_files`` off the manifest is recorded as if it had been copied.
     """
     plan = plan_transfer(source, target, options, written)
-    mapped, judged, manifest = plan.mapped, plan.judged, plan.manifest()
+    mapped, judged = plan.mapped, plan.judged()
+    manifest = plan.manifest(judged)
     if copy_files:
         copied = written(
             copy_artifacts(with_addresses(manifest, mapped, source), options.copy_tasks), "copied"

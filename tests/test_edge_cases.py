@@ -195,7 +195,7 @@ def test_reset_reopens_only_failed(spark):
 def test_transfer_records(spark):
     source = sample_source(spark)
     plan = transfer.plan_transfer(source, registry(spark), Options(skip_existing_versions=True))
-    reasons = {(r.model_name, r.version): r.reason for r in plan.judged.collect()}
+    reasons = {(r.model_name, r.version): r.reason for r in plan.judged().collect()}
     assert reasons == {
         ("m1", 1): None, ("m1", 2): "Model version m1 v2 has no run_id", ("m1", 3): "Run gone not found", ("m2", 1): None,
     }
@@ -214,11 +214,11 @@ def test_transfer_records(spark):
     points = {(r["key"], r["ts_ms"], r["step"]): r["value"] for r in
               plain(rewrite.metric_history(plan.mapped, source.run_metrics, source.metric_points)) if r["run_id"] == new_id}
     assert points == {("loss", 11, 0): 0.7, ("loss", 12, 1): 0.5, ("acc", 20, 0): 0.9}
-    made = rewrite.target_versions(plan.judged, registry(spark).versions, source.host)
+    made = rewrite.target_versions(plan.judged(), registry(spark).versions, source.host)
     assert {(r.model_name, r.version) for r in made.collect()} == {("m1", 1), ("m2", 1)}
     vtags = {r["key"]: r["value"] for r in plain(rewrite.target_version_tags(made, source.version_tags, source.host)) if r["model_name"] == "m1"}
     assert vtags["source_model_version"] == "stale" and vtags["source_model_name"] == "m1"
-    files = {(r.run_id, r.path) for r in plan.manifest().collect()}
+    files = {(r.run_id, r.path) for r in plan.manifest(plan.judged()).collect()}
     assert files == {("r1", "model/MLmodel"), ("r1", "model/data/m.bin"), ("r1", "plots/p.png"), ("r2", "model/MLmodel")}
 
 
@@ -226,7 +226,7 @@ def test_artifact_flags(spark):
     source = sample_source(spark)
     for flags in ({"download_artifacts": False}, {"include_run_artifacts": False}):
         plan = transfer.plan_transfer(source, registry(spark), Options(**flags))
-        assert {r.path for r in plan.manifest().collect()} == {"model/MLmodel", "model/data/m.bin"}
+        assert {r.path for r in plan.manifest(plan.judged()).collect()} == {"model/MLmodel", "model/data/m.bin"}
 
 
 def test_run_in_another_experiment_is_not_known(spark):
@@ -243,7 +243,7 @@ def test_run_in_another_experiment_is_not_known(spark):
 def test_missing_target_experiments_are_failures(spark):
     source = sample_source(spark)
     plan = transfer.plan_transfer(source, registry(spark), Options(create_missing_experiments=False))
-    reasons = {(r.model_name, r.version): r.reason for r in plan.judged.collect()}
+    reasons = {(r.model_name, r.version): r.reason for r in plan.judged().collect()}
     assert reasons["m1", 1] == "Missing target experiment /Shared/mlflow-workspace-migration/exp"
     assert rewrite.new_experiments(plan.mapping).count() == 0 and rewrite.new_runs(plan.mapped).count() == 0
 
@@ -255,14 +255,14 @@ def test_switched_off_entities(spark):
     # Versions still bring their own runs and experiments along.
     assert {r.run_id for r in plan.mapped.where("is_new").collect()} == {"r1", "r2"}
     none = transfer.plan_transfer(source, registry(spark), Options(migrate_models=False))
-    assert none.judged.count() == 0 and {r.run_id for r in none.mapped.collect()} == {"r1", "r3"}
+    assert none.judged().count() == 0 and {r.run_id for r in none.mapped.collect()} == {"r1", "r3"}
 
 
 def test_purged_model_files_fail_the_version(spark):
     source = sample_source(spark)
     bare = source.with_tables(run_artifacts=source.run_artifacts.where("run_id <> 'r2'"))
     plan = transfer.plan_transfer(bare, registry(spark), Options())
-    reasons = {(r.model_name, r.version): r.reason for r in plan.judged.collect()}
+    reasons = {(r.model_name, r.version): r.reason for r in plan.judged().collect()}
     assert reasons["m2", 1] == "No model artifacts at model in run r2" and reasons["m1", 1] is None
 
 

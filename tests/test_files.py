@@ -226,7 +226,7 @@ def test_versions_are_numbered_after_existing_ones(spark):
     source = small.sample_source(spark)
     target = small.registry(spark, versions=[{"model_name": "m1", "version": 41}])
     plan = transfer.plan_transfer(source, target, Options())
-    made = rewrite.target_versions(plan.judged, target.versions, source.host)
+    made = rewrite.target_versions(plan.judged(), target.versions, source.host)
     assert {(r.model_name, r.version) for r in made.collect()} == {("m1", 42), ("m2", 1)}
 
 

@@ -133,10 +133,10 @@ def test_one_model_with_most_versions(spark):
     assert row.discovery_comments.startswith("v2: run missing; v5: run missing; v8")
     assert row.discovery_comments.count(";") == lost - 1
     done = transfer.plan_transfer(source, small.registry(spark), Options())
-    good = done.judged.where("reason is null")
+    good = done.judged().where("reason is null")
     assert good.count() == shared
     from modelferry.operators.rewrite import target_versions
-    made = target_versions(done.judged, small.registry(spark).versions, source.host)
+    made = target_versions(done.judged(), small.registry(spark).versions, source.host)
     numbers = [r.version for r in made.select("version").collect()]
     assert sorted(numbers) == list(range(1, shared + 1))
 
