@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from modelferry import Options, Snapshot
 from modelferry.functions import errors, names, status, text
 from modelferry.operators import counts, inventory, metadata, ranking, reconcile, references, rewrite, scope, upsert
 from modelferry.plans import survey, transfer
-from modelferry.session import configure, scratch_path, written
+from modelferry.session import configure, scratch_path, ship, written
 from modelferry.sources import artifact_files, pages, registry, reports, tracking_store
 from modelferry.streaming import live_tracking
 
@@ -30,6 +31,7 @@ def query(function: Query) -> Query:
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark, os.path.dirname(os.path.abspath(__file__)))
         return function(configure(spark), sf_dir)
 
     _registered[function.__name__] = run

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,32 @@ REQUIRED = {
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+_shipped: set[tuple[str, str]] = set()
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session."""
+    """Apply the settings to a running session, and give its tasks this package."""
     for name, value in REQUIRED.items():
         spark.conf.set(name, value)
+    ship(spark, os.path.dirname(os.path.abspath(__file__)))
     return spark
 
 
+def ship(spark: SparkSession, package: str) -> None:
+    """Send a package folder to the executors, once by application.
+
+    File copies and model descriptions run there and import it, wherever the
+    driver was started.
+    """
+    key = (spark.sparkContext.applicationId, package)
+    if key not in _shipped:
+        name = os.path.basename(package)
+        made = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), name)
+        archive = shutil.make_archive(made, "zip", os.path.dirname(package), name)
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(key)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see; a local one only where none is named."""
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
