@@ -40,7 +40,10 @@ def _files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFr
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """run_id, path, size_bytes, address of every file; contents are not read."""
+    """run_id, path, size_bytes, address of every file; contents are not read.
+
+    Spark's file listing passes over names that begin with '.' or '_'.
+    """
     return _files(spark, root).select("run_id", "path", "size_bytes", "address")
 
 
@@ -73,15 +76,17 @@ def locate(address: str):
 
 
 def copy_file(source: str, target: str, attempt: str) -> int:
-    """Stream one file to a name of this attempt, then rename it; the bytes copied.
+    """Stream one file to a hidden name of this attempt, then rename it; the bytes copied.
 
     Two attempts of one task never write the same file, and a reader sees
-    either no file or a whole one.
+    either no file or a whole one. A killed attempt leaves its hidden file, which
+    listings pass over.
     """
     source_fs, source_path = locate(source)
     target_fs, target_path = locate(target)
-    target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
-    partial = f"{target_path}.{attempt}"
+    folder, name = target_path.rsplit("/", 1)
+    target_fs.create_dir(folder, recursive=True)
+    partial = f"{folder}/.{name}.{attempt}"
     done = 0
     with source_fs.open_input_stream(source_path) as reader, target_fs.open_output_stream(partial) as writer:
         while chunk := reader.read(_CHUNK):
