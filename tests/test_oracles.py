@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import connect, differences
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +17,7 @@ def con(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
