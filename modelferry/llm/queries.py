@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modelferry.llm import best_fit_packing, mixing, quality_rules, secret_scan, sharding, simhash_dedup
+from modelferry.llm import (
+    adaptive_scan, best_fit_packing, html_extract, mixing, quality_rules, repeat_removal, secret_scan, sharding, simhash_dedup,
+)
 from modelferry.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "rules.*")
 
 
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return adaptive_scan.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return best_fit_packing.pack(table(spark, sf_dir, "documents"))
@@ -38,6 +50,11 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return repeat_removal.repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return secret_scan.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -46,7 +63,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op2_quality_rules, op4_best_fit_packing, op5_sharding, op7_mixing, op8_simhash_dedup, op10_secret_scan)
+            op1_html_extract, op2_quality_rules, op3_adaptive_scan, op4_best_fit_packing, op5_sharding, op7_mixing,
+            op8_simhash_dedup, op9_repeat_removal, op10_secret_scan)
     }
 
 
