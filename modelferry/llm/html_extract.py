@@ -372,6 +372,7 @@ def _generated(rng: random.Random) -> tuple[str, set[str]]:
         article.append(box("div", ["meta", "share", "social"], links(2, 4, 1)))
     article += [block() for _ in range(rng.choice([1, 2, 3, 5, 8, 12, 20]))]
     if rng.random() < 0.15:  # hardly any text
+        main.clear()
         short = own(sentence(1, 6))
         article = [f"<h1>{short}</h1>", f"<p><b>{short}<br>"][rng.choice([0, 0, 1]):]
     if rng.random() < 0.25:
