@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from modelferry.llm import (
-    adaptive_scan, best_fit_packing, html_extract, mixing, quality_rules, repeat_removal, secret_scan, sharding, simhash_dedup,
+    adaptive_scan, best_fit_packing, html_extract, lm_scoring, mixing, quality_rules, repeat_removal, secret_scan, sharding, simhash_dedup,
 )
 from modelferry.llm.common import prepare, table
 
@@ -40,6 +40,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return mixing.order(table(spark, sf_dir, "documents"))
@@ -63,7 +68,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         f.__name__: f for f in (
-            op1_html_extract, op2_quality_rules, op3_adaptive_scan, op4_best_fit_packing, op5_sharding, op7_mixing,
+            op1_html_extract, op2_quality_rules, op3_adaptive_scan, op4_best_fit_packing, op5_sharding, op6_lm_scoring, op7_mixing,
             op8_simhash_dedup, op9_repeat_removal, op10_secret_scan)
     }
 
