@@ -8,7 +8,7 @@ Runs that touch a span of a pattern are left to it.
 
 Both models are trained from labelled samples. Random: ``STRINGS`` strings made from
 seeded digests, in hexadecimal, base64, its URL form and upper case. Ordinary: words, and identifiers joined from
-neighbouring words, of at most ``SAMPLE`` documents that are labelled good and hold none of the pattern kinds,
+neighbouring words in several forms, of at most ``SAMPLE`` documents that are labelled good and hold none of the pattern kinds,
 those with the smallest hash of their id; and runs of one separator. Counts are by
 pair of characters, so what reaches the driver is bounded (80 x 80).
 
@@ -31,7 +31,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"  # whole runs alone, so no other start is t
 LEAST_VALUE = 6
 
 RUN = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{16,}+"
-MIN_RATIO = 15.0
+MIN_RATIO = 10.0
 STRINGS = 20_000
 SAMPLE = 300
 SEED = 10
@@ -106,10 +106,11 @@ def ordinary_strings(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "_", F.lower(F.get("w", i)), F.lower(F.get("w", i + 1))))
     camel = F.transform(at, lambda i: F.concat(F.lower(F.get("w", i)), F.initcap(F.get("w", i + 1))))
     path = F.transform(at, lambda i: F.concat(F.lit("/"), F.get("w", i), F.lit("-"), F.get("w", i + 1)))
+    upper = F.transform(pair, F.upper)
     joined = words.where(F.size("w") > 1)
     marks = docs.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c * 200) for c in "-=_+/"])).alias("s"))
     return words.select(F.explode("w").alias("s")).unionByName(
-        joined.select(F.explode(F.concat(pair, camel, path)).alias("s"))).unionByName(marks)
+        joined.select(F.explode(F.concat(pair, camel, path, upper)).alias("s"))).unionByName(marks)
 
 
 def pair_counts(strings: DataFrame) -> dict[int, int]:
