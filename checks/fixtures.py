@@ -18,6 +18,8 @@ from modelferry.session import written
 
 SOURCE_HOST = "https://adb-1001.1.example.net"
 TARGET_HOST = "https://adb-3003.3.example.net/"
+# When the transfers of the checks say that they ran.
+COMMIT_MS = 1_700_000_000_000
 
 # Written out once: a window makes it, which every later reader would repeat.
 STORED = ("versions",)

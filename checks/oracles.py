@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.fixtures import SOURCE_HOST, TARGET_HOST, VIEWS
+from checks.fixtures import COMMIT_MS, SOURCE_HOST, TARGET_HOST, VIEWS
 
 THOST = TARGET_HOST.rstrip("/")
 ROOT = "/Shared/mlflow-workspace-migration"
@@ -20,6 +20,19 @@ PARTS["src_counts"] = """
                   WHERE path LIKE 'model/_%' GROUP BY run_id) q
   GROUP BY run_id
 """
+PARTS["in_scope_missing"] = """
+  SELECT v.* FROM src_versions v
+  LEFT JOIN (SELECT DISTINCT model_name, source_model_version FROM made_versions) t
+    ON t.model_name = concat('mig_', v.model_name) AND t.source_model_version = CAST(v.version AS VARCHAR)
+  WHERE t.model_name IS NULL AND position('.' IN v.model_name) = 0
+"""
+PARTS["after_rows"] = """
+  SELECT 'models' AS table_name, (SELECT count(*) FROM tgt_models) + (SELECT count(*) FROM models
+    WHERE position('.' IN model_name) = 0 AND concat('mig_', model_name) NOT IN (SELECT model_name FROM tgt_models)) AS n_rows
+  UNION ALL SELECT 'versions', (SELECT count(*) FROM made_versions) + (SELECT count(*) FROM created)
+  UNION ALL SELECT 'experiments', (SELECT count(*) FROM tgt_experiments) + (SELECT count(*) FROM exp_new)
+  UNION ALL SELECT 'runs', (SELECT count(*) FROM made_runs) + (SELECT count(*) FROM fresh)
+"""
 PARTS["tgt_counts"] = (
     PARTS["src_counts"].replace("run_params", "tgt_run_params")
     .replace("run_metrics", "tgt_run_metrics").replace("run_artifacts", "tgt_run_artifacts")
@@ -271,6 +284,10 @@ QUERIES: dict[str, str] = {
         SELECT experiment_id, run_id, start_ms FROM
           (SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY start_ms DESC, run_id) AS n FROM runs) q
         WHERE n <= 3""",
+    "capped_runs_large": """
+        SELECT experiment_id, run_id, start_ms FROM
+          (SELECT *, row_number() OVER (PARTITION BY experiment_id ORDER BY start_ms DESC, run_id) AS n FROM runs) q
+        WHERE n <= 150""",
     "active_runs": "SELECT run_id, experiment_id, lifecycle FROM runs WHERE lifecycle = 'active'",
     "version_status": "SELECT model_name, version, run_id, run_state FROM states",
     "referenced_experiments": """
@@ -367,6 +384,20 @@ QUERIES: dict[str, str] = {
         LEFT JOIN (SELECT DISTINCT model_name, source_model_version FROM made_versions) t
           ON t.model_name = concat('mig_', v.model_name) AND t.source_model_version = CAST(v.version AS VARCHAR)
         WHERE t.model_name IS NULL""",
+    "provenance_from_tags": """
+        SELECT v.model_name, v.version, CAST(NULL AS BIGINT) AS run_id FROM src_versions v
+        LEFT JOIN (SELECT DISTINCT model_name, source_model_version FROM made_versions) t
+          ON t.model_name = concat('mig_', v.model_name) AND t.source_model_version = CAST(v.version AS VARCHAR)
+        WHERE t.model_name IS NULL
+        UNION ALL SELECT NULL, NULL, run_id FROM fresh""",
+    "switched_off": """
+        SELECT 'experiments' AS off, 'experiments' AS kind, count(*) AS n FROM experiments WHERE experiment_id IN
+          (SELECT r.experiment_id FROM in_scope_missing w JOIN runs r ON r.run_id = w.run_id)
+        UNION ALL SELECT 'experiments', 'versions', count(*) FROM in_scope_missing
+        UNION ALL SELECT 'models', 'experiments', count(*) FROM ref_experiments
+        UNION ALL SELECT 'models', 'versions', 0""",
+    "second_migration":
+        "SELECT round, table_name, n_rows, n_rows AS n_keys FROM after_rows, (SELECT unnest(['one', 'two']) AS round) r",
     "new_models": """
         SELECT model_name, concat('mig_', model_name) AS target_model FROM models
         WHERE concat('mig_', model_name) NOT IN (SELECT model_name FROM tgt_models)""",
@@ -385,7 +416,8 @@ QUERIES: dict[str, str] = {
           UNION ALL SELECT target_experiment_id, 'source_experiment_id', CAST(source_experiment_id AS VARCHAR), -9000000000 FROM exp_new
         ) q GROUP BY 1, 2""",
     "target_models": f"""
-        SELECT '{SOURCE_HOST}' AS source_host, concat('mig_', model_name) AS model_name, description, model_name AS source_model_name
+        SELECT '{SOURCE_HOST}' AS source_host, concat('mig_', model_name) AS model_name, description,
+               {COMMIT_MS} AS creation_ms, model_name AS source_model_name
         FROM models WHERE position('.' IN model_name) = 0 AND concat('mig_', model_name) NOT IN (SELECT model_name FROM tgt_models)""",
     "target_model_tags": f"""
         SELECT model_name, key, max_by(value, rank) AS value FROM (
@@ -397,9 +429,10 @@ QUERIES: dict[str, str] = {
         ) q WHERE position('.' IN model_name) = 0 GROUP BY 1, 2""",
     "target_runs": f"""
         SELECT '{SOURCE_HOST}' AS source_host, f.target_run_id AS run_id, f.target_experiment_id AS experiment_id,
-               t.value AS run_name, f.status, f.start_ms, f.end_ms, f.target_artifact_uri AS artifact_uri,
+               t.value AS run_name, u.run_user, f.status, 'active' AS lifecycle, f.start_ms, f.end_ms, f.target_artifact_uri AS artifact_uri,
                CAST(f.run_id AS VARCHAR) AS source_run_id
-        FROM fresh f LEFT JOIN run_tags t ON t.run_id = f.run_id AND t.key = 'mlflow.runName'""",
+        FROM fresh f JOIN runs u ON u.run_id = f.run_id
+        LEFT JOIN run_tags t ON t.run_id = f.run_id AND t.key = 'mlflow.runName'""",
     "target_run_tags": f"""
         SELECT f.target_run_id AS run_id, q.key, max_by(q.value, q.rank) AS value FROM fresh f JOIN (
           SELECT run_id, key, value, 0 AS rank FROM run_tags WHERE key NOT LIKE 'mlflow.%'
@@ -415,8 +448,8 @@ QUERIES: dict[str, str] = {
         FROM fresh f JOIN run_metrics m ON m.run_id = f.run_id
         LEFT JOIN metric_points p ON p.run_id = m.run_id AND p.key = m.key""",
     "target_versions": f"""
-        SELECT '{SOURCE_HOST}' AS source_host, target_model AS model_name, number AS version, target_run_id AS run_id, stage,
-               concat(target_artifact_uri, '/', model_path) AS source_uri, description,
+        SELECT '{SOURCE_HOST}' AS source_host, target_model AS model_name, number AS version, target_run_id AS run_id, user_id, stage,
+               concat(target_artifact_uri, '/', model_path) AS source_uri, description, {COMMIT_MS} AS creation_ms,
                CAST(version AS VARCHAR) AS source_model_version, model_name AS source_model_name FROM created""",
     "target_version_tags": f"""
         SELECT target_model AS model_name, number AS version, key, max_by(value, rank) AS value FROM (
@@ -464,8 +497,8 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT NULL, NULL, concat('p', CAST(ceil(count(*) / 100.0) AS BIGINT)) FROM models""",
     "artifact_copy": """
         SELECT CAST(doc_id // 3 AS VARCHAR) AS run_id,
-               CASE doc_id % 3 WHEN 0 THEN 'model/MLmodel' WHEN 1 THEN 'model/requirements.txt'
-                    ELSE concat('plots/', source, '.png') END AS path,
+               CASE WHEN doc_id % 3 = 0 THEN 'model/MLmodel' WHEN doc_id % 6 = 1 THEN 'model/code/pkg/__init__.py'
+                    WHEN doc_id % 3 = 1 THEN 'model/.cfg' ELSE concat('plots/_a/b/', source, '.png') END AS path,
                true AS ok, octet_length(encode(text)) AS bytes, octet_length(encode(text)) AS arrived_bytes FROM documents""",
     "track_stream": """
         SELECT t.source_host, t.model_name, t.readiness, t.source_versions, t.source_versions_migratable,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from modelferry.streaming import live_tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-OPTIONS = Options(model_prefix="mig_", artifact_root="dbfs:/moved", skip_existing_versions=True)
+OPTIONS = Options(model_prefix="mig_", artifact_root="dbfs:/moved", skip_existing_versions=True, batch_size=10)
 # Ids given by hand: one that exists, one that does not.
 EXTRA_EXPERIMENTS = (0, 987654321)
 PAGE_SIZE = 100
@@ -46,6 +48,10 @@ def _source_counts(s: Snapshot) -> DataFrame:
     return counts.run_counts(s.run_params, s.run_metrics, s.run_artifacts)
 
 
+def _now():
+    return F.timestamp_millis(F.lit(fx.COMMIT_MS))
+
+
 def _plan(spark: SparkSession, sf_dir: str) -> transfer.Transfer:
     """The plan, staged as the job stages it."""
     return transfer.plan_transfer(fx.source(spark, sf_dir), fx.target(spark, sf_dir), OPTIONS, written)
@@ -80,6 +86,12 @@ def capped_runs(spark, sf_dir):
     return scope.cap_runs(fx.source(spark, sf_dir).runs, 3).select("experiment_id", "run_id", "start_ms")
 
 
+@query
+def capped_runs_large(spark, sf_dir):
+    """A cap so high that segments are counted first."""
+    return scope.cap_runs(fx.source(spark, sf_dir).runs, 150).select("experiment_id", "run_id", "start_ms")
+
+
 @query
 def active_runs(spark, sf_dir):
     return scope.lifecycle(fx.source(spark, sf_dir).runs, False).select("run_id", "experiment_id", "lifecycle")
@@ -314,7 +326,7 @@ def target_experiment_tags(spark, sf_dir):
 def _created_models(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     s, t = fx.source(spark, sf_dir), fx.target(spark, sf_dir)
     models = scope.scope_models(s.models)
-    return models, rewrite.target_models(rewrite.new_models(models, t.models, "mig_"), s.host)
+    return models, rewrite.target_models(rewrite.new_models(models, t.models, "mig_"), s.host, _now())
 
 
 @query
@@ -352,7 +364,7 @@ def metric_history(spark, sf_dir):
 
 def _created_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = _plan(spark, sf_dir).judged()
-    return rewrite.target_versions(judged, fx.target(spark, sf_dir).versions, fx.SOURCE_HOST)
+    return rewrite.target_versions(judged, fx.target(spark, sf_dir).versions, fx.SOURCE_HOST, _now())
 
 
 @query
@@ -541,8 +553,9 @@ def artifact_copy(spark, sf_dir):
     root, moved = scratch_path(spark, "tree"), scratch_path(spark, "moved")
     run = F.floor(F.col("doc_id") / 3).cast("string")
     place = F.when(F.col("doc_id") % 3 == 0, "model/MLmodel").when(
-        F.col("doc_id") % 3 == 1, "model/requirements.txt"
-    ).otherwise(F.concat(F.lit("plots/"), "source", F.lit(".png")))
+        F.col("doc_id") % 6 == 1, "model/code/pkg/__init__.py").when(
+        F.col("doc_id") % 3 == 1, "model/.cfg"
+    ).otherwise(F.concat(F.lit("plots/_a/b/"), "source", F.lit(".png")))
     write_texts(documents.select(
         F.concat_ws("/", F.lit(root), run, F.lit("artifacts"), place).alias("address"), "text"
     ))
@@ -552,7 +565,7 @@ def artifact_copy(spark, sf_dir):
         F.concat_ws("/", F.lit(moved), "run_id", F.lit("artifacts"), "path").alias("target_address"),
     )
     log = scratch_path(spark, "copied")
-    artifact_files.copy_artifacts(manifest, OPTIONS.copy_tasks).write.parquet(log)
+    artifact_files.copy_artifacts(manifest, OPTIONS.copy_threads).write.parquet(log)
     copied = spark.read.parquet(log).select("run_id", "path", "ok", "bytes")
     arrived = artifact_files.list_artifacts(spark, moved).select(
         "run_id", "path", F.col("size_bytes").alias("arrived_bytes")
@@ -576,6 +589,66 @@ def migrate_all(spark, sf_dir):
     ).summary
 
 
+@query
+def second_migration(spark, sf_dir):
+    """Rows of a plain target after one and after a second migration into it."""
+    s, t, path = fx.source(spark, sf_dir), fx.target(spark, sf_dir), scratch_path(spark, "plain")
+    for name in registry.WRITE_ORDER:
+        if getattr(t, name, None) is not None:
+            registry.conformed(getattr(t, name), name).write.parquet(f"{path}/{name}")
+    rounds = []
+    for commit in ("one", "two"):
+        transfer.migrate_all(s, path, fx.TARGET_HOST, OPTIONS, commit, copy_files=False)
+        back = registry.read_registry(spark, path, fx.TARGET_HOST)
+        keys = {"models": ["model_name"], "versions": ["model_name", "version"], "experiments": ["experiment_id"], "runs": ["run_id"]}
+        rounds += [
+            getattr(back, name).agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*key).alias("n_keys")
+            ).select(F.lit(commit).alias("round"), F.lit(name).alias("table_name"), "n_rows", "n_keys")
+            for name, key in keys.items()
+        ]
+    return written(reduce(DataFrame.unionByName, rounds), "rounds")
+
+
+@query
+def provenance_from_tags(spark, sf_dir):
+    """What is new where the target knows its sources by tags alone."""
+    s, t = fx.source(spark, sf_dir), fx.target(spark, sf_dir)
+    empty = F.lit(None).cast("string")
+
+    def tags(rows, keys, column, tag):
+        made = rows.where(F.col(column).isNotNull())
+        return made.select(*keys, F.explode(F.array(
+            F.struct(F.lit(rewrite.TAG_HOST).alias("key"), F.concat("source_host", F.lit("/")).alias("value")),
+            F.struct(F.lit(tag).alias("key"), F.col(column).alias("value")))).alias("tag")).select(*keys, "tag.*")
+
+    bare = t.with_tables(
+        runs=t.runs.withColumns({"source_host": empty, "source_run_id": empty}),
+        versions=t.versions.withColumns({"source_host": empty, "source_model_version": empty}),
+        run_tags=tags(t.runs, ["run_id"], "source_run_id", rewrite.TAG_RUN),
+        version_tags=tags(t.versions, ["model_name", "version"], "source_model_version", rewrite.TAG_VERSION),
+    )
+    known = rewrite.with_provenance(bare, s.host)
+    plan = transfer.plan_transfer(s, known, OPTIONS, written)
+    versions = rewrite.new_versions(s.versions, known.versions, s.host, "mig_", True)
+    return versions.select("model_name", "version", F.lit(None).cast("bigint").alias("run_id")).unionByName(
+        rewrite.new_runs(plan.mapped).select(
+            F.lit(None).cast("string").alias("model_name"), F.lit(None).cast("int").alias("version"), "run_id"))
+
+
+@query
+def switched_off(spark, sf_dir):
+    """Experiments and versions of a migration with either kind switched off."""
+    parts = []
+    for name, flag in (("experiments", "migrate_experiments"), ("models", "migrate_models")):
+        plan = transfer.plan_transfer(
+            fx.source(spark, sf_dir), fx.target(spark, sf_dir), replace(OPTIONS, **{flag: False}), written)
+        counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
+                   for kind, df in (("experiments", plan.mapping), ("versions", plan.versions))]
+        parts.append(reduce(DataFrame.unionByName, counted).withColumn("off", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def migrate_pending(spark, sf_dir):
     """Tracking after the pending models were migrated."""

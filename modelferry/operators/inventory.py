@@ -161,7 +161,7 @@ def inventory(
     ``metadata`` (run_id, flavors, requirements, python_version) is optional (X3).
     """
     by_model = _by_model(snapshot, counts, options, in_reach, metadata)
-    joined = snapshot.models.select("source_host", "model_name", F.col("creation_ms").alias("model_ms")).join(
+    joined = snapshot.models.select("model_name", F.col("creation_ms").alias("model_ms")).join(
         by_model, "model_name", "left"
     )
 
@@ -175,7 +175,7 @@ def inventory(
     blocked = count("blocked")
     ready = count("versions") - blocked
     filled = {
-        "source_host": normalize_host(F.col("source_host")),
+        "source_host": normalize_host(F.lit(snapshot.host)),
         "target_host": normalize_host(F.lit(target_host)),
         "model_name": F.col("model_name"),
         "readiness": readiness(ready, blocked),

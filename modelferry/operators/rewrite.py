@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modelferry.functions.names import (
-    model_artifact_path, model_source_uri, normal_host, stable_id,
+    model_artifact_path, model_source_uri, normal_host, normalize_host, stable_id,
     target_experiment_name, target_model_name,
 )
 from modelferry.operators.artifacts import in_folders
 from modelferry.operators.joins import outer_lookup
 from modelferry.operators.ranking import next_versions
 from modelferry.operators.scope import drop_reserved_tags
+from modelferry.schemas import Snapshot
 
 # Provenance tag keys, the run-name tag, and the reason length.
 TAG_HOST = "source_workspace_host"
@@ -22,6 +23,7 @@ TAG_MODEL = "source_model_name"
 TAG_VERSION = "source_model_version"
 TAG_RUN_NAME = "mlflow.runName"
 REASON_LENGTH = 120
+ACTIVE = "active"
 
 # Columns of the migration summary.
 SUMMARY = (
@@ -30,6 +32,38 @@ SUMMARY = (
 )
 
 
+# -- what the target knows ----------------------------------------------------
+
+def _from_tags(rows: DataFrame, keys: list[str], tags: DataFrame | None, tag: str, column: str, host: str) -> DataFrame:
+    """Fill ``source_host`` and ``column`` from tags where they are NULL."""
+    if tags is None:
+        return rows
+    def value(key):
+        return F.max(F.when(F.col("key") == key, F.nullif(F.col("value"), F.lit(""))))
+
+    said = tags.where(F.col("key").isin(TAG_HOST, tag)).groupBy(*keys).agg(
+        value(TAG_HOST).alias("_host"), value(tag).alias("_id")).where(F.col("_id").isNotNull())
+    known = F.col(column).isNotNull()
+    home = F.coalesce(normalize_host(F.col("_host")), F.when(F.col("_id").isNotNull(), F.lit(normal_host(host))))
+    return rows.join(said, keys, "left").withColumns({
+        "source_host": F.when(known, F.col("source_host")).otherwise(F.coalesce("source_host", home)),
+        column: F.coalesce(F.col(column), F.col("_id")),
+    }).select(*rows.columns)
+
+
+def with_provenance(target: Snapshot, host: str) -> Snapshot:
+    """The target with provenance columns filled from its tags.
+
+    Columns that hold a value stay. A record whose tag names a source id but no
+    workspace counts as one of ``host``, as tags alone decided who made it.
+    """
+    return target.with_tables(
+        runs=_from_tags(target.runs, ["run_id"], target.run_tags, TAG_RUN, "source_run_id", host),
+        versions=_from_tags(
+            target.versions, ["model_name", "version"], target.version_tags, TAG_VERSION, "source_model_version", host),
+    )
+
+
 # -- what is new ------------------------------------------------------------
 
 def new_versions(
@@ -131,12 +165,12 @@ def new_runs(mapped: DataFrame) -> DataFrame:
     return mapped.where(F.col("is_new"))
 
 
-def placed_artifacts(mapped: DataFrame, artifact_root: str) -> DataFrame:
-    """The map with the artifact address of every target run (E5)."""
+def placed_artifacts(mapped: DataFrame, artifact_root: str | None) -> DataFrame:
+    """The map with the artifact address of every target run; new runs have none without a root (E5)."""
     made = F.concat_ws(
         "/", F.lit(artifact_root), F.col("target_experiment_id"), F.col("target_run_id"),
         F.lit("artifacts"),
-    )
+    ) if artifact_root else F.lit(None).cast("string")
     return mapped.withColumn("target_artifact_uri", F.coalesce(F.col("target_artifact_uri"), made))
 
 
@@ -190,11 +224,15 @@ def target_experiment_tags(mapping: DataFrame, experiment_tags: DataFrame, host:
     return _source_wins(source, provenance, ["experiment_id"], [TAG_HOST, TAG_EXPERIMENT])
 
 
-def target_models(models: DataFrame, host: str) -> DataFrame:
-    """Models to create, from :func:`new_models` (R2)."""
+def _commit_ms(now: Column | None) -> Column:
+    return F.unix_millis(F.current_timestamp() if now is None else now).alias("creation_ms")
+
+
+def target_models(models: DataFrame, host: str, now: Column | None = None) -> DataFrame:
+    """Models to create, from :func:`new_models`; created ``now`` (R2)."""
     return models.select(
         F.lit(normal_host(host)).alias("source_host"), F.col("target_model").alias("model_name"),
-        "description", F.col("model_name").alias("source_model_name"),
+        "description", _commit_ms(now), F.col("model_name").alias("source_model_name"),
     )
 
 
@@ -225,13 +263,13 @@ def _under_new_id(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def target_runs(mapped: DataFrame, run_tags: DataFrame, host: str) -> DataFrame:
-    """Runs to create, from a map with artifact addresses."""
+    """Runs to create, from a map with artifact addresses; a run is active in the target."""
     names = run_tags.where(F.col("key") == TAG_RUN_NAME).select("run_id", F.col("value").alias("_name"))
     return new_runs(mapped).join(names, "run_id", "left").select(
         F.lit(normal_host(host)).alias("source_host"), F.col("target_run_id").alias("run_id"),
         F.col("target_experiment_id").alias("experiment_id"), F.col("_name").alias("run_name"),
-        "status", "start_ms", "end_ms", F.col("target_artifact_uri").alias("artifact_uri"),
-        "source_run_id",
+        "run_user", "status", F.lit(ACTIVE).alias("lifecycle"), "start_ms", "end_ms",
+        F.col("target_artifact_uri").alias("artifact_uri"), "source_run_id",
     )
 
 
@@ -347,17 +385,19 @@ def version_failures(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("reason").isNotNull()).select("model_name", "version", "reason")
 
 
-def target_versions(judged: DataFrame, existing: DataFrame, host: str) -> DataFrame:
-    """Versions to create, numbered after the existing ones."""
+def target_versions(
+    judged: DataFrame, existing: DataFrame, host: str, now: Column | None = None
+) -> DataFrame:
+    """Versions to create, numbered after the existing ones; created ``now``."""
     last = existing.groupBy(F.col("model_name").alias("target_model")).agg(
         F.max("version").alias("last_version")
     )
     good = judged.where(F.col("reason").isNull())
     return next_versions(good, "target_model", last).select(
         F.lit(normal_host(host)).alias("source_host"), F.col("target_model").alias("model_name"),
-        F.col("target_version").alias("version"), F.col("target_run_id").alias("run_id"), "stage",
+        F.col("target_version").alias("version"), F.col("target_run_id").alias("run_id"), "user_id", "stage",
         model_source_uri(F.col("target_artifact_uri"), F.col("model_path")).alias("source_uri"),
-        "description", F.col("version").cast("string").alias("source_model_version"),
+        "description", _commit_ms(now), F.col("version").cast("string").alias("source_model_version"),
         F.col("model_name").alias("source_model_name"), F.col("version").alias("_version"),
     )
 

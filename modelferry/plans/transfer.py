@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -22,7 +23,7 @@ from modelferry.plans.survey import Discovery, Stage, discover, lazily
 from modelferry.schemas import Snapshot
 from modelferry.session import written
 from modelferry.sources.artifact_files import copy_artifacts
-from modelferry.sources.registry import read_registry, write_registry
+from modelferry.sources.registry import committed, read_registry, write_registry
 from modelferry.sources.tracking_store import TrackingStore
 
 
@@ -137,12 +138,14 @@ def run_transfer(
 
     With ``copy_files`` off the manifest is recorded as if it had been copied.
     """
+    if copy_files and not options.artifact_root:
+        raise ValueError("set artifact_root, the address below which copied files go")
     plan = plan_transfer(source, target, options, written)
     mapped, judged = plan.mapped, plan.judged()
     manifest = plan.manifest(judged)
     if copy_files:
         copied = written(
-            copy_artifacts(with_addresses(manifest, mapped, source), options.copy_tasks), "copied"
+            copy_artifacts(with_addresses(manifest, mapped, source), options.copy_threads), "copied"
         )
         judged = fail_uncopied(judged, copied)
     else:
@@ -182,7 +185,8 @@ def migrate_all(
     copy_files: bool = True,
 ) -> Outcome:
     """Migrate everything in scope."""
-    target = read_registry(source.models.sparkSession, target_path, target_host)
+    target = rw.with_provenance(
+        read_registry(source.models.sparkSession, target_path, target_host, may_be_new=True), source.host)
     return run_transfer(source, target, options, target_path, commit, copy_files)
 
 
@@ -218,9 +222,12 @@ def migrate_pending_in_batches(
 ) -> DataFrame:
     """The same, ``options.batch_size`` models to a commit.
 
-    A run that breaks keeps the batches it finished. Each batch is a set of
-    whole jobs, so the size should be thousands where there are many models.
+    A run that breaks keeps the batches it finished, and the next call under the same
+    name goes on after them. Each batch is a set of whole jobs, so the size should
+    be thousands where there are many models.
     """
+    done = [c for c in committed(store.spark, target_path) if re.fullmatch(re.escape(commit) + r"-\d{6,}", c)]
+    first = 1 + max((int(c.rpartition("-")[2]) for c in done), default=-1)
     waiting = written(
         batches(pending(store.read(), source.host), "model_name", options.batch_size), "batches"
     )
@@ -231,7 +238,7 @@ def migrate_pending_in_batches(
         part = source.with_tables(models=scope.allow_models(source.models, batch))
         summaries.append(written(
             migrate_pending(
-                part, target_path, target_host, options, store, f"{commit}-{number:06d}", copy_files, now
+                part, target_path, target_host, options, store, f"{commit}-{first + number:06d}", copy_files, now
             ),
             "summary",
         ))
@@ -245,7 +252,7 @@ def finished_models(
     host: str, target_host: str, prefix: str,
 ) -> DataFrame:
     """Tracking updates from the target as it is after the commit."""
-    target = read_registry(models.sparkSession, target_path, target_host)
+    target = rw.with_provenance(read_registry(models.sparkSession, target_path, target_host), host)
     counts = run_counts(target.run_params, target.run_metrics, target.run_artifacts)
     rollup = target_rollup(target, counts, host, normal_host(target_host))
     cloned = done.created_versions.select(F.col("source_model_name").alias("model_name"), "version")
@@ -257,6 +264,7 @@ def finished_models(
 def reconciliation(source: Snapshot, target: Snapshot, options: Options) -> DataFrame:
     """Version-by-version comparison of the models in scope."""
     found = discover(source, options)
+    target = rw.with_provenance(target, source.host)
     return reconcile(
         source.with_tables(models=found.models, versions=found.all_versions), target,
         run_counts(source.run_params, source.run_metrics, source.run_artifacts),

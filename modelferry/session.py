@@ -50,10 +50,13 @@ def ship(spark: SparkSession, package: str) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; a local one only where none is named."""
+    """The folder all executors see. A local one is made only where all runs in one process."""
     named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors of {master} see")
     made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(made)
     return made

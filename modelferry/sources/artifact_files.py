@@ -4,53 +4,95 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator
-from functools import lru_cache
+from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelferry.functions import errors
 from modelferry.operators.metadata import run_metadata
+from modelferry.session import written
 
 # Files lie at <root>/<run_id>/artifacts/<path>.
 _MODEL_FILE = "model/MLmodel"
 _REQUIREMENTS_FILE = "model/requirements.txt"
 _CHUNK = 8 * 1024 * 1024
+# Names that unfinished copies have.
+PARTIAL = ".copying-"
+# How each scheme is named by the file system library.
+SCHEMES = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+TASK_BYTES = 1 << 30
+TASK_FILES = 1000
 
 RESULT_SCHEMA = "ok boolean, bytes bigint, error string"
 
 
-def _files(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    df = reader.load(root)
-    # The first '/artifacts/' below the root divides run and path. Addresses are
-    # qualified by Spark, so the root is looked up without its scheme.
+def _below(root: str, address: Column) -> Column:
+    """The part of an address below the root. Both may be written with or without a scheme."""
     start = root.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
-    below = F.substr(F.col("path"), F.instr("path", start) + F.lit(len(start)))
+    return F.substr(address, F.instr(address, start) + F.lit(len(start)))
+
+
+def _placed(files: DataFrame, root: str) -> DataFrame:
+    """run_id and path of addresses: the first '/artifacts/' below the root divides them."""
+    below = _below(root, F.col("address"))
     run = F.split_part(below, F.lit("/artifacts/"), F.lit(1))
     inside = F.substr(below, F.length(run) + F.lit(len("/artifacts/") + 1))
-    return df.select(
-        run.alias("run_id"), inside.alias("path"), F.col("path").alias("address"),
-        F.col("length").alias("size_bytes"), "content",
-    ).where(F.col("path") != "")
+    rest = [c for c in files.columns if c != "address"]
+    return files.select(run.alias("run_id"), inside.alias("path"), "address", *rest).where(F.col("path") != "")
+
+
+def _contents(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Files of one name with their content."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    found = reader.load(root).select(
+        F.col("path").alias("address"), F.col("length").alias("size_bytes"), "content")
+    return _placed(found, root)
+
+
+def _listed(folders: DataFrame) -> DataFrame:
+    """What lies in each folder (``address``): address, is_folder, size_bytes. Every name counts."""
+
+    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for address in batch["address"]:
+                system, path = locate(address)
+                start = len(path.rstrip("/"))
+                found = [
+                    (address.rstrip("/") + i.path[start:], i.type == fs.FileType.Directory, i.size or 0)
+                    for i in system.get_file_info(fs.FileSelector(path))
+                ]
+                yield pd.DataFrame(found, columns=["address", "is_folder", "size_bytes"])
+
+    return folders.select("address").mapInPandas(names, "address string, is_folder boolean, size_bytes long")
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """run_id, path, size_bytes, address of every file; contents are not read.
+    """run_id, path, size_bytes, address of every file, whatever its name; contents are not read.
 
-    Spark's file listing passes over names that begin with '.' or '_'.
+    Level by level: the folders of a level are dealt to tasks anew, so neither the
+    driver nor a task holds a tree. Left-over files of broken copies are passed over.
     """
-    return _files(spark, root).select("run_id", "path", "size_bytes", "address")
+    locate(root)
+    folders, levels = spark.createDataFrame([(root.rstrip("/"),)], "address string"), []
+    while not folders.isEmpty():
+        level = written(_listed(folders.repartition("address")), "listing")
+        levels.append(level.where(~F.col("is_folder")))
+        folders = level.where("is_folder")
+    files = reduce(DataFrame.unionByName, levels) if levels else _listed(folders)
+    files = files.where(~F.split_part("address", F.lit("/"), F.lit(-1)).startswith(PARTIAL))
+    return _placed(files.select("address", "size_bytes"), root).select("run_id", "path", "size_bytes", "address")
 
 
 def read_metadata(spark: SparkSession, root: str) -> DataFrame:
     """Flavors, requirements and Python version by run."""
-    models = _files(spark, root, "MLmodel").where(F.col("path") == _MODEL_FILE)
-    needs = _files(spark, root, "requirements.txt").where(F.col("path") == _REQUIREMENTS_FILE)
+    models = _contents(spark, root, "MLmodel").where(F.col("path") == _MODEL_FILE)
+    needs = _contents(spark, root, "requirements.txt").where(F.col("path") == _REQUIREMENTS_FILE)
     return run_metadata(models, needs)
 
 
@@ -64,35 +106,50 @@ def _filesystem(root: str):
 def locate(address: str):
     """(file system, path) of an address, as Spark writes it: characters are not escaped.
 
-    File systems are kept by authority, so a task connects once to each store.
+    An address without a scheme must be absolute. Any scheme that is not listed in
+    ``SCHEMES`` is refused, so that a file never lands on the disk of an executor
+    by mistake. File systems are kept by authority, so a task connects once to each store.
     """
-    scheme, found, rest = address.partition("://")
-    if not found or scheme == "file":
-        local = "/" + address.removeprefix("file:").lstrip("/")
-        return _filesystem("file:///")[0], local
-    store, _, key = rest.partition("/")
-    system, base = _filesystem(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{store}/")
+    scheme, colon, rest = address.partition(":")
+    if not colon or "/" in scheme:
+        scheme, rest = "file", address
+    if scheme not in SCHEMES:
+        raise ValueError(f"cannot reach {address}: the scheme must be one of {', '.join(sorted(SCHEMES))}")
+    if scheme == "file":
+        if not rest.startswith("/"):
+            raise ValueError(f"{address} is not absolute")
+        return _filesystem("file:///")[0], "/" + rest.lstrip("/")
+    if not rest.startswith("//"):
+        raise ValueError(f"{address} names no store")
+    store, _, key = rest[2:].partition("/")
+    system, base = _filesystem(f"{SCHEMES[scheme]}://{store}/")
     return system, f"{base.rstrip('/')}/{key}"
 
 
 def copy_file(source: str, target: str, attempt: str) -> int:
-    """Stream one file to a hidden name of this attempt, then rename it; the bytes copied.
+    """Stream one file to its place; its bytes. A file that is there with the right size stays.
 
-    Two attempts of one task never write the same file, and a reader sees
-    either no file or a whole one. A killed attempt leaves its hidden file, which
-    listings pass over.
+    On file systems it is written under a hidden name of this attempt and renamed, so two attempts of
+    one task never write the same file and a reader sees no file or a whole one. An object store shows
+    an upload only when it is complete, so there it is written to its place at once.
     """
     source_fs, source_path = locate(source)
     target_fs, target_path = locate(target)
+    wanted, there = source_fs.get_file_info(source_path), target_fs.get_file_info(target_path)
+    if there.is_file and wanted.is_file and there.size == wanted.size:
+        return wanted.size
     folder, name = target_path.rsplit("/", 1)
-    target_fs.create_dir(folder, recursive=True)
-    partial = f"{folder}/.{name}.{attempt}"
+    renames = target_fs.type_name in ("local", "hdfs")
+    if renames:
+        target_fs.create_dir(folder, recursive=True)
+    partial = f"{folder}/{PARTIAL}{attempt}.{name}" if renames else target_path
     done = 0
     with source_fs.open_input_stream(source_path) as reader, target_fs.open_output_stream(partial) as writer:
         while chunk := reader.read(_CHUNK):
             writer.write(chunk)
             done += len(chunk)
-    target_fs.move(partial, target_path)
+    if renames:
+        target_fs.move(partial, target_path)
     return done
 
 
@@ -108,25 +165,31 @@ def _copy_with_retry(source: str, target: str, attempt: str, patience: float) ->
     raise AssertionError("unreachable")
 
 
-def copy_artifacts(manifest: DataFrame, tasks: int, patience: float = 1.0) -> DataFrame:
+def copy_tasks(manifest: DataFrame) -> int:
+    """Tasks for a manifest: each has at most some ``TASK_BYTES`` and ``TASK_FILES``, one large file aside."""
+    size, files = manifest.agg(F.sum(F.coalesce("size_bytes", F.lit(0))), F.count(F.lit(1))).first()
+    return max(1, -(-(size or 0) // TASK_BYTES), -(-files // TASK_FILES))
+
+
+def copy_artifacts(manifest: DataFrame, threads: int, patience: float = 1.0) -> DataFrame:
     """Copy each (source_address, target_address); the manifest plus ok, bytes, error.
 
-    Lazy: write the result once, since every evaluation copies again. Files
-    are dealt to ``tasks`` partitions by target, so that the files of one large
-    run are spread.
+    Lazy: write the result once, since every evaluation looks at each file again. Files
+    are dealt by target to as many tasks as their bytes and number ask for, so a lost task
+    repeats little; what it had finished is not copied again. A task copies ``threads`` files at once.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in manifest.schema)
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt = f"part-{TaskContext.get().taskAttemptId()}"
-        for batch in batches:
-            results = [
-                _copy_with_retry(s, t, attempt, patience)
-                for s, t in zip(batch["source_address"], batch["target_address"])
-            ]
-            yield batch.assign(
-                ok=[r[0] for r in results], bytes=[r[1] for r in results], error=[r[2] for r in results]
-            )
-
-    dealt = manifest.repartition(tasks, "target_address")
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                results = list(pool.map(
+                    lambda pair: _copy_with_retry(*pair, attempt, patience),
+                    zip(batch["source_address"], batch["target_address"])))
+                yield batch.assign(
+                    ok=[r[0] for r in results], bytes=[r[1] for r in results], error=[r[2] for r in results]
+                )
+
+    dealt = manifest.repartition(copy_tasks(manifest), "target_address")
     return dealt.mapInPandas(copy, f"{schema}, {RESULT_SCHEMA}")

@@ -2,12 +2,15 @@
 
 A plain snapshot is a folder with one dataset by table. A registry written by
 this package keeps each transfer under ``<table>/commit=<id>`` and names the
-complete ones in ``_commits``. A transfer that broke half way is not named there,
+complete ones in ``_commits``. Both may lie side by side: a transfer into a plain
+snapshot adds to it, and all its rows are read on. A transfer that broke half way is not named there,
 so its records are never read and the retry cannot double them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +30,24 @@ WRITE_ORDER = (
 EMPTY_IS_NULL = {"versions": ("run_id",)}
 
 
-def _read_table(spark: SparkSession, path: str, table: str, fmt: str, commits: list[str] | None) -> DataFrame:
-    schema = TABLES[table]
-    folder = f"{path}/{table}"
-    if not storage.exists(spark, folder):
-        return spark.createDataFrame([], schema)
-    if commits is None:
-        df = spark.read.schema(schema).format(fmt).load(folder)
-    else:
-        done = [f"{folder}/commit={c}" for c in commits if storage.exists(spark, f"{folder}/commit={c}")]
-        if not done:
-            return spark.createDataFrame([], schema)
-        df = spark.read.schema(schema).option("basePath", folder).format(fmt).load(done)
-        df = df.select(*schema.fieldNames())
+# A registry that lacks one of these is not one, or its address is wrong.
+REQUIRED = ("models", "versions", "experiments", "runs", "run_params", "run_metrics", "run_artifacts")
+
+
+def _read_table(spark: SparkSession, path: str, table: str, fmt: str, commits: set[str]) -> DataFrame | None:
+    """Plain files and complete commits of a table; None where it has no folder."""
+    schema, folder = TABLES[table], f"{path}/{table}"
+    there = storage.names(spark, folder)
+    if there is None:
+        return None
+    done = [n for n in there if n.startswith("commit=") and n.removeprefix("commit=") in commits]
+    plain = [n for n in there if not n.startswith(("commit=", "_", "."))]
+    reader = spark.read.schema(schema).option("basePath", folder).format(fmt)
+    parts = [
+        reader.load([f"{folder}/{n}" for n in some]).select(*schema.fieldNames())
+        for some in (plain, done) if some
+    ]
+    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     for column in EMPTY_IS_NULL.get(table, ()):
         df = df.withColumn(column, F.nullif(F.col(column), F.lit("")))
     return df
@@ -50,11 +58,20 @@ def committed(spark: SparkSession, path: str) -> list[str]:
     return storage.folder_names(spark, f"{path}/{COMMITS}")
 
 
-def read_registry(spark: SparkSession, path: str, host: str, fmt: str = "parquet") -> Snapshot:
-    """Lazy snapshot of the registry of one workspace."""
-    versioned = storage.exists(spark, f"{path}/{COMMITS}")
-    commits = committed(spark, path) if versioned else None
+def read_registry(
+    spark: SparkSession, path: str, host: str, fmt: str = "parquet", may_be_new: bool = False
+) -> Snapshot:
+    """Lazy snapshot of the registry of one workspace.
+
+    A required table that is missing is an error. Only a target that does not
+    exist yet may lack them: with ``may_be_new`` a folder without any table reads as empty.
+    """
+    commits = set(committed(spark, path))
     made = {t: _read_table(spark, path, t, fmt, commits) for t in TABLES}
+    lost = [t for t in REQUIRED if made[t] is None]
+    if lost and not (may_be_new and all(df is None for df in made.values())):
+        raise FileNotFoundError(f"{path} has no table {', '.join(lost)}")
+    made = {t: spark.createDataFrame([], TABLES[t]) if df is None else df for t, df in made.items()}
     return Snapshot(host=normal_host(host), **made)
 
 

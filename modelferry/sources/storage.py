@@ -27,6 +27,14 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(where) if s.isDirectory())
 
 
+def names(spark: SparkSession, path: str) -> list[str] | None:
+    """Names directly below ``path``, sorted; None where there is no such folder."""
+    system, where = _hadoop(spark, path)
+    if not system.exists(where):
+        return None
+    return sorted(s.getPath().getName() for s in system.listStatus(where))
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """Create a folder as a sign that something is complete."""
     system, where = _hadoop(spark, path)

@@ -26,7 +26,7 @@ def test_source_and_target_columns():
 
 
 def test_options_are_checked():
-    for bad in ({"batch_size": 0}, {"copy_tasks": 0}, {"copy_tasks": 65}, {"max_runs_per_experiment": 0},
+    for bad in ({"batch_size": 0}, {"copy_threads": 0}, {"copy_threads": 65}, {"max_runs_per_experiment": 0},
                 {"max_versions_per_model": 0}):
         with pytest.raises(ValueError):
             Options(**bad)

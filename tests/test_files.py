@@ -63,8 +63,44 @@ def test_listing_reads_no_contents(spark, tree):
     listed = artifact_files.list_artifacts(spark, root)
     assert {(r.run_id, r.path, r.size_bytes) for r in listed.collect()} == {
         (p.split("/")[0], p.split("/artifacts/")[1], len(b)) for p, b in files.items()}
-    plan = listed._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+    assert "binaryFile" not in listed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_name_is_listed(spark, folder):
+    names = ["model/MLmodel", "model/code/pkg/__init__.py", "model/code/pkg/a.py", "model/.cfg", "_x/y", "artifacts/z", "a b/é"]
+    for name in names:
+        path = f"{folder}/e/r1/artifacts/{name}"
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as out:
+            out.write(name)
+    with open(f"{folder}/e/r1/artifacts/{artifact_files.PARTIAL}part-1.x", "w") as out:
+        out.write("left over")
+    for root in (folder, f"file://{folder}/"):
+        listed = artifact_files.list_artifacts(spark, root).collect()
+        assert sorted((r.run_id, r.path, r.size_bytes) for r in listed) == sorted(("e/r1", n, len(n.encode())) for n in names)
+
+
+@pytest.mark.parametrize("address", ["dbfs:/moved/1/x", "moved/1/x", "artifacts", "ftp://a/b", "s3:/x", "file:x"])
+def test_addresses_that_would_land_elsewhere_are_refused(address):
+    with pytest.raises(ValueError):
+        artifact_files.locate(address)
+
+
+def test_tasks_follow_the_files(spark, monkeypatch):
+    files = spark.createDataFrame([("t", 1 << 30)] * 5 + [("t", None)] * 3, "target_address string, size_bytes long")
+    assert artifact_files.copy_tasks(files) == 5
+    monkeypatch.setattr(artifact_files, "TASK_FILES", 1)
+    assert artifact_files.copy_tasks(files) == 8 and artifact_files.copy_tasks(files.where("false")) == 1
+
+
+def test_a_finished_target_is_not_copied_again(folder):
+    for name, body in (("a", b"12345"), ("b", b"xxxxx"), ("c", b"xx")):
+        with open(f"{folder}/{name}", "wb") as out:
+            out.write(body)
+    assert artifact_files.copy_file(f"{folder}/a", f"{folder}/b", "t") == 5
+    assert open(f"{folder}/b", "rb").read() == b"xxxxx"
+    assert artifact_files.copy_file(f"{folder}/a", f"{folder}/c", "t") == 5
+    assert open(f"{folder}/c", "rb").read() == b"12345"
 
 
 def test_metadata_of_model_folders(spark, tree):
@@ -92,7 +128,7 @@ def test_copy_isolates_failures(spark, tree, folder):
         assert done[run, inside].bytes == len(body)
         with open(f"{folder}/dst/{run}/{inside}", "rb") as copy:
             assert copy.read() == body
-    left = [f for _, _, names in os.walk(f"{folder}/dst") for f in names if ".part-" in f]
+    left = [f for _, _, names in os.walk(f"{folder}/dst") for f in names if f.startswith(artifact_files.PARTIAL)]
     assert left == []
 
 
@@ -117,6 +153,51 @@ def test_retryable_failures_are_tried_again(monkeypatch):
     assert artifact_files._copy_with_retry("a", "b", "t", patience=0.0)[0] is False and len(seen) == 6
 
 
+def test_a_source_must_have_its_tables(spark, folder):
+    with pytest.raises(FileNotFoundError):
+        registry.read_registry(spark, f"{folder}/nowhere", "h")
+    assert registry.read_registry(spark, f"{folder}/nowhere", "h", may_be_new=True).models.count() == 0
+    source = small.sample_source(spark)
+    for name in ("models", "versions"):
+        registry.conformed(getattr(source, name), name).write.parquet(f"{folder}/part/{name}")
+    for may in (False, True):
+        with pytest.raises(FileNotFoundError, match="runs"):
+            registry.read_registry(spark, f"{folder}/part", "h", may_be_new=may)
+
+
+def test_a_migrated_target_can_be_a_source(spark, folder):
+    from modelferry.plans import survey
+
+    options = Options(artifact_root=f"{folder}/m")
+    transfer.migrate_all(small.sample_source(spark), f"{folder}/t", "https://t", options, "c", copy_files=False)
+    back = registry.read_registry(spark, f"{folder}/t", "https://t/")
+    row = {r.model_name: r for r in survey.inventory_report(back, options, "https://next").collect()}["m1"]
+    assert (row.source_host, row.source_versions_migratable, row.source_runs) == ("https://t", 1, 3)
+    assert {r.lifecycle for r in back.runs.collect()} == {"active"}
+    assert all(r.creation_ms for r in back.versions.collect()) and {r.user_id for r in back.versions.collect()} >= {"ann"}
+
+
+def test_no_local_staging_on_a_cluster(spark, monkeypatch):
+    from modelferry import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session())
+
+
 def test_registry_round_trip_and_commits(spark, folder):
     source, path = small.sample_source(spark), f"{folder}/reg"
     tables = {n: getattr(source, n) for n in registry.WRITE_ORDER}
@@ -134,7 +215,9 @@ def test_registry_round_trip_and_commits(spark, folder):
 
 
 def test_plain_snapshots_in_json(spark, folder):
-    small.table(spark, "versions", [{"model_name": "m", "version": 1, "run_id": ""}]).write.json(f"{folder}/versions")
+    for name in registry.REQUIRED:
+        rows = [{"model_name": "m", "version": 1, "run_id": ""}] if name == "versions" else []
+        small.table(spark, name, rows).write.json(f"{folder}/{name}")
     back = registry.read_registry(spark, folder, small.HOST, "json")
     assert back.versions.first().run_id is None and back.runs.count() == 0
 
