@@ -248,15 +248,23 @@ def with_error_rows(rows: DataFrame, errors: DataFrame) -> DataFrame:
 
 def inventory_summary(rows: DataFrame) -> DataFrame:
     """One row of totals (A6); an error row counts as blocked."""
-    totals = rows.agg(
-        F.count(F.lit(1)).alias("models"),
-        F.coalesce(F.sum("source_versions"), F.lit(0)).alias("versions"),
-        F.coalesce(F.sum("source_versions_migratable"), F.lit(0)).alias("migratable"),
-        F.count_if(F.col("readiness").startswith(OK_MARK)).alias("ready"),
-        F.count_if(F.col("readiness").startswith(WARN_MARK)).alias("partial"),
-        F.count_if(F.col("readiness").startswith(BAD_MARK)).alias("blocked"),
+    # Each row is laid out as itself and its owners, so one pass gives totals and owners.
+    owners = F.split(F.nullif(F.col("owner_emails"), F.lit("")), LIST_SEPARATOR)
+    laid = rows.select(
+        "source_versions", "source_versions_migratable", "readiness",
+        F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.coalesce(owners, F.array().cast("array<string>")))).alias("_place", "_owner"),
+    )
+    itself = F.col("_place") == 0
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(F.when(itself, F.col(column))), F.lit(0))
+
+    def marked(mark: str) -> Column:
+        return F.count_if(itself & F.col("readiness").startswith(mark))
+
+    return laid.agg(
+        F.count_if(itself).alias("models"), total("source_versions").alias("versions"),
+        total("source_versions_migratable").alias("migratable"), marked(OK_MARK).alias("ready"),
+        marked(WARN_MARK).alias("partial"), marked(BAD_MARK).alias("blocked"),
+        F.count_distinct("_owner").alias("unique_owners"),
     )
-    owners = rows.where(F.col("owner_emails") != "").select(
-        F.explode(F.split("owner_emails", LIST_SEPARATOR)).alias("owner")
-    ).agg(F.count_distinct("owner").alias("unique_owners"))
-    return totals.withColumn("unique_owners", owners.scalar())

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 VERSIONS_PER_SEGMENT = 4096
-SAMPLE_LEVELS = 8
+# Rows that one segment should hold about, and how many halvings find a segment at least and at most.
+ROWS_PER_SEGMENT = 1_000_000
+SAMPLE_LEVELS, MOST_LEVELS = 8, 16
 
 # Up to this cap Spark cuts the groups inside the map tasks (WindowGroupLimit),
 # so that few rows of a group are left when it reaches its task.
@@ -30,13 +32,22 @@ def version_segments(df: DataFrame, newest_first: bool = False) -> DataFrame:
     return df.withColumn(_SEGMENT, -place if newest_first else place)
 
 
-def sampled_segments(df: DataFrame, order: list[Column], levels: int = SAMPLE_LEVELS) -> DataFrame:
+def segment_levels(rows: int) -> int:
+    """Halvings that bring a table of so many rows down to segments of about ``ROWS_PER_SEGMENT``."""
+    return min(MOST_LEVELS, max(SAMPLE_LEVELS, (rows // ROWS_PER_SEGMENT).bit_length()))
+
+
+def sampled_segments(df: DataFrame, order: list[Column], levels: int | None = None) -> DataFrame:
     """Add the segment of any order: the place among ``2**levels - 1`` sampled split points.
 
+    Levels follow from the row count, which is taken here unless they are given.
+
     The split points are the rows with the smallest hashes, so they are the same
     in every attempt, and they arrive as one array of bounded size. The place is
     found by halving, one comparison to a level.
     """
+    if levels is None:
+        levels = segment_levels(df.count())
     key = F.struct(*order) if len(order) > 1 else order[0]
     sample = df.select(key.alias("_key")).orderBy(F.xxhash64("_key"), "_key").limit(2**levels - 1)
     splits = sample.agg(F.array_sort(F.collect_list("_key"))).scalar()

@@ -40,3 +40,15 @@ def mark(spark: SparkSession, path: str) -> None:
     system, where = _hadoop(spark, path)
     if not system.mkdirs(where):
         raise OSError(f"cannot create {path}")
+
+
+def claim(spark: SparkSession, path: str) -> None:
+    """Create an empty file that must not exist yet; of two callers one fails."""
+    system, where = _hadoop(spark, path)
+    system.create(where, False).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file with all below it, if it is there."""
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)

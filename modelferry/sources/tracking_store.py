@@ -3,8 +3,9 @@
 Each state of the table is a complete dataset ``<path>/state=<number>``. Spark's
 ``_SUCCESS`` file makes it valid, and the highest valid number is current, so
 a reader never sees half a state and a plan never overwrites what it reads.
-One writer at a time: a second one that starts from the same state fails, as its
-folder exists already. Where a table format offers MERGE, use
+One writer at a time: each claims its number by a file that only one can create, so
+a second one that starts from the same state fails. The newest ``KEPT`` states stay, for readers that began
+before the last change; older ones are deleted. Where a table format offers MERGE, use
 :func:`merge_statement` on its table instead.
 """
 
@@ -20,6 +21,8 @@ from modelferry.schemas import POSITION, SOURCE_COLUMNS, TRACKING, TRACKING_KEYS
 from modelferry.sources import storage
 
 _STATE = "state="
+_CLAIM = "_claim-"
+KEPT = 8
 
 
 class TrackingStore:
@@ -67,9 +70,25 @@ class TrackingStore:
             (F.col(f.name) if f.name in state.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema
         ]
-        # An unfinished folder keeps its number; the next attempt takes a new one.
-        number = max(self._numbers(), default=0) + 1
+        # An unfinished attempt keeps its number; the next one takes a new one.
+        names = storage.names(self.spark, self.path) or []
+        claimed = [int(n.removeprefix(_CLAIM)) for n in names if n.startswith(_CLAIM)]
+        number = max([*self._numbers(), *claimed], default=0) + 1
+        storage.claim(self.spark, f"{self.path}/{_CLAIM}{number:08d}")
         state.select(*columns).write.mode("errorifexists").parquet(self._folder(number))
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop states, finished or not, that are older than the ``KEPT`` newest finished ones."""
+        done = [
+            n for n in sorted(self._numbers(), reverse=True)
+            if storage.exists(self.spark, f"{self._folder(n)}/_SUCCESS")
+        ]
+        if len(done) > KEPT:
+            for number in self._numbers():
+                if number < done[KEPT - 1]:
+                    storage.remove(self.spark, self._folder(number))
+                    storage.remove(self.spark, f"{self.path}/{_CLAIM}{number:08d}")
 
     def update(self, change: Callable[[DataFrame], DataFrame]) -> None:
         """Commit ``change`` of the current state, positions included."""

@@ -29,7 +29,11 @@ def apply_events(tracking: DataFrame, events: DataFrame) -> DataFrame:
     Events at or before a row's position change nothing, so a batch that
     comes twice, or out of order, has no further effect.
     """
-    latest = latest_outcomes(events)
+    return apply_latest(tracking, latest_outcomes(events))
+
+
+def apply_latest(tracking: DataFrame, latest: DataFrame) -> DataFrame:
+    """The same for events of which :func:`latest_outcomes` left one a model."""
     seen = tracking.select(
         *TRACKING_KEYS, *[F.col(c).alias(f"_seen_{c}") for c in _POSITION]
     )
@@ -55,8 +59,13 @@ def track_stream(
     store.create()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            store.update(lambda tracking: apply_events(tracking, batch))
+        # The newest outcome of each model is all that counts; it is worked out once.
+        latest = latest_outcomes(batch).persist()
+        try:
+            if not latest.isEmpty():
+                store.update(lambda tracking: apply_latest(tracking, latest))
+        finally:
+            latest.unpersist()
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if interval is None:

@@ -2,6 +2,8 @@
 
 import itertools
 
+import pytest
+
 from modelferry.operators import upsert
 from modelferry.sources.tracking_store import TrackingStore
 from modelferry.streaming import live_tracking
@@ -66,3 +68,24 @@ def test_stream_equals_batch(spark, folder):
     batch = upsert.apply_outcomes(before, latest, target_columns=("target_versions", "migration_status"))
     pick = lambda df: sorted(map(tuple, df.select("model_name", "target_versions", "migration_status").collect()))
     assert pick(store.read()) == pick(batch)
+
+
+def test_old_states_go_and_two_writers_cannot_share_a_number(spark, folder, monkeypatch):
+    from modelferry.sources import tracking_store
+
+    monkeypatch.setattr(tracking_store, "KEPT", 2)
+    store = tracking_store.TrackingStore(spark, f"{folder}/t")
+    store.create()
+    for _ in range(4):
+        store.update(lambda state: state)
+    assert store._numbers() == [4, 5] and store.current() == 5
+    monkeypatch.setattr(store, "_numbers", lambda: [4])
+    monkeypatch.setattr(tracking_store.storage, "names", lambda spark, path: [])
+    with pytest.raises(Exception, match="exist"):
+        store.write(store.spark.createDataFrame([], store.schema))
+
+
+def test_segments_follow_the_rows():
+    from modelferry.operators.ranking import segment_levels
+
+    assert [segment_levels(n) for n in (0, 10**6, 10**9, 10**12)] == [8, 8, 10, 16]
