@@ -299,14 +299,18 @@ def metric_history(mapped: DataFrame, run_metrics: DataFrame, metric_points: Dat
 
     A metric without points yields one synthetic point; points of no metric are
     dropped. Two inner joins and an anti-join rather than one outer join, since
-    an outer join could not split a series that holds much of the table.
+    an outer join could not split a series that holds much of the table. Points of
+    runs that are not new go before anything is shuffled by metric.
     """
     new = new_runs(mapped).select("run_id", "target_run_id", "start_ms", "end_ms")
     metrics = run_metrics.select("run_id", "key", "value").join(new, "run_id")
-    points = metric_points.select("run_id", "key", "value", "ts_ms", "step").join(
+    of_new = metric_points.select("run_id", "key", "value", "ts_ms", "step").join(
+        new.select("run_id"), "run_id", "left_semi"
+    )
+    points = of_new.join(
         metrics.select("run_id", "key", "target_run_id"), ["run_id", "key"]
     ).select(F.col("target_run_id").alias("run_id"), "key", "value", "ts_ms", "step")
-    recorded = metric_points.select("run_id", "key").distinct()
+    recorded = of_new.select("run_id", "key").distinct()
     ended = F.nullif(F.col("end_ms"), F.lit(0).cast("bigint"))
     started = F.nullif(F.col("start_ms"), F.lit(0).cast("bigint"))
     synthetic = metrics.join(recorded, ["run_id", "key"], "left_anti").select(
