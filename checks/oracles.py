@@ -295,11 +295,11 @@ QUERIES: dict[str, str] = {
           (SELECT r.experiment_id FROM src_versions v JOIN runs r ON r.run_id = v.run_id)""",
     "dangling_references": """
         SELECT 'version_run' AS kind, model_name, version, CAST(run_id AS VARCHAR) AS id,
-               concat('Skipping model version ', model_name, ' v', version, ': run ', run_id, ' is unavailable') AS message
+               concat(model_name, ' version ', version, ' points to run ', run_id, ', which is lost') AS message
         FROM states WHERE run_state = 'BLOCKED'
         UNION ALL
         SELECT 'run_experiment', NULL, NULL, CAST(experiment_id AS VARCHAR),
-               concat('Skipping experiment ', experiment_id, ': it is unavailable')
+               concat('wanted experiment ', experiment_id, ' is lost')
         FROM (SELECT experiment_id FROM states WHERE run_state = 'READY' UNION SELECT 0 UNION SELECT 987654321) w
         WHERE experiment_id NOT IN (SELECT experiment_id FROM experiments)""",
     "experiment_names": f"""
@@ -460,6 +460,12 @@ QUERIES: dict[str, str] = {
           UNION ALL SELECT target_model, number, 'source_model_version', CAST(version AS VARCHAR), 0 FROM created
         ) q GROUP BY 1, 2, 3""",
     "migration_failures": "SELECT model_name, version, reason FROM reasons WHERE reason IS NOT NULL",
+    "run_failures": """
+        SELECT CAST(c.run_id AS VARCHAR) AS run_id, CAST(c.experiment_id AS VARCHAR) AS experiment_id,
+               left(CASE WHEN x.target_name IS NULL THEN concat('Experiment ', c.experiment_id, ' not found')
+                    ELSE concat('Missing target experiment ', x.target_name) END, 120) AS reason
+        FROM candidates c LEFT JOIN exp_map x ON x.experiment_id = c.experiment_id
+        WHERE x.target_name IS NULL OR x.target_name NOT IN (SELECT name FROM tgt_experiments)""",
     "failure_comments": "SELECT * FROM fail_comments",
     "artifact_manifest": _MANIFEST.format(files="all_files"),
     "model_manifest": _MANIFEST.format(files="model_files"),

@@ -383,6 +383,14 @@ def migration_failures(spark, sf_dir):
     return rewrite.version_failures(_plan(spark, sf_dir).judged())
 
 
+@query
+def run_failures(spark, sf_dir):
+    """Runs without a place where missing experiments may not be made."""
+    plan = transfer.plan_transfer(
+        fx.source(spark, sf_dir), fx.target(spark, sf_dir), replace(OPTIONS, create_missing_experiments=False), written)
+    return rewrite.run_failures(plan.mapped)
+
+
 @query
 def failure_comments(spark, sf_dir):
     return reconcile.failure_comments(rewrite.version_failures(_plan(spark, sf_dir).judged()))

@@ -26,6 +26,8 @@ from modelferry.schemas import TRACKING, Snapshot
 VERSION_MESSAGE = 80
 ERROR_READINESS = 60
 ERROR_COMMENT = 120
+# Fixed value: how the comment of a failed model begins.
+ERROR_COMMENT_PREFIX = "Inventory error: "
 LIST_SEPARATOR = ", "
 NAME_SEPARATOR = " | "
 COMMENT_SEPARATOR = "; "
@@ -233,7 +235,7 @@ def error_rows(
         "experiments": F.lit(""),
         "latest_version_created": F.lit(""),
         "created": F.lit(""),
-        "discovery_comments": F.concat(F.lit("Inventory error: "), cut(message, ERROR_COMMENT)),
+        "discovery_comments": F.concat(F.lit(ERROR_COMMENT_PREFIX), cut(message, ERROR_COMMENT)),
         "last_updated_at": F.current_timestamp() if now is None else now,
     }
     return failures.select(*_tracking_row(filled, F.lit(None).cast("string")))

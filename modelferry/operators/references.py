@@ -65,9 +65,8 @@ def dangling(
             F.lit("version_run").alias("kind"), "model_name", "version",
             F.col("run_id").cast("string").alias("id"),
             F.concat(
-                F.lit("Skipping model version "), "model_name", F.lit(" v"),
-                F.col("version").cast("string"), F.lit(": run "),
-                F.col("run_id").cast("string"), F.lit(" is unavailable"),
+                "model_name", F.lit(" version "), F.col("version").cast("string"),
+                F.lit(" points to run "), F.col("run_id").cast("string"), F.lit(", which is lost"),
             ).alias("message"),
         )
     )
@@ -81,8 +80,7 @@ def dangling(
             no_name.alias("model_name"), no_version.alias("version"),
             F.col("experiment_id").cast("string").alias("id"),
             F.concat(
-                F.lit("Skipping experiment "), F.col("experiment_id").cast("string"),
-                F.lit(": it is unavailable"),
+                F.lit("wanted experiment "), F.col("experiment_id").cast("string"), F.lit(" is lost"),
             ).alias("message"),
         )
     )
@@ -102,5 +100,5 @@ def named_experiments(
 
 
 def experiment_label(name, experiment_id):
-    """Name, or the id in words."""
+    """Name, or the id in words, in a fixed form."""
     return F.coalesce(name, F.concat(F.lit("(id: "), experiment_id.cast("string"), F.lit(")")))

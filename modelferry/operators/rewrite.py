@@ -15,7 +15,7 @@ from modelferry.operators.ranking import next_versions
 from modelferry.operators.scope import drop_reserved_tags
 from modelferry.schemas import Snapshot
 
-# Provenance tag keys, the run-name tag, and the reason length.
+# Provenance tag keys, the run-name tag, the reason length, and reasons that users look for.
 TAG_HOST = "source_workspace_host"
 TAG_EXPERIMENT = "source_experiment_id"
 TAG_RUN = "source_run_id"
@@ -24,6 +24,8 @@ TAG_VERSION = "source_model_version"
 TAG_RUN_NAME = "mlflow.runName"
 REASON_LENGTH = 120
 ACTIVE = "active"
+NO_RUN_ID = " has no run_id"
+NO_EXPERIMENT = "Missing target experiment "
 
 # Columns of the migration summary.
 SUMMARY = (
@@ -368,14 +370,14 @@ def _reason() -> Column:
             F.col("run_id").isNull(),
             F.concat(
                 F.lit("Model version "), F.col("model_name"), F.lit(" v"),
-                F.col("version").cast("string"), F.lit(" has no run_id"),
+                F.col("version").cast("string"), F.lit(NO_RUN_ID),
             ),
         )
         .when(F.col("_found").isNull(), F.concat(F.lit("Run "), run, F.lit(" not found")))
         .when(F.col("target_name").isNull(), F.concat(F.lit("Experiment "), experiment, F.lit(" not found")))
         .when(
             F.col("target_run_id").isNull(),
-            F.concat(F.lit("Missing target experiment "), F.col("target_name")),
+            F.concat(F.lit(NO_EXPERIMENT), F.col("target_name")),
         )
         .when(
             F.col("_files").isNull(),
@@ -389,6 +391,25 @@ def version_failures(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("reason").isNotNull()).select("model_name", "version", "reason")
 
 
+def run_failures(mapped: DataFrame) -> DataFrame:
+    """run_id, experiment_id, reason of runs that have no place in the target."""
+    lost = F.when(F.col("target_name").isNull(), F.concat(
+        F.lit("Experiment "), F.col("experiment_id").cast("string"), F.lit(" not found")
+    )).otherwise(F.concat(F.lit(NO_EXPERIMENT), F.col("target_name")))
+    return mapped.where(F.col("target_run_id").isNull()).select(
+        F.col("run_id").cast("string").alias("run_id"), F.col("experiment_id").cast("string").alias("experiment_id"),
+        F.left(lost, F.lit(REASON_LENGTH)).alias("reason"),
+    )
+
+
+def file_failures(copied: DataFrame) -> DataFrame:
+    """run_id, path, reason of files that could not be copied, model files or not."""
+    return copied.where(~F.col("ok")).select(
+        F.col("run_id").cast("string").alias("run_id"), "path",
+        F.left(F.col("error"), F.lit(REASON_LENGTH)).alias("reason"),
+    )
+
+
 def target_versions(
     judged: DataFrame, existing: DataFrame, host: str, now: Column | None = None
 ) -> DataFrame:

@@ -128,6 +128,8 @@ class Outcome:
     failures: DataFrame
     created_versions: DataFrame
     copied: DataFrame
+    run_failures: DataFrame
+    file_failures: DataFrame
 
 
 def run_transfer(
@@ -177,7 +179,7 @@ def run_transfer(
     write_registry(records, target_path, host, commit)
     experiments = plan.mapping if options.migrate_experiments else scope.nothing(plan.mapping)
     summary = rw.migration_summary(models, experiments, created)
-    return Outcome(summary, failures, created, copied)
+    return Outcome(summary, failures, created, copied, rw.run_failures(mapped), rw.file_failures(copied))
 
 
 def migrate_all(
