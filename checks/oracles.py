@@ -206,6 +206,19 @@ _MANIFEST = """
   FROM {files} f WHERE NOT EXISTS
     (SELECT 1 FROM tgt_run_artifacts t WHERE CAST(t.run_id AS VARCHAR) = f.target_run_id AND t.path = f.path)
 """
+PARTS["wanted_files"] = f"""
+  SELECT f.*, octet_length(encode(d.text)) AS bytes FROM ({_MANIFEST.format(files="all_files")}) f
+  LEFT JOIN (SELECT CAST((doc_id - doc_id % 3) / 3 AS BIGINT) AS run_id, text,
+                    CASE doc_id % 3 WHEN 0 THEN 'model/MLmodel' WHEN 1 THEN 'model/requirements.txt'
+                         ELSE concat('plots/', source, '.png') END AS path
+             FROM documents WHERE doc_id % 31 <> 0 AND doc_id % 17 <> 5) d ON d.run_id = f.run_id AND d.path = f.path
+"""
+PARTS["moved_verdicts"] = """
+  SELECT r.*, r.reason IS NOT NULL OR (NOT r.on_target AND EXISTS (
+    SELECT 1 FROM wanted_files w WHERE w.bytes IS NULL AND w.run_id = r.run_id
+      AND (w.path = r.model_path OR starts_with(w.path, concat(r.model_path, '/'))))) AS failed
+  FROM reasons r
+"""
 PARTS["fail_comments"] = """
   SELECT model_name, count(*) AS failed, string_agg(left(reason, 60), '; ' ORDER BY version) AS comments
   FROM reasons WHERE reason IS NOT NULL GROUP BY model_name
@@ -396,6 +409,13 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT 'experiments', 'versions', count(*) FROM in_scope_missing
         UNION ALL SELECT 'models', 'experiments', count(*) FROM ref_experiments
         UNION ALL SELECT 'models', 'versions', 0""",
+    "migrate_with_files": """
+        SELECT 'file' AS kind, target_run_id AS name, path, bytes AS n FROM wanted_files WHERE bytes IS NOT NULL
+        UNION ALL SELECT 'record', target_run_id, path, 0 FROM wanted_files WHERE bytes IS NOT NULL
+        UNION ALL SELECT 'version', target_model, NULL, coalesce(last, 0) + row_number() OVER (PARTITION BY target_model ORDER BY version)
+          FROM moved_verdicts LEFT JOIN (SELECT model_name AS target_model, max(version) AS last FROM made_versions GROUP BY 1) l
+          USING (target_model) WHERE NOT failed
+        UNION ALL SELECT 'failure', model_name, NULL, version FROM moved_verdicts WHERE failed""",
     "second_migration":
         "SELECT round, table_name, n_rows, n_rows AS n_keys FROM after_rows, (SELECT unnest(['one', 'two']) AS round) r",
     "new_models": """

@@ -597,6 +597,42 @@ def migrate_all(spark, sf_dir):
     ).summary
 
 
+@query
+def migrate_with_files(spark, sf_dir):
+    """A migration that moves files, some of which are lost: files that arrived, versions made, failures."""
+    root, path = scratch_path(spark, "files"), scratch_path(spark, "target")
+    s, t = fx.source(spark, sf_dir), fx.target(spark, sf_dir)
+
+    def home(folder):
+        return F.concat_ws("/", F.lit(f"{root}/{folder}"), F.col("run_id").cast("string"), F.lit("artifacts"))
+
+    # The documents are the files; those of one id in 17 cannot be found.
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    place = F.when(F.col("doc_id") % 3 == 0, "model/MLmodel").when(
+        F.col("doc_id") % 3 == 1, "model/requirements.txt").otherwise(F.concat(F.lit("plots/"), "source", F.lit(".png")))
+    write_texts(documents.where("doc_id % 31 <> 0 and doc_id % 17 <> 5").select(
+        F.concat_ws("/", F.lit(f"{root}/from"), F.floor(F.col("doc_id") / 3).cast("string"), F.lit("artifacts"), place).alias("address"),
+        "text"))
+    s = s.with_tables(runs=s.runs.withColumn("artifact_uri", home("from")))
+    t = t.with_tables(runs=t.runs.withColumn("artifact_uri", home("to/old")))
+    tables = {n: getattr(t, n) for n in registry.WRITE_ORDER if getattr(t, n, None) is not None}
+    registry.write_registry(tables, path, fx.SOURCE_HOST, "earlier")
+    done = transfer.migrate_all(s, path, fx.TARGET_HOST, replace(OPTIONS, artifact_root=f"{root}/to/new"), "now")
+    arrived = artifact_files.list_artifacts(spark, f"{root}/to").select(
+        F.lit("file").alias("kind"), F.split_part("run_id", F.lit("/"), F.lit(-1)).alias("name"), "path",
+        F.col("size_bytes").alias("n"))
+    known = registry.read_registry(spark, path, fx.TARGET_HOST).run_artifacts.join(
+        t.run_artifacts.select(F.col("run_id").cast("string").alias("run_id"), "path"), ["run_id", "path"], "left_anti")
+    none = F.lit(None).cast("string").alias("path")
+    return arrived.unionByName(
+        known.select(F.lit("record").alias("kind"), F.col("run_id").alias("name"), "path", F.lit(0).cast("bigint").alias("n"))
+    ).unionByName(
+        done.created_versions.select(F.lit("version").alias("kind"), F.col("model_name").alias("name"), none, F.col("version").cast("bigint").alias("n"))
+    ).unionByName(
+        done.failures.select(F.lit("failure").alias("kind"), F.col("model_name").alias("name"), none, F.col("version").cast("bigint").alias("n"))
+    )
+
+
 @query
 def second_migration(spark, sf_dir):
     """Rows of a plain target after one and after a second migration into it."""
