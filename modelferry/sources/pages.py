@@ -18,15 +18,20 @@ def page_schema(item: StructType) -> StructType:
 def read_paged_extract(spark: SparkSession, path: str, item: StructType) -> tuple[DataFrame, DataFrame]:
     """(items with request_key, gaps).
 
-    A page saved twice counts once. A gap is a next token with no page. The
-    first page of a listing has a NULL token.
+    A page saved twice counts once; of two that differ, the one with the smaller hash. A gap
+    is a next token with no page, or (with a NULL token) a listing without its first page.
     """
     pages = spark.read.schema(page_schema(item)).json(path)
     token = F.coalesce(F.col("page_token"), F.lit(""))
-    once = pages.withColumn("page_token", token).dropDuplicates(["request_key", "page_token"])
+    page = F.struct("next_page_token", "items")
+    once = pages.groupBy("request_key", token.alias("page_token")).agg(
+        F.min_by(page, F.struct(F.xxhash64(page), F.to_json(page))).alias("page")
+    ).select("request_key", "page_token", "page.*")
     items = once.select("request_key", F.inline("items"))
-    ahead = pages.where(F.coalesce(F.col("next_page_token"), F.lit("")) != "").select(
+    ahead = once.where(F.coalesce(F.col("next_page_token"), F.lit("")) != "").select(
         "request_key", F.col("next_page_token").alias("page_token")
-    ).distinct()
+    )
+    first = once.select("request_key", F.lit("").alias("page_token"))
     saved = once.select("request_key", "page_token")
-    return items, ahead.join(saved, ["request_key", "page_token"], "left_anti")
+    gaps = ahead.union(first).distinct().join(saved, ["request_key", "page_token"], "left_anti")
+    return items, gaps.withColumn("page_token", F.nullif("page_token", F.lit("")))
