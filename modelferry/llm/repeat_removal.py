@@ -40,9 +40,9 @@ LENGTH = 50
 GRAM = 24
 BEFORE = LENGTH - GRAM
 PHRASE = BEFORE + LENGTH
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes whose hashes are held at once.
-SLICE = 1 << 19
+SLICE = 1 << 18
 LAST_ID = (1 << 63) - 1
 
 _BASES = (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93)
