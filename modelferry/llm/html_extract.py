@@ -36,6 +36,8 @@ SEED = 1
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset(
     "script style noscript template iframe object svg math canvas audio video textarea select option datalist title head".split())
+#: What these hold is no markup and ends at the first end tag of the same name.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in ("script", "style", "textarea", "iframe")}
 BLOCK = frozenset(
     "html body address article aside blockquote button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr label legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -126,7 +128,8 @@ def parse(html: str) -> Page:
                 page.blocks.append(text)
 
     push("html", "")
-    for m in _TOKEN.finditer(html):
+    tokens = _TOKEN.finditer(html)
+    while m := next(tokens, None):
         s = m[0]
         if s[0] != "<" or s == "<":
             if not hidden:
@@ -139,6 +142,9 @@ def parse(html: str) -> Page:
             continue
         tag = (m[2] or m[5] or "").lower()
         closing = s[1] == "/"
+        if tag in RAW and not closing and not (hidden and s.endswith("/>")):
+            end = RAW[tag].search(html, m.end())
+            tokens = _TOKEN.finditer(html, end.start() if end else len(html))
         if hidden:
             if closing and tag == hidden:
                 hidden = ""

@@ -29,6 +29,14 @@ def test_blocks_and_references(trees):
         "A & B\n\nOne two three four five.\n\nSix seven, a < b.\n\nfirst item here.\n\nsecond item here."]
 
 
+@pytest.mark.parametrize("script", [
+    "<script>for(i=0;i<n;i++){f(i)}</script>", "<script><!-- f()\n</script>", "<SCRIPT>a<b&&'</scripts>'</Script >", "<style>a<b{}</style>",
+    "<style><!-- p{}</style>", "<textarea>a<b</textarea>", "<svg><style/><path d='m'/></svg>"])
+def test_scripts_end_at_their_own_end_tag(script):
+    assert H.parse(f"<body>{script}<p>Article</p></body>").blocks == ["Article"]
+    assert H.parse(f"<head>{script}</head><body><p>Article</p></body>").blocks == ["Article"]
+
+
 @pytest.mark.parametrize("page", [
     None, "", "   ", "plain text only", "<", "<<>>", "<p", "<!-- open", "<script>never", "</div></p></body>", "<div " + "a" * 5000,
     "<div>" * 3000 + "deep", "<p>" * 2000 + "x", "<a href=\"" * 50, "&#xZZ; &bogus; &#1114112;", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>\x00</p>",
