@@ -4,7 +4,7 @@ Native: expressions of Spark alone. Three kinds of spans come from patterns (ass
 hex). A fourth, ``markov``, covers runs of 16 or more characters of ``[A-Za-z0-9+/_=-]`` with a letter that look
 random: two first-order Markov models over characters, one of random strings, one of ordinary
 identifiers, give a log-likelihood ratio, and a run counts at ``MIN_RATIO`` or more.
-Runs that touch a span of a pattern are left to it.
+Spans of the patterns cut runs, and every part that is left is judged like a run of its own.
 
 Both models are trained from labelled samples. Random: ``STRINGS`` strings made from
 seeded digests, in hexadecimal, base64, its URL form and upper case. Ordinary: words, and identifiers joined from
@@ -145,6 +145,19 @@ def train(docs: DataFrame, labels: DataFrame) -> list[float]:
     return ratios(pair_counts(random_strings(docs.sparkSession)), ordinary)
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with a blank for each character of the spans, which are in order and may overlap."""
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), text.alias("t"))
+
+    def step(acc, x):
+        own = F.substring(acc["t"], acc["at"] + 1, x["s"] - acc["at"])
+        blank = F.repeat(F.lit(" "), x["e"] - F.greatest(acc["at"], x["s"]))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], own, blank).alias("out"), acc["t"].alias("t"))
+
+    return F.aggregate(spans, first, step, lambda acc: F.concat(
+        acc["out"], F.substring(acc["t"], acc["at"] + 1, F.length(acc["t"]))))
+
+
 def with_spans(docs: DataFrame, model: list[float]) -> DataFrame:
     """All columns, ``__t``, ``__base`` and ``__spans`` (all spans in order)."""
     table = F.array(*[F.lit(x) for x in model])
@@ -152,16 +165,17 @@ def with_spans(docs: DataFrame, model: list[float]) -> DataFrame:
     def ratio(run):
         return F.aggregate(_codes(F.split(run, "")), F.lit(0.0), lambda acc, p: acc + F.coalesce(F.get(table, p), F.lit(0.0)))
 
-    t = F.col("__t")
-    out = with_patterns(docs).withColumn("__runs", F.regexp_extract_all(t, F.lit(RUN), F.lit(0)))
+    t = F.col("__u")
+    out = with_patterns(docs)
+    out = out.withColumn("__u", F.when(F.size("__base") > 0, _blanked(F.col("__t"), F.col("__base"))).otherwise(F.col("__t")))
+    out = out.withColumn("__runs", F.regexp_extract_all(t, F.lit(RUN), F.lit(0)))
     out = out.withColumn("__odd", F.transform("__runs", lambda run: ratio(run) >= MIN_RATIO))
     placed = F.when(F.exists("__odd", lambda x: x), _placed(t, RUN, F.col("__runs"), 3)).otherwise(_empty())
     out = out.withColumn("__placed", placed)
     found = F.transform(
         F.filter(F.arrays_zip(F.col("__placed").alias("span"), F.col("__odd").alias("odd")),
                  lambda x: x["odd"] & x["span"].isNotNull()), lambda x: x["span"])
-    free = F.filter(found, lambda x: ~F.exists("__base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return out.withColumn("__spans", F.array_sort(F.concat("__base", free))).drop("__runs", "__odd", "__placed")
+    return out.withColumn("__spans", F.array_sort(F.concat("__base", found))).drop("__u", "__runs", "__odd", "__placed")
 
 
 def written_out(spans: Column) -> Column:

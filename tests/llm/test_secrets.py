@@ -66,6 +66,21 @@ def test_models_tell_random_from_ordinary(spark):
     assert [rows[len(odd) + i] for i in range(len(plain))] == [""] * len(plain)
 
 
+def test_a_pattern_leaves_the_rest_of_its_run(spark):
+    prepare(spark)
+    rng = random.Random(12)
+    key = "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    texts = [f"é😀 /{HEXES}/{key} now", f"see {key}/password=abcdef1 now", f"{key}/{HEXES}/AKIA{'B7' * 8}/{key[::-1]}", f"/customer_number/{HEXES}/customer_number"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in S.with_spans(docs, model(spark)).select("doc_id", "__t", "__spans").collect()}
+    for i, text in enumerate(texts):
+        assert rows[i]["__t"] == text
+        odd = [text[x.s:x.e] for x in rows[i]["__spans"] if x.k == 3]
+        expected = {0: [key], 1: [key], 2: [key, key[::-1]], 3: []}[i]
+        assert [o.strip("/") for o in odd] == expected
+        assert base(text) == ",".join(f"{S.KINDS[x.k]}:{x.s}:{x.e}" for x in rows[i]["__spans"] if x.k < 3)
+
+
 def test_no_python_in_the_plan(spark):
     prepare(spark)
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
