@@ -526,6 +526,27 @@ QUERIES: dict[str, str] = {
                CASE WHEN doc_id % 3 = 0 THEN 'model/MLmodel' WHEN doc_id % 6 = 1 THEN 'model/code/pkg/__init__.py'
                     WHEN doc_id % 3 = 1 THEN 'model/.cfg' ELSE concat('plots/_a/b/', source, '.png') END AS path,
                true AS ok, octet_length(encode(text)) AS bytes, octet_length(encode(text)) AS arrived_bytes FROM documents""",
+    "copy_bins": """
+        WITH f AS (
+          SELECT concat('s3://moved/', doc_id) AS target_address,
+                 CASE WHEN doc_id % 50 = 7 THEN n_chars * 1000000 WHEN doc_id % 50 = 8 THEN 1
+                      WHEN doc_id % 50 <> 9 THEN octet_length(encode(text)) END AS size_bytes FROM documents
+        ), r AS (
+          SELECT target_address, coalesce(size_bytes, 0) AS size, greatest((coalesce(size_bytes, 0) + 268435455) // 268435456, 1) AS n_ranges
+          FROM f
+        ), x AS (SELECT *, unnest(range(0, n_ranges)) AS range_no FROM r
+        ), y AS (SELECT *, range_no * 268435456 AS range_start, least(268435456, size - range_no * 268435456) AS range_length FROM x
+        ), t AS (SELECT CAST(sum(range_length + 1048576) AS BIGINT) AS total FROM y
+        ), n AS (SELECT total, greatest((total + 1073741823) // 1073741824, 1) AS bins FROM t
+        ), w AS (SELECT (total + bins - 1) // bins AS width FROM n
+        ), z AS (SELECT *, coalesce(sum(range_length + 1048576) OVER (
+            ORDER BY target_address, range_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM y)
+        SELECT target_address, CAST(range_no AS BIGINT) AS range_no, CAST(n_ranges AS BIGINT) AS n_ranges, CAST(range_start AS BIGINT) AS range_start,
+               CAST(range_length AS BIGINT) AS range_length, CAST(before // width AS INT) AS bin FROM z, w""",
+    "copy_large_files": """
+        SELECT lang AS run_id, concat('model/', doc_id % 3) AS path, true AS ok,
+               octet_length(encode(string_agg(text, chr(10) ORDER BY doc_id))) AS bytes, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS digest
+        FROM documents GROUP BY lang, doc_id % 3""",
     "track_stream": """
         SELECT t.source_host, t.model_name, t.readiness, t.source_versions, t.source_versions_migratable,
                CASE WHEN e.model_name IS NULL THEN t.target_versions ELSE e.target_versions END AS target_versions,

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from modelferry import Options, Snapshot
 from modelferry.functions import errors, names, status, text
-from modelferry.operators import counts, inventory, metadata, ranking, reconcile, references, rewrite, scope, upsert
+from modelferry.operators import byte_bins, counts, inventory, metadata, ranking, reconcile, references, rewrite, scope, upsert
 from modelferry.plans import survey, transfer
 from modelferry.session import configure, scratch_path, ship, written
-from modelferry.sources import artifact_files, pages, registry, reports, tracking_store
+from modelferry.sources import artifact_files, file_copy, pages, registry, reports, tracking_store
 from modelferry.streaming import live_tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -573,7 +573,7 @@ def artifact_copy(spark, sf_dir):
         F.concat_ws("/", F.lit(moved), "run_id", F.lit("artifacts"), "path").alias("target_address"),
     )
     log = scratch_path(spark, "copied")
-    artifact_files.copy_artifacts(manifest, OPTIONS.copy_threads).write.parquet(log)
+    file_copy.copy_artifacts(manifest, OPTIONS.copy_threads).write.parquet(log)
     copied = spark.read.parquet(log).select("run_id", "path", "ok", "bytes")
     arrived = artifact_files.list_artifacts(spark, moved).select(
         "run_id", "path", F.col("size_bytes").alias("arrived_bytes")
@@ -581,6 +581,40 @@ def artifact_copy(spark, sf_dir):
     return copied.join(arrived, ["run_id", "path"], "left")
 
 
+@query
+def copy_bins(spark, sf_dir):
+    """Ranges and bins of files from one byte to many bins: every text, one in 50 as a file of many times its size."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    files = documents.select(
+        F.concat(F.lit("s3://moved/"), F.col("doc_id").cast("string")).alias("target_address"),
+        F.when(F.col("doc_id") % 50 == 7, F.col("n_chars") * 1_000_000).when(F.col("doc_id") % 50 == 8, F.lit(1)).when(
+            F.col("doc_id") % 50 != 9, F.octet_length("text")).cast("bigint").alias("size_bytes"))
+    ranges = written(byte_bins.byte_ranges(files, file_copy.RANGE_BYTES), "ranges")
+    placed, _ = byte_bins.byte_bins(ranges, [F.col("target_address"), F.col("range_no")], file_copy.BIN_BYTES)
+    return placed.select("target_address", "range_no", "n_ranges", "range_start", "range_length", "bin")
+
+
+@query
+def copy_large_files(spark, sf_dir):
+    """Texts of a source as one file each, up to many bins long, copied by ranges and read back whole."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    root, moved = scratch_path(spark, "large"), scratch_path(spark, "moved")
+    bodies = documents.groupBy("lang", (F.col("doc_id") % 3).alias("third")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("held")).select(
+        F.concat_ws("/", F.lit(root), "lang", F.lit("artifacts/model"), F.col("third").cast("string")).alias("address"),
+        F.array_join("held.text", "\n").alias("text"))
+    write_texts(bodies)
+    manifest = artifact_files.list_artifacts(spark, root).select(
+        "run_id", "path", "size_bytes", F.col("address").alias("source_address"),
+        F.concat_ws("/", F.lit(moved), "run_id", F.lit("artifacts"), "path").alias("target_address"))
+    # Small bins, so that these files have many ranges.
+    copied = written(file_copy.copy_artifacts(manifest, OPTIONS.copy_threads, bin_bytes=1 << 18, range_bytes=1 << 16), "copied")
+    arrived = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(moved).select(
+        F.regexp_extract("path", r"/([^/]+)/artifacts/", 1).alias("run_id"), F.regexp_extract("path", "/artifacts/(.*)$", 1).alias("path"),
+        F.md5("content").alias("digest"))
+    return copied.select("run_id", "path", "ok", "bytes").join(arrived, ["run_id", "path"], "full_outer")
+
+
 def _stored_target(spark: SparkSession, sf_dir: str) -> str:
     """The target registry of the fixtures, written as an earlier transfer."""
     t, path = fx.target(spark, sf_dir), scratch_path(spark, "target")

@@ -90,6 +90,20 @@ def segmented_row_number(
     ).drop(_SEGMENT, _BEFORE)
 
 
+def segmented_running_sum(cut: DataFrame, order: list[Column], amount: Column, name: str) -> DataFrame:
+    """Add the sum of ``amount`` over all rows before this one as ``name``; ``order`` must be total.
+
+    Sums of segments are added up, so no task sees more than the rows of a segment.
+    """
+    sums = cut.groupBy(_SEGMENT).agg(F.sum(amount).alias(_COUNT))
+    earlier = Window.orderBy(_SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(_SEGMENT, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)).alias(_BEFORE))
+    inside = Window.partitionBy(_SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return cut.join(offsets, _SEGMENT).withColumn(
+        name, F.col(_BEFORE) + F.coalesce(F.sum(amount).over(inside), F.lit(0))
+    ).drop(_SEGMENT, _BEFORE)
+
+
 def first_rows(
     df: DataFrame, keys: list[str], order: list[Column], n: int,
     cut: Callable[[DataFrame], DataFrame],

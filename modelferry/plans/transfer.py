@@ -22,7 +22,7 @@ from modelferry.options import Options
 from modelferry.plans.survey import Discovery, Stage, discover, lazily
 from modelferry.schemas import Snapshot
 from modelferry.session import written
-from modelferry.sources.artifact_files import copy_artifacts
+from modelferry.sources.file_copy import copy_artifacts
 from modelferry.sources.registry import committed, read_registry, write_registry
 from modelferry.sources.tracking_store import TrackingStore
 

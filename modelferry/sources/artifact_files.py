@@ -1,33 +1,27 @@
-"""Artifact files: listing, reading and copying."""
+"""Artifact files: listing and reading (S7, X1, X2). Copying is in ``file_copy``."""
 
 from __future__ import annotations
 
-import time
+from collections import deque
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache, reduce
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modelferry.functions import errors
 from modelferry.operators.metadata import run_metadata
 from modelferry.session import written
 
 # Files lie at <root>/<run_id>/artifacts/<path>.
 _MODEL_FILE = "model/MLmodel"
 _REQUIREMENTS_FILE = "model/requirements.txt"
-_CHUNK = 8 * 1024 * 1024
 # Names that unfinished copies have.
 PARTIAL = ".copying-"
 # How each scheme is named by the file system library.
 SCHEMES = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
-TASK_BYTES = 1 << 30
-TASK_FILES = 1000
-
-RESULT_SCHEMA = "ok boolean, bytes bigint, error string"
+# What a task looks into below one folder before it gives the rest back, and rows of one frame.
+WALK_FOLDERS, WALK_ENTRIES, LISTED_AT_ONCE = 256, 20_000, 5_000
 
 
 def _below(root: str, address: Column) -> Column:
@@ -53,38 +47,69 @@ def _contents(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return _placed(found, root)
 
 
-def _listed(folders: DataFrame) -> DataFrame:
-    """What lies in each folder (``address``): address, is_folder, size_bytes. Every name counts."""
+def walk(address: str, list_folder, folders: int, entries: int) -> Iterator[tuple[str, bool, int]]:
+    """(address, is_folder, size_bytes) of the files below a folder, level by level.
+
+    After ``folders`` folders or ``entries`` names, those not yet looked into are given back as folders.
+    """
+    waiting, seen = deque([address]), 0
+    while waiting and folders > 0 and seen < entries:
+        folders -= 1
+        for place, is_folder, size in list_folder(waiting.popleft()):
+            seen += 1
+            if is_folder:
+                waiting.append(place)
+            else:
+                yield place, False, size
+    for place in waiting:
+        yield place, True, 0
+
+
+def _names(address: str) -> list[tuple[str, bool, int]]:
+    """What lies in a folder. Every name counts."""
+    from pyarrow import fs
+
+    system, path = locate(address)
+    start, base = len(path.rstrip("/")), address.rstrip("/")
+    return [(base + i.path[start:], i.type == fs.FileType.Directory, i.size or 0) for i in system.get_file_info(fs.FileSelector(path))]
+
 
-    def names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+def _walked(subtrees: DataFrame) -> DataFrame:
+    """Files below the folders (``address``), and the folders that are left over."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[str, bool, int]] = []
         for batch in batches:
             for address in batch["address"]:
-                system, path = locate(address)
-                start = len(path.rstrip("/"))
-                found = [
-                    (address.rstrip("/") + i.path[start:], i.type == fs.FileType.Directory, i.size or 0)
-                    for i in system.get_file_info(fs.FileSelector(path))
-                ]
-                yield pd.DataFrame(found, columns=["address", "is_folder", "size_bytes"])
+                for row in walk(address, _names, WALK_FOLDERS, WALK_ENTRIES):
+                    rows.append(row)
+                    if len(rows) == LISTED_AT_ONCE:
+                        yield pd.DataFrame(rows, columns=["address", "is_folder", "size_bytes"])
+                        rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=["address", "is_folder", "size_bytes"])
 
-    return folders.select("address").mapInPandas(names, "address string, is_folder boolean, size_bytes long")
+    return subtrees.select("address").mapInPandas(run, "address string, is_folder boolean, size_bytes long")
 
 
 def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """run_id, path, size_bytes, address of every file, whatever its name; contents are not read.
 
-    Level by level: the folders of a level are dealt to tasks anew, so neither the
-    driver nor a task holds a tree. Left-over files of broken copies are passed over.
+    Each task walks subtrees up to a budget and gives the rest back, which the next round deals out anew. So neither the
+    driver nor a task holds a tree, a wide folder is spread after one round, and a deep tree takes no round for each
+    level. Left-over files of broken copies are passed over.
     """
     locate(root)
-    folders, levels = spark.createDataFrame([(root.rstrip("/"),)], "address string"), []
-    while not folders.isEmpty():
-        level = written(_listed(folders.repartition("address")), "listing")
-        levels.append(level.where(~F.col("is_folder")))
-        folders = level.where("is_folder")
-    files = reduce(DataFrame.unionByName, levels) if levels else _listed(folders)
+    subtrees, found = spark.createDataFrame([(root.rstrip("/"),)], "address string"), []
+    left = 1
+    while left:
+        # As many tasks as there are subtrees, up to what the session runs at once several times over.
+        tasks = min(left, 4 * spark.sparkContext.defaultParallelism)
+        round_ = written(_walked(subtrees.repartition(tasks, "address") if left > 1 else subtrees), "listing")
+        found.append(round_.where(~F.col("is_folder")))
+        subtrees = round_.where("is_folder")
+        left = subtrees.count()
+    files = reduce(DataFrame.unionByName, found)
     files = files.where(~F.split_part("address", F.lit("/"), F.lit(-1)).startswith(PARTIAL))
     return _placed(files.select("address", "size_bytes"), root).select("run_id", "path", "size_bytes", "address")
 
@@ -124,72 +149,3 @@ def locate(address: str):
     store, _, key = rest[2:].partition("/")
     system, base = _filesystem(f"{SCHEMES[scheme]}://{store}/")
     return system, f"{base.rstrip('/')}/{key}"
-
-
-def copy_file(source: str, target: str, attempt: str) -> int:
-    """Stream one file to its place; its bytes. A file that is there with the right size stays.
-
-    On file systems it is written under a hidden name of this attempt and renamed, so two attempts of
-    one task never write the same file and a reader sees no file or a whole one. An object store shows
-    an upload only when it is complete, so there it is written to its place at once.
-    """
-    source_fs, source_path = locate(source)
-    target_fs, target_path = locate(target)
-    wanted, there = source_fs.get_file_info(source_path), target_fs.get_file_info(target_path)
-    if there.is_file and wanted.is_file and there.size == wanted.size:
-        return wanted.size
-    folder, name = target_path.rsplit("/", 1)
-    renames = target_fs.type_name in ("local", "hdfs")
-    if renames:
-        target_fs.create_dir(folder, recursive=True)
-    partial = f"{folder}/{PARTIAL}{attempt}.{name}" if renames else target_path
-    done = 0
-    with source_fs.open_input_stream(source_path) as reader, target_fs.open_output_stream(partial) as writer:
-        while chunk := reader.read(_CHUNK):
-            writer.write(chunk)
-            done += len(chunk)
-    if renames:
-        target_fs.move(partial, target_path)
-    return done
-
-
-def _copy_with_retry(source: str, target: str, attempt: str, patience: float) -> tuple[bool, int, str | None]:
-    for tried in range(errors.MAX_RETRIES + 1):
-        try:
-            return True, copy_file(source, target, attempt), None
-        except Exception as problem:  # one bad file must not stop the others
-            message = str(problem)
-            if tried == errors.MAX_RETRIES or not errors.retryable_message(message):
-                return False, 0, message
-            time.sleep(errors.wait_for(tried) * patience)
-    raise AssertionError("unreachable")
-
-
-def copy_tasks(manifest: DataFrame) -> int:
-    """Tasks for a manifest: each has at most some ``TASK_BYTES`` and ``TASK_FILES``, one large file aside."""
-    size, files = manifest.agg(F.sum(F.coalesce("size_bytes", F.lit(0))), F.count(F.lit(1))).first()
-    return max(1, -(-(size or 0) // TASK_BYTES), -(-files // TASK_FILES))
-
-
-def copy_artifacts(manifest: DataFrame, threads: int, patience: float = 1.0) -> DataFrame:
-    """Copy each (source_address, target_address); the manifest plus ok, bytes, error.
-
-    Lazy: write the result once, since every evaluation looks at each file again. Files
-    are dealt by target to as many tasks as their bytes and number ask for, so a lost task
-    repeats little; what it had finished is not copied again. A task copies ``threads`` files at once.
-    """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in manifest.schema)
-
-    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        attempt = f"part-{TaskContext.get().taskAttemptId()}"
-        with ThreadPoolExecutor(threads) as pool:
-            for batch in batches:
-                results = list(pool.map(
-                    lambda pair: _copy_with_retry(*pair, attempt, patience),
-                    zip(batch["source_address"], batch["target_address"])))
-                yield batch.assign(
-                    ok=[r[0] for r in results], bytes=[r[1] for r in results], error=[r[2] for r in results]
-                )
-
-    dealt = manifest.repartition(copy_tasks(manifest), "target_address")
-    return dealt.mapInPandas(copy, f"{schema}, {RESULT_SCHEMA}")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelferry import Options
-from modelferry.operators import rewrite, upsert
+from modelferry.operators import byte_bins, rewrite, upsert
 from modelferry.plans import survey, transfer
 from modelferry.schemas import TRACKING
-from modelferry.sources import artifact_files, pages, registry, reports
+from modelferry.sources import artifact_files, file_copy, pages, registry, reports
 from modelferry.sources.tracking_store import TrackingStore, merge_statement
 from tests import small
 
@@ -92,20 +92,125 @@ def test_addresses_that_would_land_elsewhere_are_refused(address):
         artifact_files.locate(address)
 
 
-def test_tasks_follow_the_files(spark, monkeypatch):
-    files = spark.createDataFrame([("t", 1 << 30)] * 5 + [("t", None)] * 3, "target_address string, size_bytes long")
-    assert artifact_files.copy_tasks(files) == 5
-    monkeypatch.setattr(artifact_files, "TASK_FILES", 1)
-    assert artifact_files.copy_tasks(files) == 8 and artifact_files.copy_tasks(files.where("false")) == 1
+def test_bins_are_even_whatever_the_sizes(spark):
+    """Files of one byte, of none, of unknown size, and of many bins."""
+    sizes = [1] * 300 + [None, 0] + [10**6] * 40 + [64 * 10**6, 9 * 10**6 + 1, 10**9 + 7]
+    files = spark.createDataFrame([(f"t{i:04d}", n) for i, n in enumerate(sizes)], "target_address string, size_bytes long").repartition(7)
+    ranges = byte_bins.byte_ranges(files, 10**6)
+    of_file = {}
+    for r in ranges.collect():
+        of_file.setdefault(r.target_address, []).append((r.range_no, r.range_start, r.range_length, r.n_ranges))
+    for i, n in enumerate(sizes):
+        got = sorted(of_file[f"t{i:04d}"])
+        assert [g[0] for g in got] == list(range(got[0][3])) and sum(g[2] for g in got) == (n or 0)
+        assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:])) and max(g[2] for g in got) <= 10**6
+    for cost in (0, 1000):
+        placed, n = byte_bins.byte_bins(ranges, [F.col("target_address"), F.col("range_no")], 4 * 10**6, cost)
+        weights = {r.bin: r.w for r in placed.groupBy("bin").agg(F.sum(F.col("range_length") + cost).alias("w")).collect()}
+        total = sum(weights.values())
+        assert n == -(-total // (4 * 10**6)) and set(weights) == set(range(n)) and max(weights.values()) < 2 * total / n
+    assert byte_bins.byte_bins(ranges.where("false"), [F.col("target_address")], 10)[1] == 1
+
+
+def test_each_bin_is_a_task(spark, folder):
+    manifest = spark.createDataFrame(
+        [(f"{folder}/none{i}", f"{folder}/to{i}", 1000 * i) for i in range(60)], "source_address string, target_address string, size_bytes long")
+    ranges, n = file_copy.dealt(manifest, bin_bytes=200_000, range_bytes=50_000)
+    held = ranges.repartitionById(n, "bin").groupBy(F.spark_partition_id().alias("task")).agg(F.collect_set("bin").alias("bins")).collect()
+    assert n > 5 and len(held) == n and all(len(r.bins) == 1 for r in held)
+
+
+@pytest.mark.parametrize("in_place", [True, False])
+def test_a_broken_range_is_copied_alone(folder, monkeypatch, in_place):
+    monkeypatch.setattr(file_copy, "_in_place", lambda system: in_place)
+    body = bytes(range(256)) * 400
+    put(f"{folder}/a.gz", body)
+    source, target, step = f"{folder}/a.gz", f"{folder}/new/a.gz", 30_000
+    n = -(-len(body) // step)
+    copied, stream = [], file_copy._stream
+
+    def watched(reader, write, most=None):
+        if most is not None:  # a range, not the joining of parts
+            copied.append(reader.tell())
+            if reader.tell() == broken:
+                raise OSError("connection lost")
+        return stream(reader, write, most)
+
+    monkeypatch.setattr(file_copy, "_stream", watched)
+
+    def round_():
+        copied.clear()
+        return [file_copy.with_retry(lambda k=k: file_copy.copy_range(source, target, k, n, k * step, step, step, "t"), 0.0) for k in range(n)]
+
+    broken = 2 * step
+    first = round_()
+    assert [r[0] for r in first] == [True, True, False, True] and len(copied) == n
+    with pytest.raises(OSError):
+        file_copy.join_ranges(source, target, n, step, "t")
+    assert not os.path.exists(target)
+    broken = None
+    assert all(r[0] for r in round_()) and copied == [2 * step]
+    assert file_copy.join_ranges(source, target, n, step, "t") == len(body)
+    assert open(target, "rb").read() == body
+    # Nothing is left beside it, and a finished file is left alone.
+    assert [f for f in os.listdir(f"{folder}/new") if f != "a.gz" and not f.startswith(file_copy.PARTIAL)] == []
+    assert not [f for f in os.listdir(f"{folder}/new") if f.startswith(file_copy.PARTIAL)]
+    assert sum(r[1] for r in round_()) == len(body) and copied == []
+
+
+def test_ranges_of_a_changed_source_do_not_count(folder):
+    put(f"{folder}/a", b"x" * 1000)
+    args = (f"{folder}/a", f"{folder}/b")
+    for k in range(3):
+        file_copy.copy_range(*args, k, 4, k * 250, 250, 250, "t")
+    put(f"{folder}/a", b"y" * 1000)
+    os.utime(f"{folder}/a", ns=(5, 5))
+    file_copy.copy_range(*args, 3, 4, 750, 250, 250, "t")
+    with pytest.raises(OSError, match="lacks ranges"):
+        file_copy.join_ranges(*args, 4, 250, "t")
+
+
+def test_large_and_small_files_arrive(spark, folder):
+    sizes = {"empty": 0, "one": 1, "small.gz": 999, "even": 4096, "large.bz2": 70_001, "wrong size": 50_000, "unknown": 30_000}
+    for name, n in sizes.items():
+        put(f"{folder}/in/{name}", os.urandom(n))
+    told = {**sizes, "wrong size": 9_000, "unknown": None}
+    rows = [(name, told[name], f"{folder}/in/{name}", f"{folder}/out/x/{name}") for name in sizes]
+    rows.append(("lost", 50_000, f"{folder}/in/lost", f"{folder}/out/lost"))
+    manifest = spark.createDataFrame(rows, "path string, size_bytes long, source_address string, target_address string")
+    got = {r.path: r for r in file_copy.copy_artifacts(manifest, 3, bin_bytes=16_384, range_bytes=4_096).collect()}
+    assert set(got) == {*sizes, "lost"} and not got["lost"].ok and got["lost"].error
+    for name, n in sizes.items():
+        assert (got[name].ok, got[name].bytes) == (True, n), name
+        assert open(f"{folder}/out/x/{name}", "rb").read() == open(f"{folder}/in/{name}", "rb").read()
+    assert sorted(os.listdir(f"{folder}/out/x")) == sorted(sizes)
+
+
+def test_subtrees_are_given_back_beyond_the_budget():
+    tree = {"r": [("r/a", True, 0), ("r/f", False, 1)], "r/a": [("r/a/b", True, 0)], "r/a/b": [("r/a/b/g", False, 2)]}
+    walk = artifact_files.walk
+    assert list(walk("r", tree.get, 10, 100)) == [("r/f", False, 1), ("r/a/b/g", False, 2)]
+    assert list(walk("r", tree.get, 2, 100)) == [("r/f", False, 1), ("r/a/b", True, 0)]
+    assert list(walk("r", tree.get, 10, 2)) == [("r/f", False, 1), ("r/a", True, 0)]
+
+
+def test_rounds_do_not_grow_with_depth(spark, folder, monkeypatch):
+    rounds, walked = [], artifact_files._walked
+    monkeypatch.setattr(artifact_files, "_walked", lambda df: rounds.append(1) or walked(df))
+    deep = "/".join(["d"] * 60)
+    put(f"{folder}/r1/artifacts/{deep}/end", b"x")
+    put(f"{folder}/r2/artifacts/top", b"y")
+    got = sorted((r.run_id, r.path) for r in artifact_files.list_artifacts(spark, folder).collect())
+    assert got == [("r1", f"{deep}/end"), ("r2", "top")] and len(rounds) == 1
 
 
 def test_a_finished_target_is_not_copied_again(folder):
     for name, body in (("a", b"12345"), ("b", b"xxxxx"), ("c", b"xx")):
         with open(f"{folder}/{name}", "wb") as out:
             out.write(body)
-    assert artifact_files.copy_file(f"{folder}/a", f"{folder}/b", "t") == 5
+    assert file_copy.copy_file(f"{folder}/a", f"{folder}/b", "t") == 5
     assert open(f"{folder}/b", "rb").read() == b"xxxxx"
-    assert artifact_files.copy_file(f"{folder}/a", f"{folder}/c", "t") == 5
+    assert file_copy.copy_file(f"{folder}/a", f"{folder}/c", "t") == 5
     assert open(f"{folder}/c", "rb").read() == b"12345"
 
 
@@ -125,7 +230,7 @@ def test_copy_isolates_failures(spark, tree, folder):
     lost = manifest.limit(1).withColumns({
         "source_address": F.lit(f"{root}/nowhere"), "target_address": F.lit(f"{folder}/dst/nowhere"), "path": F.lit("lost")})
     log = f"{folder}/log"
-    artifact_files.copy_artifacts(manifest.unionByName(lost), 3).write.parquet(log)
+    file_copy.copy_artifacts(manifest.unionByName(lost), 3).write.parquet(log)
     done = {(r.run_id, r.path): r for r in spark.read.parquet(log).collect()}
     bad = [r for r in done.values() if not r.ok]
     assert [r.path for r in bad] == ["lost"] and bad[0].bytes == 0 and bad[0].error
@@ -138,25 +243,23 @@ def test_copy_isolates_failures(spark, tree, folder):
     assert left == []
 
 
-def test_retryable_failures_are_tried_again(monkeypatch):
+def test_retryable_failures_are_tried_again():
     seen = []
 
-    def flaky(source, target, attempt):
-        seen.append(attempt)
+    def flaky():
+        seen.append(1)
         if len(seen) < 3:
             raise OSError("HTTP 503")
         return 7
 
-    monkeypatch.setattr(artifact_files, "copy_file", flaky)
-    assert artifact_files._copy_with_retry("a", "b", "t", patience=0.0) == (True, 7, None)
+    assert file_copy.with_retry(flaky, patience=0.0) == (True, 7, None)
 
-    def broken(source, target, attempt):
-        seen.append(attempt)
+    def broken():
+        seen.append(1)
         raise OSError("Too Many Requests")
 
     seen.clear()
-    monkeypatch.setattr(artifact_files, "copy_file", broken)
-    assert artifact_files._copy_with_retry("a", "b", "t", patience=0.0)[0] is False and len(seen) == 6
+    assert file_copy.with_retry(broken, patience=0.0)[0] is False and len(seen) == 6
 
 
 def test_a_source_must_have_its_tables(spark, folder):

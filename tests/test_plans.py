@@ -4,14 +4,15 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from checks import fixtures as fx
+from checks.queries import all_queries
 from modelferry import Options
 from modelferry.operators import joins, ranking, scope
 from modelferry.plans import survey, transfer
 from tests import small
 
-PYTHON = {"model_metadata", "inventory_with_metadata", "artifact_copy"}
+QUERIES = all_queries()
+PYTHON = {"model_metadata", "inventory_with_metadata", "artifact_copy", "copy_large_files"}
 # Not plans of one query: they act while they are built.
 JOBS = {"migrate_all", "migrate_pending", "track_stream", "tracking_report", "paged_extract"}
 
@@ -20,16 +21,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - JOBS - PYTHON))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - JOBS - PYTHON))
 def test_no_python_and_no_products(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in text, bad
 
 
 def test_small_caps_cut_groups_before_the_shuffle(spark, sf_dir):
     for name in ("capped_runs", "capped_versions"):
-        assert plan(entry.queries()[name](spark, sf_dir)).count("WindowGroupLimit") == 2
+        assert plan(QUERIES[name](spark, sf_dir)).count("WindowGroupLimit") == 2
 
 
 def test_filters_and_columns_reach_the_files(spark, folder):
