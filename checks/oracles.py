@@ -619,6 +619,8 @@ QUERIES["migrate_pending"] = f"""
   LEFT JOIN (SELECT model_name, count(*) AS n FROM created GROUP BY 1) c ON c.model_name = m.model_name
 """
 
+QUERIES["migrate_in_batches"] = QUERIES["migrate_pending"]
+
 
 def with_views(text: str, parts: dict[str, str]) -> str:
     """The query with the views and parts it is made from in front."""
@@ -654,6 +656,6 @@ def _in_order(names: list[str], known: dict[str, str]) -> list[str]:
 
 def all_oracles() -> dict[str, str]:
     return {
-        name: with_views(text, RESUMED if name == "migrate_pending" else {})
+        name: with_views(text, RESUMED if name in ("migrate_pending", "migrate_in_batches") else {})
         for name, text in QUERIES.items()
     }

@@ -14,7 +14,7 @@ from checks import fixtures as fx
 from modelferry import Options, Snapshot
 from modelferry.functions import errors, names, status, text
 from modelferry.operators import byte_bins, counts, inventory, metadata, ranking, reconcile, references, rewrite, scope, upsert
-from modelferry.plans import survey, transfer
+from modelferry.plans import batched, survey, transfer
 from modelferry.session import configure, scratch_path, ship, written
 from modelferry.sources import artifact_files, file_copy, pages, registry, reports, tracking_store
 from modelferry.streaming import live_tracking
@@ -743,6 +743,22 @@ def migrate_pending(spark, sf_dir):
     )
 
 
+@query
+def migrate_in_batches(spark, sf_dir):
+    """The same, planned once and committed in three batches."""
+    path = _stored_target(spark, sf_dir)
+    store = tracking_store.TrackingStore(spark, scratch_path(spark, "tracking"))
+    before = fx.tables(spark, sf_dir)["tracking_prev"]
+    store.write(before)
+    waiting = upsert.pending(before, fx.SOURCE_HOST).count()
+    batched.migrate_pending_in_batches(
+        fx.source(spark, sf_dir), path, fx.TARGET_HOST, replace(OPTIONS, batch_size=max(1, -(-waiting // 3))), store, "now", copy_files=False)
+    return store.read().select(
+        *before.columns, "target_runs", "target_params", "target_metrics", "target_artifacts",
+        "target_experiment_urls",
+    )
+
+
 @query
 def track_stream(spark, sf_dir):
     """Every event as the outcome of a model, applied to tracking by a stream."""

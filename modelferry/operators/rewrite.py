@@ -27,6 +27,9 @@ ACTIVE = "active"
 NO_RUN_ID = " has no run_id"
 NO_EXPERIMENT = "Missing target experiment "
 
+# A plan may name the batch of each experiment and run in this column; records of runs then carry it on.
+BATCH = "batch_id"
+
 # Columns of the migration summary.
 SUMMARY = (
     "migrated_models", "migrated_model_versions", "migrated_experiments", "migrated_runs",
@@ -254,14 +257,18 @@ def target_model_tags(
 
 # -- runs -------------------------------------------------------------------
 
+def _batch(df: DataFrame) -> list[str]:
+    return [BATCH] if BATCH in df.columns else []
+
+
 def _new_ids(mapped: DataFrame) -> DataFrame:
-    return new_runs(mapped).select("run_id", "target_run_id")
+    return new_runs(mapped).select("run_id", "target_run_id", *_batch(mapped))
 
 
 def _under_new_id(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of new runs under their target id."""
     rest = [c for c in rows.columns if c not in ("run_id", "source_host")]
-    return rows.join(ids, "run_id").select(F.col("target_run_id").alias("run_id"), *rest)
+    return rows.join(ids, "run_id").select(F.col("target_run_id").alias("run_id"), *rest, *_batch(ids))
 
 
 def target_runs(mapped: DataFrame, run_tags: DataFrame, host: str) -> DataFrame:
@@ -271,7 +278,7 @@ def target_runs(mapped: DataFrame, run_tags: DataFrame, host: str) -> DataFrame:
         F.lit(normal_host(host)).alias("source_host"), F.col("target_run_id").alias("run_id"),
         F.col("target_experiment_id").alias("experiment_id"), F.col("_name").alias("run_name"),
         "run_user", "status", F.lit(ACTIVE).alias("lifecycle"), "start_ms", "end_ms",
-        F.col("target_artifact_uri").alias("artifact_uri"), "source_run_id",
+        F.col("target_artifact_uri").alias("artifact_uri"), "source_run_id", *_batch(mapped),
     )
 
 
@@ -281,7 +288,7 @@ def target_run_tags(mapped: DataFrame, run_tags: DataFrame, host: str) -> DataFr
     source = drop_reserved_tags(run_tags).where(~F.col("key").isin(TAG_HOST, TAG_RUN))
     provenance = _provenance(
         ids.withColumnRenamed("run_id", "_source").withColumnRenamed("target_run_id", "run_id"),
-        ["run_id"], {TAG_HOST: F.lit(normal_host(host)), TAG_RUN: F.col("_source")},
+        ["run_id", *_batch(ids)], {TAG_HOST: F.lit(normal_host(host)), TAG_RUN: F.col("_source")},
     )
     return _under_new_id(source.select("run_id", "key", "value"), ids).unionByName(provenance)
 
@@ -304,21 +311,21 @@ def metric_history(mapped: DataFrame, run_metrics: DataFrame, metric_points: Dat
     an outer join could not split a series that holds much of the table. Points of
     runs that are not new go before anything is shuffled by metric.
     """
-    new = new_runs(mapped).select("run_id", "target_run_id", "start_ms", "end_ms")
+    new = new_runs(mapped).select("run_id", "target_run_id", "start_ms", "end_ms", *_batch(mapped))
     metrics = run_metrics.select("run_id", "key", "value").join(new, "run_id")
     of_new = metric_points.select("run_id", "key", "value", "ts_ms", "step").join(
         new.select("run_id"), "run_id", "left_semi"
     )
     points = of_new.join(
-        metrics.select("run_id", "key", "target_run_id"), ["run_id", "key"]
-    ).select(F.col("target_run_id").alias("run_id"), "key", "value", "ts_ms", "step")
+        metrics.select("run_id", "key", "target_run_id", *_batch(mapped)), ["run_id", "key"]
+    ).select(F.col("target_run_id").alias("run_id"), "key", "value", "ts_ms", "step", *_batch(mapped))
     recorded = of_new.select("run_id", "key").distinct()
     ended = F.nullif(F.col("end_ms"), F.lit(0).cast("bigint"))
     started = F.nullif(F.col("start_ms"), F.lit(0).cast("bigint"))
     synthetic = metrics.join(recorded, ["run_id", "key"], "left_anti").select(
         F.col("target_run_id").alias("run_id"), "key", "value",
         F.coalesce(ended, started, F.lit(0)).cast("bigint").alias("ts_ms"),
-        F.lit(0).cast("bigint").alias("step"),
+        F.lit(0).cast("bigint").alias("step"), *_batch(mapped),
     )
     return points.unionByName(synthetic)
 

@@ -84,3 +84,16 @@ def restrict(snapshot: Snapshot, names: DataFrame) -> Snapshot:
     """
     models = allow_models(snapshot.models, names)
     return snapshot.with_tables(models=models, versions=of_models(snapshot.versions, models))
+
+
+def with_runs_of(snapshot: Snapshot, names: DataFrame) -> Snapshot:
+    """The versions of the models with these exact names, their runs, and what belongs to both; the rest stays whole."""
+    def only(df: DataFrame | None, keys: DataFrame, key: str) -> DataFrame | None:
+        return None if df is None else df.join(keys, key, "left_semi")
+
+    versions = only(snapshot.versions, names, "model_name")
+    runs = versions.where(F.col("run_id").isNotNull()).select("run_id").distinct()
+    tables = ("runs", "run_params", "run_metrics", "run_artifacts", "run_tags")
+    return snapshot.with_tables(
+        versions=versions, version_tags=only(snapshot.version_tags, names, "model_name"),
+        **{t: only(getattr(snapshot, t), runs, "run_id") for t in tables})

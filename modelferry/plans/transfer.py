@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modelferry.functions.names import normal_host
+from modelferry.functions.names import normal_host, target_model_name
 from modelferry.operators import rewrite as rw
 from modelferry.operators import scope
 from modelferry.operators.artifacts import artifact_manifest, in_folders
 from modelferry.operators.counts import run_counts
 from modelferry.operators.joins import outer_lookup
-from modelferry.operators.ranking import batches
 from modelferry.operators.reconcile import model_outcomes, reconcile, target_rollup
 from modelferry.operators.upsert import apply_outcomes, pending
 from modelferry.options import Options
@@ -23,7 +20,7 @@ from modelferry.plans.survey import Discovery, Stage, discover, lazily
 from modelferry.schemas import Snapshot
 from modelferry.session import written
 from modelferry.sources.file_copy import copy_artifacts
-from modelferry.sources.registry import committed, read_registry, write_registry
+from modelferry.sources.registry import read_registry, write_registry
 from modelferry.sources.tracking_store import TrackingStore
 
 
@@ -120,6 +117,11 @@ def fail_uncopied(judged: DataFrame, copied: DataFrame) -> DataFrame:
     ).drop("_error")
 
 
+def assumed_copied(manifest: DataFrame) -> DataFrame:
+    """The manifest as if all files had been copied."""
+    return manifest.withColumns({"ok": F.lit(True), "bytes": F.col("size_bytes"), "error": F.lit(None).cast("string")})
+
+
 @dataclass(frozen=True)
 class Outcome:
     """Results of a finished transfer, read back from what was written."""
@@ -151,12 +153,7 @@ def run_transfer(
         )
         judged = fail_uncopied(judged, copied)
     else:
-        copied = written(
-            manifest.withColumns({
-                "ok": F.lit(True), "bytes": F.col("size_bytes"), "error": F.lit(None).cast("string"),
-            }),
-            "copied",
-        )
+        copied = written(assumed_copied(manifest), "copied")
     host = source.host
     created = written(rw.target_versions(judged, target.versions, host), "created")
     failures = written(rw.version_failures(judged), "failures")
@@ -218,43 +215,16 @@ def migrate_pending(
     return done.summary
 
 
-def migrate_pending_in_batches(
-    source: Snapshot, target_path: str, target_host: str, options: Options,
-    store: TrackingStore, commit: str, copy_files: bool = True, now: Column | None = None,
-) -> DataFrame:
-    """The same, ``options.batch_size`` models to a commit.
-
-    A run that breaks keeps the batches it finished, and the next call under the same
-    name goes on after them. Each batch is a set of whole jobs, so the size should
-    be thousands where there are many models.
-    """
-    done = [c for c in committed(store.spark, target_path) if re.fullmatch(re.escape(commit) + r"-\d{6,}", c)]
-    first = 1 + max((int(c.rpartition("-")[2]) for c in done), default=-1)
-    waiting = written(
-        batches(pending(store.read(), source.host), "model_name", options.batch_size), "batches"
-    )
-    last = waiting.agg(F.max("batch_id")).first()[0]
-    summaries = []
-    for number in range(0 if last is None else last + 1):
-        batch = waiting.where(F.col("batch_id") == number).select("model_name")
-        part = source.with_tables(models=scope.allow_models(source.models, batch))
-        summaries.append(written(
-            migrate_pending(
-                part, target_path, target_host, options, store, f"{commit}-{first + number:06d}", copy_files, now
-            ),
-            "summary",
-        ))
-    if not summaries:
-        return migrate_pending(source, target_path, target_host, options, store, commit, copy_files, now)
-    return reduce(DataFrame.unionByName, summaries).agg(*[F.sum(n).alias(n) for n in rw.SUMMARY])
-
-
 def finished_models(
     models: DataFrame, tracking: DataFrame, target_path: str, done: Outcome,
     host: str, target_host: str, prefix: str,
 ) -> DataFrame:
-    """Tracking updates from the target as it is after the commit."""
-    target = rw.with_provenance(read_registry(models.sparkSession, target_path, target_host), host)
+    """Tracking updates from the target as it is after the commit.
+
+    Only the finished models' versions, their runs and their records are looked at.
+    """
+    names = models.select(target_model_name(F.col("model_name"), prefix).alias("model_name"))
+    target = rw.with_provenance(scope.with_runs_of(read_registry(models.sparkSession, target_path, target_host), names), host)
     counts = run_counts(target.run_params, target.run_metrics, target.run_artifacts)
     rollup = target_rollup(target, counts, host, normal_host(target_host))
     cloned = done.created_versions.select(F.col("source_model_name").alias("model_name"), "version")

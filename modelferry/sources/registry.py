@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modelferry.functions.names import normal_host
@@ -75,8 +75,8 @@ def read_registry(
     return Snapshot(host=normal_host(host), **made)
 
 
-def conformed(df: DataFrame, table: str, host: str | None = None) -> DataFrame:
-    """The table's columns in its types; absent ones are NULL."""
+def conformed(df: DataFrame, table: str, host: str | None = None, *beside: str) -> DataFrame:
+    """The table's columns in its types; absent ones are NULL. Columns named in ``beside`` follow."""
     columns = []
     for field in TABLES[table]:
         if field.name == "source_host" and host is not None:
@@ -86,7 +86,7 @@ def conformed(df: DataFrame, table: str, host: str | None = None) -> DataFrame:
         else:
             value = F.lit(None)
         columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    return df.select(*columns, *beside)
 
 
 def write_registry(
@@ -109,3 +109,17 @@ def write_registry(
                 .write.mode("overwrite").format(fmt).save(f"{path}/{table}/commit={commit}")
             )
     storage.mark(spark, f"{path}/{COMMITS}/{commit}")
+
+
+def write_parts(records: dict[str, DataFrame], path: str, host: str, commit: Column, fmt: str = "parquet") -> None:
+    """Write records of many transfers at once, each row into the folder of its ``commit``; commits nothing.
+
+    Folders of other commits stay. :func:`write_registry` adds the tables that are still to come and commits.
+    """
+    for table in WRITE_ORDER:
+        if table in records:
+            rows = records[table].withColumn("_commit", commit)
+            named = conformed(rows, table, host, "_commit").withColumnRenamed("_commit", "commit")
+            # Rebalancing keeps a commit's part in few files, and splits a large one.
+            named.hint("rebalance", "commit").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("commit").format(fmt).save(f"{path}/{table}")

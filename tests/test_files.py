@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from modelferry import Options
 from modelferry.operators import byte_bins, rewrite, upsert
-from modelferry.plans import survey, transfer
+from modelferry.plans import batched, survey, transfer
 from modelferry.schemas import TRACKING
 from modelferry.sources import artifact_files, file_copy, pages, registry, reports
 from modelferry.sources.tracking_store import TrackingStore, merge_statement
@@ -427,7 +427,37 @@ def test_batches_commit_one_after_the_other(spark, folder):
     options = Options(skip_existing_versions=True, batch_size=1)
     store = TrackingStore(spark, f"{folder}/tracking")
     survey.track_inventory(survey.inventory_report(source, options, "t"), store)
-    done = transfer.migrate_pending_in_batches(source, f"{folder}/target", "t", options, store, "b", copy_files=False).first()
+    done = batched.migrate_pending_in_batches(source, f"{folder}/target", "t", options, store, "b", copy_files=False).first()
     assert done.migrated_models == 2 and done.migrated_model_versions == 2
     assert registry.committed(spark, f"{folder}/target") == ["b-000000", "b-000001"]
     assert {r.model_name: r.migration_status for r in store.read().collect()} == {"m1": "PARTIAL", "m2": "COMPLETED"}
+
+
+def test_source_tables_are_read_as_often_for_any_number_of_batches(spark, folder):
+    """Rows that leave each source table, counted while one and while two batches are committed."""
+    def counted(name, df):
+        total = spark.sparkContext.accumulator(0)
+        totals[name] = total
+
+        def run(batches):
+            for batch in batches:
+                total.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(run, df.schema)
+
+    read = []
+    for size in (1, 2):
+        totals, base = {}, small.sample_source(spark)
+        source = base.with_tables(**{n: counted(n, getattr(base, n)) for n in registry.WRITE_ORDER})
+        options = Options(skip_existing_versions=True, batch_size=size)
+        store = TrackingStore(spark, f"{folder}/tracking{size}")
+        survey.track_inventory(survey.inventory_report(base, options, "t"), store)
+        batched.migrate_pending_in_batches(source, f"{folder}/target{size}", "t", options, store, "b", copy_files=False).collect()
+        assert len(registry.committed(spark, f"{folder}/target{size}")) == 3 - size
+        read.append({n: t.value for n, t in totals.items()})
+    assert read[0] == read[1] and min(read[0].values()) > 0
+    a, b = (registry.read_registry(spark, f"{folder}/target{size}", "t") for size in (1, 2))
+    for name in registry.WRITE_ORDER:
+        rows = [sorted(map(repr, getattr(r, name).drop("creation_ms").collect())) for r in (a, b)]
+        assert rows[0] == rows[1], name

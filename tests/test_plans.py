@@ -14,7 +14,7 @@ from tests import small
 QUERIES = all_queries()
 PYTHON = {"model_metadata", "inventory_with_metadata", "artifact_copy", "copy_large_files"}
 # Not plans of one query: they act while they are built.
-JOBS = {"migrate_all", "migrate_pending", "track_stream", "tracking_report", "paged_extract"}
+JOBS = {"migrate_all", "migrate_pending", "migrate_in_batches", "track_stream", "tracking_report", "paged_extract"}
 
 
 def plan(df):
