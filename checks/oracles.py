@@ -519,8 +519,11 @@ QUERIES: dict[str, str] = {
     "requirements_text": "SELECT CAST(run_id AS BIGINT) AS doc_id, requirements FROM described",
     "model_metadata": "SELECT run_id, flavors, requirements, python_version FROM described",
     "paged_extract": """
-        SELECT model_name, creation_ms, NULL AS lost_token FROM models
-        UNION ALL SELECT NULL, NULL, concat('p', CAST(ceil(count(*) / 100.0) AS BIGINT)) FROM models""",
+        SELECT model_name, creation_ms, NULL AS lost_token, NULL AS kind FROM models
+        UNION ALL SELECT NULL, NULL, concat('p', CAST(ceil(count(*) / 100.0) AS BIGINT)), 'missing' FROM models
+        UNION ALL SELECT DISTINCT NULL::VARCHAR, NULL::BIGINT, concat(x.letter, batch_id), CASE x.letter WHEN 'c' THEN 'loop' ELSE 'orphan' END
+        FROM (SELECT CAST((row_number() OVER (ORDER BY model_name) - 1) // 100 AS BIGINT) AS batch_id FROM models) b
+        CROSS JOIN (VALUES ('c'), ('s')) x(letter)""",
     "artifact_copy": """
         SELECT CAST(doc_id // 3 AS VARCHAR) AS run_id,
                CASE WHEN doc_id % 3 = 0 THEN 'model/MLmodel' WHEN doc_id % 6 = 1 THEN 'model/code/pkg/__init__.py'

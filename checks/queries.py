@@ -517,24 +517,39 @@ def model_metadata(spark, sf_dir):
 
 @query
 def paged_extract(spark, sf_dir):
-    """All models as saved pages, each page twice, with a last token that leads nowhere."""
+    """All models as saved pages, each page twice, with a last token that leads nowhere.
+
+    Beside them the same pages once more in a circle, and once more behind a page nobody points to.
+    """
     models = fx.source(spark, sf_dir).models.select("model_name", "creation_ms")
     item = models.schema
     numbered = ranking.batches(models, "model_name", PAGE_SIZE)
-    token = F.concat(F.lit("p"), F.col("batch_id").cast("string"))
-    saved = numbered.groupBy("batch_id").agg(
-        F.collect_list(F.struct("model_name", "creation_ms")).alias("items")
-    ).select(
-        F.lit("models").alias("request_key"), F.when(F.col("batch_id") > 0, token).alias("page_token"),
-        F.concat(F.lit("p"), (F.col("batch_id") + 1).cast("string")).alias("next_page_token"), "items",
+    held = written(numbered.groupBy("batch_id").agg(
+        F.collect_list(F.struct("model_name", "creation_ms")).alias("items")), "page-items")
+    last = held.agg(F.max("batch_id").alias("m")).scalar()
+
+    def token(letter, number):
+        return F.concat(F.lit(letter), number.cast("string"))
+
+    number = F.col("batch_id")
+    saved = held.select(
+        F.lit("models").alias("request_key"), F.when(number > 0, token("p", number)).alias("page_token"),
+        token("p", number + 1).alias("next_page_token"), "items",
     )
+    circle = held.select(
+        F.lit("models").alias("request_key"), token("c", number).alias("page_token"),
+        token("c", F.when(number < last, number + 1).otherwise(F.lit(0))).alias("next_page_token"), "items")
+    stray = held.select(
+        F.lit("models").alias("request_key"), token("s", number).alias("page_token"),
+        F.when(number < last, token("s", number + 1)).otherwise(F.lit("p1")).alias("next_page_token"), "items")
     path = scratch_path(spark, "pages")
-    saved.unionByName(saved).write.json(path)
-    items, gaps = pages.read_paged_extract(spark, path, item)
-    return items.select("model_name", "creation_ms", F.lit(None).cast("string").alias("lost_token")).unionByName(
-        gaps.select(
-            F.lit(None).cast("string").alias("model_name"), F.lit(None).cast("bigint").alias("creation_ms"),
-            F.col("page_token").alias("lost_token"),
+    saved.unionByName(saved).unionByName(circle).unionByName(stray).write.json(path)
+    items, problems = pages.read_paged_extract(spark, path, item)
+    none = F.lit(None).cast("string")
+    return items.select("model_name", "creation_ms", none.alias("lost_token"), none.alias("kind")).unionByName(
+        problems.select(
+            none.alias("model_name"), F.lit(None).cast("bigint").alias("creation_ms"),
+            F.col("page_token").alias("lost_token"), "kind",
         )
     )
 

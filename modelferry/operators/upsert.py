@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from modelferry.functions.names import normal_host, normalize_host
 from modelferry.functions.status import FAILED, PENDING
 from modelferry.operators.joins import sole_rows
-from modelferry.schemas import SOURCE_COLUMNS, TARGET_COLUMNS, TRACKING_KEYS
+from modelferry.schemas import POSITION, SOURCE_COLUMNS, TARGET_COLUMNS, TRACKING_KEYS
 
 _STAMP = "last_updated_at"
+_POSITION = POSITION.fieldNames()
 
 
 def _normal(df: DataFrame) -> DataFrame:
@@ -81,6 +82,34 @@ def apply_outcomes(
     return both.select(*[value(c) for c in tracking.columns])
 
 
+def newest(outcomes: DataFrame) -> DataFrame:
+    """Of each model the outcome with the last position."""
+    values = [c for c in outcomes.columns if c not in TRACKING_KEYS]
+    return outcomes.groupBy(*TRACKING_KEYS).agg(
+        F.max_by(F.struct(*values), F.struct(*_POSITION)).alias("_last")
+    ).select(*TRACKING_KEYS, "_last.*")
+
+
+def apply_latest(tracking: DataFrame, latest: DataFrame) -> DataFrame:
+    """Tracking with positions after outcomes, one a model.
+
+    An outcome at or before a row's position changes nothing, so one that comes twice, or out of order,
+    has no further effect.
+    """
+    seen = tracking.select(
+        *TRACKING_KEYS, *[F.col(c).alias(f"_seen_{c}") for c in _POSITION]
+    )
+    ahead = F.struct(*_POSITION) > F.struct(*[F.col(f"_seen_{c}") for c in _POSITION])
+    newer = (
+        latest.join(seen, list(TRACKING_KEYS))
+        .where(F.col("_seen_event_ms").isNull() | ahead)
+        .select(*latest.columns)
+    )
+    stamp = F.timestamp_millis(F.col("new.event_ms"))
+    changed = tuple(c for c in (*TARGET_COLUMNS, *_POSITION) if c in latest.columns)
+    return apply_outcomes(tracking, newer, stamp, changed)
+
+
 def reset_status(tracking: DataFrame, from_status: str = FAILED, to_status: str = PENDING) -> DataFrame:
     """Reopen models of one status (D3)."""
     status = F.col("migration_status")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from modelferry.functions.names import normalize_host
-from modelferry.operators.upsert import apply_outcomes
+from modelferry.operators.upsert import apply_latest, newest
 from modelferry.schemas import POSITION, TARGET_COLUMNS, TRACKING_KEYS
 from modelferry.sources.tracking_store import TrackingStore
 
@@ -18,9 +18,7 @@ def latest_outcomes(events: DataFrame) -> DataFrame:
     """The last event of each model, by time and then id."""
     values = [c for c in (*TARGET_COLUMNS, *_POSITION) if c in events.columns]
     normal = events.withColumn("source_host", normalize_host(F.col("source_host")))
-    return normal.groupBy(*TRACKING_KEYS).agg(
-        F.max_by(F.struct(*values), F.struct(*_POSITION)).alias("_last")
-    ).select(*TRACKING_KEYS, "_last.*")
+    return newest(normal.select(*TRACKING_KEYS, *values))
 
 
 def apply_events(tracking: DataFrame, events: DataFrame) -> DataFrame:
@@ -32,27 +30,12 @@ def apply_events(tracking: DataFrame, events: DataFrame) -> DataFrame:
     return apply_latest(tracking, latest_outcomes(events))
 
 
-def apply_latest(tracking: DataFrame, latest: DataFrame) -> DataFrame:
-    """The same for events of which :func:`latest_outcomes` left one a model."""
-    seen = tracking.select(
-        *TRACKING_KEYS, *[F.col(c).alias(f"_seen_{c}") for c in _POSITION]
-    )
-    ahead = F.struct(*_POSITION) > F.struct(*[F.col(f"_seen_{c}") for c in _POSITION])
-    newer = (
-        latest.join(seen, list(TRACKING_KEYS))
-        .where(F.col("_seen_event_ms").isNull() | ahead)
-        .select(*latest.columns)
-    )
-    stamp = F.timestamp_millis(F.col("new.event_ms"))
-    changed = tuple(c for c in (*TARGET_COLUMNS, *_POSITION) if c in latest.columns)
-    return apply_outcomes(tracking, newer, stamp, changed)
-
-
 def track_stream(
     events: DataFrame, store: TrackingStore, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Run the updates; without ``interval`` take what is there and stop.
 
+    A batch is logged as it is; the table is neither read nor rewritten for it. A batch that comes twice is logged twice.
     ``last_updated_at`` becomes the event's time, so that a repeated batch
     writes the same row again.
     """
@@ -63,7 +46,7 @@ def track_stream(
         latest = latest_outcomes(batch).persist()
         try:
             if not latest.isEmpty():
-                store.update(lambda tracking: apply_latest(tracking, latest))
+                store.append(latest)
         finally:
             latest.unpersist()
 

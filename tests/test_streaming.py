@@ -1,6 +1,7 @@
 """The live tracking stream against the batch update."""
 
 import itertools
+import os
 
 import pytest
 
@@ -89,3 +90,58 @@ def test_segments_follow_the_rows():
     from modelferry.operators.ranking import segment_levels
 
     assert [segment_levels(n) for n in (0, 10**6, 10**9, 10**12)] == [8, 8, 10, 16]
+
+
+def folder_bytes(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def outcome(spark, *rows):
+    return live_tracking.latest_outcomes(spark.createDataFrame(list(rows), SCHEMA))
+
+
+def test_what_is_written_follows_the_batch(spark, folder, monkeypatch):
+    from modelferry.sources import tracking_store
+
+    monkeypatch.setattr(tracking_store, "MERGE_AFTER", 3)
+    store = TrackingStore(spark, folder)
+    store.write(small.tracking(spark, *[
+        {"source_host": "h", "model_name": f"m{i}", "requirements": f"{i * i} a long text {i}" * 20} for i in range(2000)]))
+    whole = folder_bytes(folder)
+    plain = store.read_with_position()
+    events = [("h", f"m{i % 5}", i, 100 - i, i, "PARTIAL") for i in range(12)] + [("h", "unknown", 50, 50, 1, "PARTIAL")]
+    for event in events:
+        store.append(outcome(spark, event))
+        assert len(store.changes()) <= 4
+    assert store.current() == 1 and folder_bytes(folder) - whole < whole / 2
+    expected = live_tracking.apply_events(plain, spark.createDataFrame(events, SCHEMA))
+    assert sorted(map(repr, store.read_with_position().collect())) == sorted(map(repr, expected.collect()))
+    # Old changes go, the merged ones stay.
+    assert len(store._numbers("change=")) < len(events)
+
+
+def test_many_outcomes_go_into_the_table(spark, folder, monkeypatch):
+    from modelferry.sources import tracking_store
+
+    monkeypatch.setattr(tracking_store, "MERGE_AFTER", 2)
+    store = start(spark, folder)
+    before = store.read_with_position()
+    for event in EVENTS:
+        store.append(outcome(spark, event))
+    assert store.current() > 1
+    expected = live_tracking.apply_events(before, spark.createDataFrame(EVENTS, SCHEMA))
+    assert sorted(map(repr, store.read_with_position().collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_a_broken_change_and_other_columns(spark, folder):
+    store = start(spark, folder)
+    store.append(outcome(spark, EVENTS[0]))
+    os.makedirs(f"{folder}/change=00000009")  # never finished
+    store.append(outcome(spark, EVENTS[1]).drop("target_versions"))
+    row = store.read_with_position().where("model_name = 'a'").first()
+    assert (row.target_versions, row.migration_status, row.event_id) == (1, "PARTIAL", 2)
+    # A change of the table takes the logged outcomes along.
+    store.update(lambda state: upsert.reset_status(state, "PARTIAL", "PENDING"))
+    assert store.changes() == [] and store.read().where("model_name = 'a'").first().migration_status == "PENDING"
+    with pytest.raises(FileNotFoundError):
+        TrackingStore(spark, f"{folder}/nowhere").append(outcome(spark, EVENTS[0]))
