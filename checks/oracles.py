@@ -416,6 +416,11 @@ QUERIES: dict[str, str] = {
           FROM moved_verdicts LEFT JOIN (SELECT model_name AS target_model, max(version) AS last FROM made_versions GROUP BY 1) l
           USING (target_model) WHERE NOT failed
         UNION ALL SELECT 'failure', model_name, NULL, version FROM moved_verdicts WHERE failed""",
+    "file_failures": """
+        SELECT CAST(run_id AS VARCHAR) AS run_id, path, kind, 1 AS attempts, CASE kind WHEN 'queued' THEN 2000 ELSE 0 END AS wait_ms
+        FROM wanted_files, (VALUES ('queued'), ('reported')) k(kind) WHERE bytes IS NULL""",
+    "retried_files": """
+        SELECT 'three' AS commit, CAST(run_id AS VARCHAR) AS run_id, path, true AS ok FROM wanted_files WHERE bytes IS NULL""",
     "second_migration":
         "SELECT round, table_name, n_rows, n_rows AS n_keys FROM after_rows, (SELECT unnest(['one', 'two']) AS round) r",
     "new_models": """

@@ -16,7 +16,7 @@ from modelferry.functions import errors, names, status, text
 from modelferry.operators import byte_bins, counts, inventory, metadata, ranking, reconcile, references, rewrite, scope, upsert
 from modelferry.plans import batched, survey, transfer
 from modelferry.session import configure, scratch_path, ship, written
-from modelferry.sources import artifact_files, file_copy, pages, registry, reports, tracking_store
+from modelferry.sources import artifact_files, file_copy, pages, registry, reports, retry_queue, tracking_store
 from modelferry.streaming import live_tracking
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -646,27 +646,36 @@ def migrate_all(spark, sf_dir):
     ).summary
 
 
-@query
-def migrate_with_files(spark, sf_dir):
-    """A migration that moves files, some of which are lost: files that arrived, versions made, failures."""
+def _with_files(spark: SparkSession, sf_dir: str) -> tuple[Snapshot, Snapshot, str, str, Options, DataFrame]:
+    """Source and target whose files are the documents; those of one id in 17 are not there yet.
+
+    With the target's address, the root of all files, options, and the files (address, text, lost).
+    """
     root, path = scratch_path(spark, "files"), scratch_path(spark, "target")
     s, t = fx.source(spark, sf_dir), fx.target(spark, sf_dir)
 
     def home(folder):
         return F.concat_ws("/", F.lit(f"{root}/{folder}"), F.col("run_id").cast("string"), F.lit("artifacts"))
 
-    # The documents are the files; those of one id in 17 cannot be found.
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = F.when(F.col("doc_id") % 3 == 0, "model/MLmodel").when(
         F.col("doc_id") % 3 == 1, "model/requirements.txt").otherwise(F.concat(F.lit("plots/"), "source", F.lit(".png")))
-    write_texts(documents.where("doc_id % 31 <> 0 and doc_id % 17 <> 5").select(
+    files = documents.where("doc_id % 31 <> 0").select(
         F.concat_ws("/", F.lit(f"{root}/from"), F.floor(F.col("doc_id") / 3).cast("string"), F.lit("artifacts"), place).alias("address"),
-        "text"))
+        "text", (F.col("doc_id") % 17 == 5).alias("lost"))
+    write_texts(files.where("not lost"))
     s = s.with_tables(runs=s.runs.withColumn("artifact_uri", home("from")))
     t = t.with_tables(runs=t.runs.withColumn("artifact_uri", home("to/old")))
     tables = {n: getattr(t, n) for n in registry.WRITE_ORDER if getattr(t, n, None) is not None}
     registry.write_registry(tables, path, fx.SOURCE_HOST, "earlier")
-    done = transfer.migrate_all(s, path, fx.TARGET_HOST, replace(OPTIONS, artifact_root=f"{root}/to/new"), "now")
+    return s, t, path, root, replace(OPTIONS, artifact_root=f"{root}/to/new"), files
+
+
+@query
+def migrate_with_files(spark, sf_dir):
+    """A migration that moves files, some of which are lost: files that arrived, versions made, failures."""
+    s, t, path, root, options, _ = _with_files(spark, sf_dir)
+    done = transfer.migrate_all(s, path, fx.TARGET_HOST, options, "now")
     arrived = artifact_files.list_artifacts(spark, f"{root}/to").select(
         F.lit("file").alias("kind"), F.split_part("run_id", F.lit("/"), F.lit(-1)).alias("name"), "path",
         F.col("size_bytes").alias("n"))
@@ -682,6 +691,35 @@ def migrate_with_files(spark, sf_dir):
     )
 
 
+@query
+def file_failures(spark, sf_dir):
+    """Files that could not be copied, as reported and as queued."""
+    s, _, path, _, options, _ = _with_files(spark, sf_dir)
+    done = transfer.migrate_all(s, path, fx.TARGET_HOST, options, "now", now=_now())
+    queued = retry_queue.read_queue(spark, path)
+    reported = done.file_failures.select("run_id", "path", F.lit("reported").alias("kind"), F.lit(1).alias("attempts"), F.lit(0).cast("bigint").alias("wait_ms"))
+    return reported.unionByName(
+        queued.select("run_id", "path", F.lit("queued").alias("kind"), "attempts", (F.col("next_ms") - fx.COMMIT_MS).alias("wait_ms")))
+
+
+@query
+def retried_files(spark, sf_dir):
+    """What later migrations copy: nothing before the time has come, then exactly what failed, then nothing."""
+    s, _, path, _, options, files = _with_files(spark, sf_dir)
+    parts = []
+    for commit, after in (("one", 0), ("two", 1), ("three", 3600), ("four", 7200)):
+        if commit == "three":
+            write_texts(files.where("lost"))
+        # Versions are switched off after the first time, so that only the queue asks for files.
+        done = transfer.migrate_all(
+            s, path, fx.TARGET_HOST, options if commit == "one" else replace(options, migrate_models=False), commit,
+            now=F.timestamp_millis(F.lit(fx.COMMIT_MS + after * 1000)))
+        if commit != "one":
+            parts.append(done.copied.select(F.lit(commit).alias("commit"), F.col("run_id").cast("string").alias("run_id"), "path", "ok"))
+    parts.append(retry_queue.read_queue(spark, path).select(F.lit("queued").alias("commit"), "run_id", "path", F.lit(False).alias("ok")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def second_migration(spark, sf_dir):
     """Rows of a plain target after one and after a second migration into it."""

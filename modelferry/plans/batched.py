@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from modelferry.functions.names import target_model_name
 from modelferry.functions.text import strip_space
 from modelferry.operators import rewrite as rw
-from modelferry.operators import scope
+from modelferry.operators import retries, scope
 from modelferry.operators.ranking import batches
 from modelferry.operators.rewrite import BATCH
 from modelferry.operators.upsert import apply_outcomes, pending
@@ -33,6 +33,7 @@ from modelferry.schemas import Snapshot
 from modelferry.session import scratch_path, written
 from modelferry.sources.file_copy import copy_artifacts
 from modelferry.sources.registry import committed, read_registry, write_parts, write_registry
+from modelferry.sources.retry_queue import read_queue, write_queue
 from modelferry.sources.tracking_store import TrackingStore
 
 
@@ -81,7 +82,10 @@ def with_batches(plan: Transfer, numbers: DataFrame) -> Transfer:
     return replace(plan, mapping=written(mapping, "experiment-batches"), mapped=written(mapped, "run-batches"))
 
 
-def stage(plan: Transfer, numbers: DataFrame, target_path: str, name: str, options: Options, copy_files: bool) -> Staged:
+def stage(
+    plan: Transfer, numbers: DataFrame, target_path: str, name: str, options: Options, copy_files: bool,
+    first: int, now: Column | None,
+) -> Staged:
     """Write what does not depend on files into the commits' folders, and stage the rest by batch."""
     source, target, mapped, host = plan.source, plan.target, plan.mapped, plan.source.host
     targets = numbers.select(target_model_name(F.col("model_name"), options.model_prefix).alias("model_name"), BATCH)
@@ -92,7 +96,12 @@ def stage(plan: Transfer, numbers: DataFrame, target_path: str, name: str, optio
     manifest = plan.manifest(judged)
     if copy_files:
         manifest = with_addresses(manifest, mapped, source)
-    staged.put(manifest.join(mapped.select("run_id", BATCH), "run_id"), "manifest")
+    wanted = manifest.join(mapped.select("run_id", BATCH), "run_id")
+    if copy_files:
+        # Files that failed earlier go with the first batch.
+        queue = read_queue(source.models.sparkSession, target_path).withColumn(BATCH, F.lit(first))
+        wanted = retries.with_due(wanted, queue, target.run_artifacts, now)
+    staged.put(wanted, "manifest")
     cloned = judged.where(F.col("reason").isNull()).select("model_name", "version")
     tags = source.version_tags.join(cloned, ["model_name", "version"], "left_semi")
     staged.put(tags.join(numbers, "model_name"), "version_tags")
@@ -149,6 +158,8 @@ def _commit(
         },
         target_path, host, commit,
     )
+    if copy_files:
+        write_queue(retries.next_queue(read_queue(store.spark, target_path), copied, scope.nothing(copied), now), target_path)
     models, mapping = staged.of("models", batch), staged.of("mapping", batch)
     summary = rw.migration_summary(models, mapping if options.migrate_experiments else scope.nothing(mapping), created)
     summary.write.mode("overwrite").parquet(f"{staged.path}/summary/{BATCH}={batch}")
@@ -186,7 +197,7 @@ def migrate_pending_in_batches(
     plan = replace(
         plan, mapping=plan.mapping.withColumn(BATCH, F.greatest(BATCH, F.lit(first))),
         mapped=plan.mapped.withColumn(BATCH, F.greatest(BATCH, F.lit(first))))
-    staged = stage(plan, numbers, target_path, commit, options, copy_files)
+    staged = stage(plan, numbers, target_path, commit, options, copy_files, first, now)
     for batch in range(first, last + 1):
         _commit(source, staged, batch, target_path, target_host, f"{commit}-{batch:06d}", options, store, copy_files, now)
     return staged.all("summary").agg(*[F.sum(n).alias(n) for n in rw.SUMMARY])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from modelferry.functions.names import normal_host, target_model_name
 from modelferry.operators import rewrite as rw
-from modelferry.operators import scope
+from modelferry.operators import retries, scope
 from modelferry.operators.artifacts import artifact_manifest, in_folders
 from modelferry.operators.counts import run_counts
 from modelferry.operators.joins import outer_lookup
@@ -21,6 +21,7 @@ from modelferry.schemas import Snapshot
 from modelferry.session import written
 from modelferry.sources.file_copy import copy_artifacts
 from modelferry.sources.registry import read_registry, write_registry
+from modelferry.sources.retry_queue import read_queue, write_queue
 from modelferry.sources.tracking_store import TrackingStore
 
 
@@ -136,11 +137,12 @@ class Outcome:
 
 def run_transfer(
     source: Snapshot, target: Snapshot, options: Options, target_path: str, commit: str,
-    copy_files: bool = True,
+    copy_files: bool = True, now: Column | None = None,
 ) -> Outcome:
     """Copy the files, write all records as one commit, and sum up.
 
-    With ``copy_files`` off the manifest is recorded as if it had been copied.
+    Files that failed earlier and are due at ``now`` are copied along (R10). With ``copy_files`` off the
+    manifest is recorded as if it had been copied.
     """
     if copy_files and not options.artifact_root:
         raise ValueError("set artifact_root, the address below which copied files go")
@@ -148,9 +150,9 @@ def run_transfer(
     mapped, judged = plan.mapped, plan.judged()
     manifest = plan.manifest(judged)
     if copy_files:
-        copied = written(
-            copy_artifacts(with_addresses(manifest, mapped, source), options.copy_threads), "copied"
-        )
+        queue = read_queue(source.models.sparkSession, target_path)
+        wanted = retries.with_due(with_addresses(manifest, mapped, source), queue, target.run_artifacts, now)
+        copied = written(copy_artifacts(wanted, options.copy_threads), "copied")
         judged = fail_uncopied(judged, copied)
     else:
         copied = written(assumed_copied(manifest), "copied")
@@ -174,6 +176,9 @@ def run_transfer(
         "models": fresh,
     }
     write_registry(records, target_path, host, commit)
+    if copy_files:
+        # After the commit: a file that is queued and held as well leaves the queue next time.
+        write_queue(retries.next_queue(queue, copied, target.run_artifacts, now), target_path)
     experiments = plan.mapping if options.migrate_experiments else scope.nothing(plan.mapping)
     summary = rw.migration_summary(models, experiments, created)
     return Outcome(summary, failures, created, copied, rw.run_failures(mapped), rw.file_failures(copied))
@@ -181,12 +186,12 @@ def run_transfer(
 
 def migrate_all(
     source: Snapshot, target_path: str, target_host: str, options: Options, commit: str,
-    copy_files: bool = True,
+    copy_files: bool = True, now: Column | None = None,
 ) -> Outcome:
     """Migrate everything in scope."""
     target = rw.with_provenance(
         read_registry(source.models.sparkSession, target_path, target_host, may_be_new=True), source.host)
-    return run_transfer(source, target, options, target_path, commit, copy_files)
+    return run_transfer(source, target, options, target_path, commit, copy_files, now)
 
 
 def migrate_pending(
@@ -195,17 +200,17 @@ def migrate_pending(
 ) -> DataFrame:
     """Migrate the models that wait, update tracking, return the summary.
 
-    With nothing pending, nothing is written and the summary is all zero. The
+    With nothing pending and no failed file due, nothing is written and the summary is all zero. The
     tracking table names the models, so the allowlist does not apply.
     """
     tracking = store.read()
     waiting = pending(tracking, source.host)
-    if waiting.isEmpty():
+    if waiting.isEmpty() and not (copy_files and not retries.due(read_queue(store.spark, target_path), now).isEmpty()):
         zero = F.lit(0).cast("bigint")
         return tracking.sparkSession.range(1).select(*[zero.alias(n) for n in rw.SUMMARY])
     options = replace(options, model_names=())
     chosen = scope.restrict(source, waiting)
-    done = migrate_all(chosen, target_path, target_host, options, commit, copy_files)
+    done = migrate_all(chosen, target_path, target_host, options, commit, copy_files, now)
     if options.migrate_models:
         outcomes = finished_models(
             scope.scope_models(chosen.models), tracking, target_path, done, source.host,

@@ -73,6 +73,12 @@ TRACKING = _ddl(
 # Position of the last outcome event applied to a tracking row, kept beside it.
 POSITION = _ddl("event_ms bigint, event_id bigint")
 
+# Files that could not be copied, with the time of their next attempt.
+RETRIES = _ddl(
+    "run_id string, target_run_id string, path string, parent string, size_bytes bigint, "
+    "source_address string, target_address string, attempts int, next_ms bigint, error string"
+)
+
 TRACKING_KEYS = ("source_host", "model_name")
 
 # Written by target outcomes only.
