@@ -570,6 +570,60 @@ QUERIES: dict[str, str] = {
 }
 QUERIES["migrate_all"] = QUERIES["migration_summary"]
 
+
+def _table_digest(name: str, rows: str, columns: str) -> str:
+    """Number of rows and sum of a hash of their text; ``columns`` are those of the table in order of name."""
+    def cell(c: str) -> str:
+        return f"coalesce(CAST({f'CAST(round({c} * 1000) AS BIGINT)' if c == 'value' and name in DOUBLES else c} AS VARCHAR), '~')"
+
+    cells = ", ".join(cell(c) if c != "-" else "'~'" for c in columns.split())
+    return f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
+      CAST(sum(CAST(concat('0x', substr(md5(concat_ws('|', {cells})), 1, 8)) AS BIGINT)) AS BIGINT) AS digest
+      FROM (SELECT *, '{SOURCE_HOST}' AS of_host FROM ({rows}) r) q"""
+
+
+DOUBLES = ("run_metrics", "metric_points")
+# Every written table in its columns by name; of_host is the source's host, - a column that is NULL.
+_WRITTEN = {
+    "run_params": ("target_params", "key run_id of_host value"),
+    "run_metrics": ("", "key run_id of_host value"),
+    "metric_points": ("metric_history", "key run_id of_host step ts_ms value"),
+    "run_tags": ("target_run_tags", "key run_id of_host value"),
+    "run_artifacts": ("", "path run_id size_bytes of_host"),
+    "experiment_tags": ("target_experiment_tags", "experiment_id key of_host value"),
+    "experiments": ("target_experiments", "experiment_id name source_experiment_id of_host"),
+    "runs": ("target_runs", "artifact_uri end_ms experiment_id lifecycle run_id run_name run_user of_host source_run_id start_ms status"),
+    "version_tags": ("target_version_tags", "key model_name of_host value version"),
+    "versions": ("target_versions", "creation_ms description model_name run_id of_host source_model_version source_uri stage user_id version"),
+    "model_tags": ("target_model_tags", "key model_name of_host value"),
+    "models": ("target_models", "creation_ms description model_name of_host source_model_name"),
+}
+_OTHER = {
+    "run_metrics": "SELECT f.target_run_id AS run_id, m.key, m.value FROM run_metrics m JOIN fresh f ON f.run_id = m.run_id",
+    "run_artifacts": f"SELECT target_run_id AS run_id, path, size_bytes FROM ({_MANIFEST.format(files='all_files')}) m",
+}
+QUERIES["committed_tables"] = "\nUNION ALL\n".join(
+    _table_digest(name, QUERIES[query] if query else _OTHER[name], columns) for name, (query, columns) in _WRITTEN.items())
+QUERIES["target_as_source"] = f"""
+  SELECT * FROM (WITH v AS (
+    SELECT model_name, CAST(run_id AS VARCHAR) AS run_id FROM made_versions
+    UNION ALL SELECT model_name, run_id FROM ({QUERIES["target_versions"]}) c
+  ), r AS (SELECT CAST(run_id AS VARCHAR) AS run_id FROM made_runs UNION ALL SELECT run_id FROM ({QUERIES["target_runs"]}) f
+  ), p AS (
+    SELECT run_id, count(*) AS n FROM (SELECT CAST(run_id AS VARCHAR) AS run_id FROM tgt_run_params
+      UNION ALL SELECT run_id FROM ({QUERIES["target_params"]}) n) q GROUP BY run_id
+  ), k AS (
+    SELECT run_id, count(*) AS n FROM (SELECT CAST(run_id AS VARCHAR) AS run_id FROM tgt_run_metrics
+      UNION ALL SELECT run_id FROM ({_OTHER["run_metrics"]}) n) q GROUP BY run_id
+  ), m AS (SELECT model_name FROM tgt_models UNION ALL SELECT model_name FROM ({QUERIES["target_models"]}) n)
+  SELECT '{THOST}' AS source_host, m.model_name, CAST(count(v.model_name) AS INT) AS source_versions,
+         CAST(count(*) FILTER (WHERE v.model_name IS NOT NULL AND (v.run_id IS NULL OR r.run_id IS NOT NULL)) AS INT) AS source_versions_migratable,
+         CAST(coalesce(sum(CASE WHEN r.run_id IS NOT NULL THEN p.n END), 0) AS INT) AS source_params,
+         CAST(coalesce(sum(CASE WHEN r.run_id IS NOT NULL THEN k.n END), 0) AS INT) AS source_metrics
+  FROM m LEFT JOIN v ON v.model_name = m.model_name LEFT JOIN r ON r.run_id = v.run_id
+  LEFT JOIN p ON p.run_id = v.run_id LEFT JOIN k ON k.run_id = v.run_id
+  WHERE position('.' IN m.model_name) = 0 GROUP BY m.model_name) q"""
+
 # A resumed migration: only waiting models, and the target as it is afterwards.
 RESUMED: dict[str, str] = {}
 RESUMED["scope_versions"] = """

@@ -720,6 +720,36 @@ def retried_files(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+def _text_digest(rows: DataFrame) -> list:
+    """Number of rows and sum of a hash of their text, as SQL can work them out."""
+    cells = [
+        F.coalesce((F.round(F.col(c) * 1000).cast("bigint") if kind == "double" else F.col(c)).cast("string"), F.lit("~"))
+        for c, kind in sorted(rows.dtypes)]
+    number = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("digest")]
+
+
+@query
+def committed_tables(spark, sf_dir):
+    """The content of each table that a migration wrote, read back from its commit."""
+    path = _stored_target(spark, sf_dir)
+    transfer.migrate_all(fx.source(spark, sf_dir), path, fx.TARGET_HOST, OPTIONS, "now", copy_files=False, now=_now())
+    parts = []
+    for name in registry.WRITE_ORDER:
+        rows = spark.read.schema(registry.TABLES[name]).parquet(f"{path}/{name}/commit=now")
+        parts.append(rows.agg(*_text_digest(rows)).select(F.lit(name).alias("table_name"), "n_rows", "digest"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def target_as_source(spark, sf_dir):
+    """Versions and runs by model in the inventory of a registry that this engine wrote."""
+    path = _stored_target(spark, sf_dir)
+    transfer.migrate_all(fx.source(spark, sf_dir), path, fx.TARGET_HOST, OPTIONS, "now", copy_files=False, now=_now())
+    rows = survey.inventory_report(registry.read_registry(spark, path, fx.TARGET_HOST), Options(), "https://next.example")
+    return rows.select("source_host", "model_name", "source_versions", "source_versions_migratable", "source_params", "source_metrics")
+
+
 @query
 def second_migration(spark, sf_dir):
     """Rows of a plain target after one and after a second migration into it."""

@@ -17,6 +17,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from modelferry.functions.names import target_model_name
 from modelferry.functions.text import strip_space
@@ -43,13 +44,19 @@ class Staged:
 
     path: str
     last_versions: DataFrame
+    schemas: dict[str, StructType]
 
     def put(self, df: DataFrame, name: str) -> None:
         # Rebalancing keeps a batch's part in few files, and splits a large one.
+        self.schemas[name] = df.schema
         df.hint("rebalance", BATCH).write.partitionBy(BATCH).parquet(f"{self.path}/{name}")
 
+    def put_batch(self, df: DataFrame, name: str, batch: int) -> None:
+        self.schemas[name] = StructType([*df.schema, StructField(BATCH, LongType())])
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}/{BATCH}={batch}")
+
     def all(self, name: str) -> DataFrame:
-        return self.last_versions.sparkSession.read.parquet(f"{self.path}/{name}")
+        return self.last_versions.sparkSession.read.schema(self.schemas[name]).parquet(f"{self.path}/{name}")
 
     def of(self, name: str, batch: int) -> DataFrame:
         """One batch's rows; other batches' files are not opened."""
@@ -84,13 +91,13 @@ def with_batches(plan: Transfer, numbers: DataFrame) -> Transfer:
 
 def stage(
     plan: Transfer, numbers: DataFrame, target_path: str, name: str, options: Options, copy_files: bool,
-    first: int, now: Column | None,
+    first: int, last: int, now: Column | None,
 ) -> Staged:
     """Write what does not depend on files into the commits' folders, and stage the rest by batch."""
     source, target, mapped, host = plan.source, plan.target, plan.mapped, plan.source.host
     targets = numbers.select(target_model_name(F.col("model_name"), options.model_prefix).alias("model_name"), BATCH)
-    last = target.versions.join(targets, "model_name", "left_semi").groupBy("model_name").agg(F.max("version").alias("version"))
-    staged = Staged(scratch_path(source.models.sparkSession, "batches"), written(last, "last-versions"))
+    numbered = target.versions.join(targets, "model_name", "left_semi").groupBy("model_name").agg(F.max("version").alias("version"))
+    staged = Staged(scratch_path(source.models.sparkSession, "batches"), written(numbered, "last-versions"), {})
     judged = plan.judged()
     staged.put(judged.join(numbers, "model_name"), "judged")
     manifest = plan.manifest(judged)
@@ -108,7 +115,7 @@ def stage(
     models = plan.found.models if options.migrate_models else scope.nothing(plan.found.models)
     staged.put(models.join(numbers, "model_name"), "models")
     staged.put(plan.mapping, "mapping")
-    fresh = rw.target_models(rw.new_models(models, target.models, options.model_prefix), host)
+    fresh = rw.target_models(rw.new_models(models, target.models, options.model_prefix), host, now)
     targets_of_experiments = _first(
         plan.mapping.where("target_experiment_id is not null").withColumnRenamed("target_experiment_id", "id"), "id"
     ).withColumnRenamed("id", "experiment_id")
@@ -127,6 +134,7 @@ def stage(
             "models": fresh.join(targets, "model_name"),
         },
         target_path, host, F.concat(F.lit(f"{name}-"), F.lpad(F.col(BATCH).cast("string"), 6, "0")),
+        [f"{name}-{batch:06d}" for batch in range(first, last + 1)],
     )
     return staged
 
@@ -135,7 +143,7 @@ def _copied(staged: Staged, batch: int, options: Options, copy_files: bool) -> D
     """Copies the batch's files; its manifest with ok, bytes, error. Staged beside that of the earlier batches."""
     manifest = staged.of("manifest", batch)
     done = copy_artifacts(manifest, options.copy_threads) if copy_files else assumed_copied(manifest)
-    done.write.mode("overwrite").parquet(f"{staged.path}/copied/{BATCH}={batch}")
+    staged.put_batch(done, "copied", batch)
     return staged.of("copied", batch)
 
 
@@ -148,7 +156,7 @@ def _commit(
     copied = _copied(staged, batch, options, copy_files)
     # A run's files are copied by the first batch that needs them, and later ones depend on them as well.
     judged = fail_uncopied(staged.of("judged", batch), staged.all("copied").where(F.col(BATCH) <= batch))
-    created = written(rw.target_versions(judged, staged.last_versions, host), "created")
+    created = written(rw.target_versions(judged, staged.last_versions, host, now), "created")
     failures = written(rw.version_failures(judged), "failures")
     write_registry(
         {
@@ -162,7 +170,7 @@ def _commit(
         write_queue(retries.next_queue(read_queue(store.spark, target_path), copied, scope.nothing(copied), now), target_path)
     models, mapping = staged.of("models", batch), staged.of("mapping", batch)
     summary = rw.migration_summary(models, mapping if options.migrate_experiments else scope.nothing(mapping), created)
-    summary.write.mode("overwrite").parquet(f"{staged.path}/summary/{BATCH}={batch}")
+    staged.put_batch(summary, "summary", batch)
     if options.migrate_models:
         done = Outcome(summary, failures, created, copied, scope.nothing(failures), rw.file_failures(copied))
         outcomes = finished_models(models, store.read(), target_path, done, host, target_host, options.model_prefix)
@@ -197,7 +205,7 @@ def migrate_pending_in_batches(
     plan = replace(
         plan, mapping=plan.mapping.withColumn(BATCH, F.greatest(BATCH, F.lit(first))),
         mapped=plan.mapped.withColumn(BATCH, F.greatest(BATCH, F.lit(first))))
-    staged = stage(plan, numbers, target_path, commit, options, copy_files, first, now)
+    staged = stage(plan, numbers, target_path, commit, options, copy_files, first, last, now)
     for batch in range(first, last + 1):
         _commit(source, staged, batch, target_path, target_host, f"{commit}-{batch:06d}", options, store, copy_files, now)
     return staged.all("summary").agg(*[F.sum(n).alias(n) for n in rw.SUMMARY])

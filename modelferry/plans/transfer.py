@@ -157,10 +157,10 @@ def run_transfer(
     else:
         copied = written(assumed_copied(manifest), "copied")
     host = source.host
-    created = written(rw.target_versions(judged, target.versions, host), "created")
+    created = written(rw.target_versions(judged, target.versions, host, now), "created")
     failures = written(rw.version_failures(judged), "failures")
     models = plan.found.models if options.migrate_models else scope.nothing(plan.found.models)
-    fresh = rw.target_models(rw.new_models(models, target.models, options.model_prefix), host)
+    fresh = rw.target_models(rw.new_models(models, target.models, options.model_prefix), host, now)
     records = {
         "run_params": rw.target_params(mapped, source.run_params),
         "run_metrics": rw.target_metrics(mapped, source.run_metrics),

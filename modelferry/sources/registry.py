@@ -9,9 +9,10 @@ so its records are never read and the retry cannot double them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from modelferry.functions.names import normal_host
@@ -34,18 +35,20 @@ EMPTY_IS_NULL = {"versions": ("run_id",)}
 REQUIRED = ("models", "versions", "experiments", "runs", "run_params", "run_metrics", "run_artifacts")
 
 
-def _read_table(spark: SparkSession, path: str, table: str, fmt: str, commits: set[str]) -> DataFrame | None:
+def _read_table(
+    spark: SparkSession, path: str, table: str, fmt: str, commits: set[str], plain: bool = True
+) -> DataFrame | None:
     """Plain files and complete commits of a table; None where it has no folder."""
     schema, folder = TABLES[table], f"{path}/{table}"
     there = storage.names(spark, folder)
     if there is None:
         return None
     done = [n for n in there if n.startswith("commit=") and n.removeprefix("commit=") in commits]
-    plain = [n for n in there if not n.startswith(("commit=", "_", "."))]
+    loose = [n for n in there if plain and not n.startswith(("commit=", "_", "."))]
     reader = spark.read.schema(schema).option("basePath", folder).format(fmt)
     parts = [
         reader.load([f"{folder}/{n}" for n in some]).select(*schema.fieldNames())
-        for some in (plain, done) if some
+        for some in (loose, done) if some
     ]
     df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
     for column in EMPTY_IS_NULL.get(table, ()):
@@ -89,12 +92,30 @@ def conformed(df: DataFrame, table: str, host: str | None = None, *beside: str)
     return df.select(*columns, *beside)
 
 
+def digest(columns: list[str]) -> list[Column]:
+    """Aggregates that tell two multisets of rows apart, in whatever order the rows come: their number and the sum of their hashes."""
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(20,0)")
+    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(hashed), F.lit(0).cast("decimal(30,0)")).alias("digest")]
+
+
+def _checked(table: str, rows: DataFrame, write: Callable[[DataFrame], None], back: Callable[[], DataFrame | None]) -> None:
+    """Write rows and compare what is in the files with what went in; the rows are worked out once."""
+    seen = Observation(table)
+    columns = TABLES[table].fieldNames()
+    write(rows.observe(seen, *digest(columns)))
+    found = back()
+    there = (0, 0) if found is None else tuple(found.agg(*digest(columns)).first())
+    sent = (seen.get["n_rows"], seen.get["digest"])
+    if there != sent:
+        raise OSError(f"{table}: {there[0]} rows in the files, {sent[0]} were written, or their content differs")
+
+
 def write_registry(
     records: dict[str, DataFrame], path: str, host: str, commit: str, fmt: str = "parquet"
 ) -> None:
-    """Write the records of one transfer and commit it (S3).
+    """Write the records of one transfer, check the files and commit it.
 
-    Rewriting an unfinished commit replaces it; a finished one is refused.
+    Rewriting an unfinished commit replaces it; a finished one is refused. Files that do not hold what was written make no commit.
     """
     spark = next(iter(records.values())).sparkSession
     if commit in committed(spark, path):
@@ -104,22 +125,29 @@ def write_registry(
         raise ValueError(f"unknown tables: {sorted(unknown)}")
     for table in WRITE_ORDER:
         if table in records:
-            (
-                conformed(records[table], table, host)
-                .write.mode("overwrite").format(fmt).save(f"{path}/{table}/commit={commit}")
-            )
+            folder = f"{path}/{table}/commit={commit}"
+            _checked(
+                table, conformed(records[table], table, host),
+                lambda df: df.write.mode("overwrite").format(fmt).save(folder),
+                lambda: spark.read.schema(TABLES[table]).format(fmt).load(folder))
     storage.mark(spark, f"{path}/{COMMITS}/{commit}")
 
 
-def write_parts(records: dict[str, DataFrame], path: str, host: str, commit: Column, fmt: str = "parquet") -> None:
-    """Write records of many transfers at once, each row into the folder of its ``commit``; commits nothing.
+def write_parts(
+    records: dict[str, DataFrame], path: str, host: str, commit: Column, commits: list[str], fmt: str = "parquet"
+) -> None:
+    """Write records of the transfers ``commits`` at once, each row into the folder of its ``commit``, and check the files; commits nothing.
 
     Folders of other commits stay. :func:`write_registry` adds the tables that are still to come and commits.
     """
     for table in WRITE_ORDER:
         if table in records:
+            folder, spark = f"{path}/{table}", records[table].sparkSession
             rows = records[table].withColumn("_commit", commit)
             named = conformed(rows, table, host, "_commit").withColumnRenamed("_commit", "commit")
             # Rebalancing keeps a commit's part in few files, and splits a large one.
-            named.hint("rebalance", "commit").write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic").partitionBy("commit").format(fmt).save(f"{path}/{table}")
+            _checked(
+                table, named.hint("rebalance", "commit"),
+                lambda df: df.write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic").partitionBy("commit").format(fmt).save(folder),
+                lambda: _read_table(spark, path, table, fmt, set(commits), plain=False))

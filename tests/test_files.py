@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from modelferry import Options
-from modelferry.operators import byte_bins, rewrite, upsert
+from modelferry.operators import byte_bins, retries, rewrite, upsert
 from modelferry.plans import batched, survey, transfer
-from modelferry.schemas import TRACKING
-from modelferry.sources import artifact_files, file_copy, pages, registry, reports
+from modelferry.schemas import RETRIES, TRACKING
+from modelferry.sources import artifact_files, file_copy, pages, registry, reports, retry_queue
 from modelferry.sources.tracking_store import TrackingStore, merge_statement
 from tests import small
 
@@ -483,3 +483,73 @@ def test_source_tables_are_read_as_often_for_any_number_of_batches(spark, folder
     for name in registry.WRITE_ORDER:
         rows = [sorted(map(repr, getattr(r, name).drop("creation_ms").collect())) for r in (a, b)]
         assert rows[0] == rows[1], name
+
+
+def test_a_commit_that_is_not_what_was_written_fails(spark, folder, monkeypatch):
+    source = small.sample_source(spark)
+    real = registry._checked
+
+    def damaged(table, rows, write, back):
+        real(table, rows, write, (lambda: back().limit(1)) if table == "runs" else back)
+
+    monkeypatch.setattr(registry, "_checked", damaged)
+    with pytest.raises(OSError, match="runs: 1 rows in the files, 3 were written"):
+        registry.write_registry({"runs": source.runs, "models": source.models}, folder, small.HOST, "c")
+    assert registry.committed(spark, folder) == []
+    changed = source.runs.withColumn("status", F.lit("other"))
+    with pytest.raises(OSError, match="content differs"):
+        real("runs", registry.conformed(source.runs, "runs"), lambda df: df.count(), lambda: registry.conformed(changed, "runs"))
+    real("runs", registry.conformed(source.runs, "runs"), lambda df: df.count(), lambda: registry.conformed(source.runs.repartition(3), "runs"))
+
+
+def test_failed_files_wait_longer_and_are_given_up(spark):
+    at = lambda seconds: F.timestamp_millis(F.lit(seconds * 1000))
+    copied = spark.createDataFrame(
+        [("r", "t", "a", None, 3, "s/a", "d/a", False, "HTTP 503"), ("r", "t", "b", None, 3, "s/b", "d/b", True, None)],
+        "run_id string, target_run_id string, path string, parent string, size_bytes long, source_address string, target_address string, ok boolean, error string")
+    nothing = spark.createDataFrame([], "run_id string, path string")
+    queue, waits = spark.createDataFrame([], RETRIES), []
+    manifest = copied.drop("ok", "error")
+    for _ in range(7):
+        queue = spark.createDataFrame(retries.next_queue(queue, copied, nothing, at(0)).collect(), RETRIES)
+        row = queue.first()
+        waits.append((row.path, row.attempts, row.next_ms))
+    assert waits == [("a", n + 1, ms) for n, ms in enumerate([2000, 4500, 9000, 17500, 34000, None, None])]
+    first = spark.createDataFrame([("r", "t", "a", None, 3, "s/a", "d/a", 1, 2000, "x")], RETRIES)
+    none = manifest.where("false")
+    assert retries.with_due(none, first, nothing, at(1)).count() == 0 and retries.with_due(none, first, nothing, at(2)).count() == 1
+    assert retries.with_due(manifest, first, nothing, at(2)).count() == 2
+    held = spark.createDataFrame([("t", "a")], "run_id string, path string")
+    assert retries.with_due(none, first, held, at(2)).count() == 0
+    assert retries.next_queue(first, copied.where("false"), held, at(2)).count() == 0
+    assert retries.next_queue(first, copied.where("false"), nothing, at(2)).collect() == first.collect()
+
+
+def test_batches_copy_files_and_queue_lost_ones(spark, folder):
+    home = f"{folder}/source"
+    put(f"{home}/r1/artifacts/model/MLmodel", b"abc")
+    put(f"{home}/r2/artifacts/model/MLmodel", b"xy")
+    files = [("r1", "model/MLmodel", 3), ("r1", "plots/p.png", 3), ("r2", "model/MLmodel", 2)]
+    source = small.registry(
+        spark, models=[{"model_name": "a"}, {"model_name": "b"}],
+        versions=[{"model_name": "a", "version": 1, "run_id": "r1"}, {"model_name": "b", "version": 1, "run_id": "r1"},
+                  {"model_name": "b", "version": 2, "run_id": "r2"}],
+        experiments=[{"experiment_id": "e", "name": "/x/e"}],
+        runs=[{"run_id": r, "experiment_id": "e", "lifecycle": "active", "artifact_uri": f"{home}/{r}/artifacts"} for r in ("r1", "r2")],
+        run_artifacts=[{"run_id": r, "path": p, "size_bytes": n} for r, p, n in files],
+    )
+    options = Options(skip_existing_versions=True, artifact_root=f"{folder}/moved", batch_size=1)
+    store = TrackingStore(spark, f"{folder}/tracking")
+    survey.track_inventory(survey.inventory_report(source, options, "https://t"), store)
+    done = batched.migrate_pending_in_batches(source, f"{folder}/target", "https://t", options, store, "b").first()
+    assert (done.migrated_models, done.migrated_model_versions, done.distinct_runs) == (2, 3, 3)
+    target = registry.read_registry(spark, f"{folder}/target", "https://t")
+    assert sorted(r.path for r in target.run_artifacts.collect()) == ["model/MLmodel", "model/MLmodel"]
+    assert {r.migration_status for r in store.read().collect()} == {"COMPLETED"}
+    assert [r.path for r in retry_queue.read_queue(spark, f"{folder}/target").collect()] == ["plots/p.png"]
+    # Nothing waits any more but the file, which is tried when it is due.
+    put(f"{home}/r1/artifacts/plots/p.png", b"png")
+    later = F.timestamp_millis(F.lit(4_000_000_000_000))
+    batched.migrate_pending_in_batches(source, f"{folder}/target", "https://t", options, store, "c", now=later)
+    target = registry.read_registry(spark, f"{folder}/target", "https://t")
+    assert target.run_artifacts.count() == 3 and retry_queue.read_queue(spark, f"{folder}/target").count() == 0

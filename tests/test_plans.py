@@ -14,7 +14,7 @@ from tests import small
 QUERIES = all_queries()
 PYTHON = {"model_metadata", "inventory_with_metadata", "artifact_copy", "copy_large_files", "migrate_with_files"}
 # Not plans of one query: they act while they are built.
-JOBS = {"migrate_all", "migrate_pending", "migrate_in_batches", "file_failures", "retried_files", "track_stream", "tracking_report", "paged_extract"}
+JOBS = {"migrate_all", "migrate_pending", "migrate_in_batches", "file_failures", "retried_files", "committed_tables", "target_as_source", "track_stream", "tracking_report", "paged_extract"}
 
 
 def plan(df):
