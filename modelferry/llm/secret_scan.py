@@ -13,7 +13,8 @@ those with the smallest hash of their id; and runs of one separator. Counts are
 pair of characters, so what reaches the driver is bounded (80 x 80).
 
 Null text counts as empty: no spans. Positions are code points, ends exclusive. Rows are
-judged one by one: repeated rows and null ids change nothing. Without labels the ordinary model is flat, and no run counts as random.
+judged one by one: repeated rows and null ids change nothing, and an empty table gives an empty one. The work follows
+the length of a text and its matches, however many there are. Other columns stay as they are. Without labels the ordinary model is flat, and no run counts as random.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ SAMPLE = 300
 SEED = 10
 LOW, CODES = 43, 80  # characters from '+' to 'z'
 SECRET = "[SECRET]"
+# Items of one block of a running sum; characters of one slice of a text that is rewritten.
+BLOCK, SLICE = 128, 2048
 
 _NO_SPANS = "array<struct<s:int,k:int,e:int>>"
 
@@ -45,20 +48,80 @@ def _empty() -> Column:
     return F.array().cast(_NO_SPANS)
 
 
+def _running(items: Column, following, emit, empty: Column) -> Column:
+    """``emit(state, item)`` of each item; the state starts at 0 and goes on by ``following(state, item)``.
+
+    Items are taken in blocks, and each block's results are put end to end once, so the work follows the number of items.
+    """
+    first = F.struct(F.lit(0).alias("at"), items.alias("items"), F.array(empty).alias("out"))
+
+    def step(acc, j):
+        def inner(own, x):
+            return F.struct(following(own["at"], x).alias("at"), F.concat(own["out"], F.array(emit(own["at"], x))).alias("out"))
+
+        return F.aggregate(
+            F.slice(acc["items"], j * BLOCK + 1, F.lit(BLOCK)), F.struct(acc["at"].alias("at"), empty.alias("out")), inner,
+            lambda own: F.struct(own["at"].alias("at"), acc["items"].alias("items"), F.concat(acc["out"], F.array(own["out"])).alias("out")))
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    folded = F.aggregate(blocks, first, step, lambda acc: F.flatten(acc["out"]))
+    return F.when(F.size(items) > 0, folded).otherwise(empty)
+
+
 def _placed(text: Column, pattern: str, matches: Column, kind: int) -> Column:
-    """Spans of all matches, from the pieces of text between them."""
-    pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), _empty().alias("out"), pieces.alias("pieces"), matches.alias("m"))
+    """Spans of all matches, from the lengths of the pieces of text between them."""
+    # One piece follows the last match.
+    lengths = F.filter(
+        F.zip_with(F.split(text, pattern, -1), matches, lambda p, m: F.struct(F.length(p).alias("p"), F.length(m).alias("m"))),
+        lambda x: x["m"].isNotNull())
+
+    def span(at, x):
+        return F.struct((at + x["p"]).alias("s"), F.lit(kind).alias("k"), (at + x["p"] + x["m"]).alias("e"))
+
+    placed = _running(lengths, lambda at, x: at + x["p"] + x["m"], span, _empty())
+    return F.when(F.size(matches) > 0, placed).otherwise(_empty())
+
 
-    def step(acc, i):
-        s = acc["at"] + F.length(F.get(acc["pieces"], i))
-        e = s + F.length(F.get(acc["m"], i))
-        span = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"),
-                        acc["pieces"].alias("pieces"), acc["m"].alias("m"))
+def _merged(spans: Column) -> Column:
+    """Spans without overlaps, from spans in order: those that share a character become one."""
+    empty = F.array().cast("array<struct<s:int,before:int>>")
+    seen = _running(spans, lambda at, x: F.greatest(at, x["e"]),
+                    lambda at, x: F.struct(x["s"].alias("s"), at.alias("before")), empty)
+    firsts = F.filter(seen, lambda x: x["s"] >= x["before"])
+    # A run ends at the furthest end before the next run starts.
+    last = F.array(F.array_max(F.transform(spans, lambda x: x["e"])))
+    return F.transform(
+        F.array(firsts), lambda runs: F.zip_with(
+            runs, F.concat(F.transform(F.slice(runs, 2, F.size(runs)), lambda x: x["before"]), last),
+            lambda x, e: F.struct(x["s"].alias("s"), e.alias("e"))))[0]
 
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, folded).otherwise(_empty())
+
+def _filled(text: Column, spans: Column, fill) -> Column:
+    """The text with ``fill(span starts here, characters)`` in place of each part of a span; spans do not overlap.
+
+    The text is read in slices of ``SLICE`` characters, each with its own few spans.
+    """
+    slices = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SLICE}}}"), F.lit(0))
+    first = F.struct(F.lit(0).alias("low"), F.lit(0).alias("next"), spans.alias("spans"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, own):
+        # A span has a character at least, so no more than these meet the slice.
+        high = acc["low"] + SLICE
+        near = F.filter(F.slice(acc["spans"], acc["next"] + 1, F.lit(SLICE)), lambda x: x["s"] < high)
+
+        def part(done, x):
+            begin, end = F.greatest(x["s"] - acc["low"], F.lit(0)), F.least(x["e"] - acc["low"], F.lit(SLICE))
+            plain = F.substring(own, done["at"] + 1, begin - done["at"])
+            return F.struct(end.alias("at"), F.concat(done["out"], plain, fill(x["s"] >= acc["low"], end - begin)).alias("out"),
+                            (done["gone"] + (x["e"] <= high).cast("int")).alias("gone"))
+
+        return F.aggregate(
+            near, F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.lit(0).alias("gone")), part,
+            lambda done: F.struct(
+                high.alias("low"), (acc["next"] + done["gone"]).alias("next"), acc["spans"].alias("spans"),
+                F.concat(acc["out"], F.array(F.concat(done["out"], F.substring(own, done["at"] + 1, F.lit(SLICE))))).alias("out")))
+
+    return F.aggregate(slices, first, step, lambda acc: F.array_join(acc["out"], ""))
 
 
 def with_patterns(docs: DataFrame) -> DataFrame:
@@ -147,15 +210,7 @@ def train(docs: DataFrame, labels: DataFrame) -> list[float]:
 
 def _blanked(text: Column, spans: Column) -> Column:
     """The text with a blank for each character of the spans, which are in order and may overlap."""
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), text.alias("t"))
-
-    def step(acc, x):
-        own = F.substring(acc["t"], acc["at"] + 1, x["s"] - acc["at"])
-        blank = F.repeat(F.lit(" "), x["e"] - F.greatest(acc["at"], x["s"]))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], own, blank).alias("out"), acc["t"].alias("t"))
-
-    return F.aggregate(spans, first, step, lambda acc: F.concat(
-        acc["out"], F.substring(acc["t"], acc["at"] + 1, F.length(acc["t"]))))
+    return _filled(text, _merged(spans), lambda starts, n: F.repeat(F.lit(" "), n))
 
 
 def with_spans(docs: DataFrame, model: list[float]) -> DataFrame:
@@ -203,19 +258,13 @@ def redact(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``n_chars``, if there is one, follows the new text.
     """
-    rows = with_spans(docs, train(docs, labels))
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"), F.col("__t").alias("t"))
-
-    def step(acc, x):
-        # What an earlier span covers is gone; a span that starts inside it adds no second mark.
-        own = F.substring(acc["t"], acc["at"] + 1, x["s"] - acc["at"])
-        marked = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], own, F.lit(SECRET)))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), marked.alias("out"), acc["t"].alias("t"))
-
-    rest = F.aggregate("__spans", first, step, lambda acc: F.concat(
-        acc["out"], F.substring(acc["t"], acc["at"] + 1, F.length(acc["t"]))))
-    rows = rows.withColumn("__new", F.when(F.size("__spans") > 0, rest).otherwise(F.col("text")))
-    changed = {"text": F.col("__new"), "n_chars": F.when(
-        F.size("__spans") > 0, F.length("__new")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
+    # The row goes along whole, so no column of it clashes with a working one.
+    rows = with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), train(docs, labels))
+    rest = _filled(F.col("__t"), _merged(F.col("__spans")), lambda starts, n: F.when(starts, F.lit(SECRET)).otherwise(""))
+    hit = F.size("__spans") > 0
+    rows = rows.withColumn("__new", F.when(hit, rest).otherwise(F.col("text")))
+    changed = {"text": F.col("__new")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(hit, F.length("__new")).otherwise(F.col("row.n_chars"))
     return rows.select(*[
-        changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+        changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else F.col("row")[c].alias(c) for c in docs.columns])

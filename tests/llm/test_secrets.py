@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -99,3 +100,35 @@ def test_redaction(spark):
     assert (rows[2].text, rows[2].n_chars) == ("clean", 5) and rows[None].text is None
     assert rows[3].text == "[SECRET] [SECRET]"
     assert S.redact(docs, labels).columns == docs.columns
+
+
+def test_many_matches_and_long_texts(spark):
+    prepare(spark)
+    rng = random.Random(4)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    many = "".join(rng.choice([f"token=abcd{i}ef ", f"é😀{HEXES[:24]}\n", f"AKIA{'C3' * 8};", "x y "]) for i in range(20_000))
+    wide = "é " * 3000 + "password=" + "Ab9/" * 3000 + " token=abcdefg" * 2
+    edge = [" " * n + "token=abcdefgh" + HEXES for n in (S.SLICE - 20, S.SLICE - 1, S.SLICE)]
+    docs = spark.createDataFrame(list(enumerate([many, wide, *edge])), "doc_id long, text string")
+    started = time.monotonic()
+    rows = {r.doc_id: r for r in S.scan(docs, labels).collect()}
+    texts = {r.doc_id: r.text for r in S.redact(docs, labels).collect()}
+    assert time.monotonic() - started < 90
+    for i, text in enumerate([many, wide, *edge]):
+        assert rows[i].spans == base(text)
+        out, at = [], 0
+        for _, s, e in (x.split(":") for x in base(text).split(",")):
+            s, e = int(s), int(e)
+            out += [text[at:s], S.SECRET] if s >= at else []
+            at = max(at, e)
+        assert texts[i] == "".join(out) + text[at:]
+
+
+def test_clashing_columns(spark):
+    prepare(spark)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    docs = spark.createDataFrame(
+        [(1, "token=abcdefg", "mine", 1, 2), (2, None, None, None, None)], "doc_id long, text string, __t string, __spans int, row int")
+    rows = {r.doc_id: r for r in S.redact(docs, labels).collect()}
+    assert tuple(rows[1]) == (1, "[SECRET]", "mine", 1, 2) and tuple(rows[2]) == (2, None, None, None, None)
+    assert S.redact(docs, labels).columns == docs.columns
