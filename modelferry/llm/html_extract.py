@@ -35,9 +35,13 @@ SEED = 1
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset(
-    "script style noscript template iframe object svg math canvas audio video textarea select option datalist title head".split())
+    "script style noscript template iframe object svg math canvas audio video textarea select option datalist title".split())
 #: What these hold is no markup and ends at the first end tag of the same name.
-RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in ("script", "style", "textarea", "iframe")}
+RAW = frozenset("script style textarea iframe title".split())
+#: One of these may hold another of the same name.
+NESTED = frozenset("object svg math template".split())
+_EDGE = {t: re.compile(rf"<(/?){t}(?=[\s/>]|\Z)(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(/?)(?:>|\Z)", re.I) for t in HIDDEN}
+_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in HIDDEN}
 BLOCK = frozenset(
     "html body address article aside blockquote button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr label legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
@@ -95,13 +99,38 @@ def _tokens(attributes: str) -> tuple[int, int]:
     return _named[attributes]
 
 
+def _after_hidden(html: str, tag: str, at: int) -> int:
+    """Where the page goes on after the hidden element whose start tag ends at ``at``; -1 if nothing ends it.
+
+    Of nested ones too few of which are closed, the last end tag counts.
+    """
+    if tag in RAW:
+        end = _END[tag].search(html, at)
+        return end.end() if end else -1
+    depth, last = 1, -1
+    for m in _EDGE[tag].finditer(html, at):
+        if m[1]:
+            depth, last = depth - 1, m.end()
+            if not depth:
+                break
+        elif tag not in NESTED:
+            return -1
+        elif not m[2]:
+            depth += 1
+    return last
+
+
 def parse(html: str) -> Page:
-    """The tree of a page; unclosed and misplaced tags are mended as browsers do in the common cases."""
+    """The tree of a page; unclosed and misplaced tags are mended as browsers do in the common cases.
+
+    A head holds no text outside hidden elements, so its own tags, which a page may leave out, are passed over. A hidden element
+    that is never closed hides nothing, but for scripts and the like, whose content is no markup: they hide the rest of the page.
+    """
     page = Page()
     open_: list[tuple[str, int]] = []
     runs: list[str] = []
     links = 0
-    hidden = ""
+    never: set[str] = set()  # hidden elements of which no more end tags come
 
     def push(tag: str, attributes: str) -> None:
         node = len(page.kind)
@@ -132,31 +161,33 @@ def parse(html: str) -> Page:
     while m := next(tokens, None):
         s = m[0]
         if s[0] != "<" or s == "<":
-            if not hidden:
-                text = entities.unescape(s) if "&" in s else s
-                runs.append(text)
-                if links:
-                    page.linked[open_[-1][1]] += len(text.strip())
+            text = entities.unescape(s) if "&" in s else s
+            runs.append(text)
+            if links:
+                page.linked[open_[-1][1]] += len(text.strip())
             continue
         if s[1] in "!?":
             continue
         tag = (m[2] or m[5] or "").lower()
         closing = s[1] == "/"
-        if tag in RAW and not closing and not (hidden and s.endswith("/>")):
-            end = RAW[tag].search(html, m.end())
-            tokens = _TOKEN.finditer(html, end.start() if end else len(html))
-        if hidden:
-            if closing and tag == hidden:
-                hidden = ""
-            elif hidden in ("head", "title") and tag == "body":
-                hidden = ""
-            else:
-                continue
-            if closing:
-                continue
+        if tag == "head":
+            continue
         if tag in HIDDEN:
-            # A head that is never closed ends where the body starts.
-            hidden = "" if closing or s.endswith("/>") and tag in ("svg", "math") else tag
+            if closing or tag in never or s.endswith("/>") and tag in ("svg", "math"):
+                continue
+            end = _after_hidden(html, tag, m.end())
+            if end < 0 and tag in RAW and tag != "title":
+                break
+            if end < 0 and tag == "title":
+                # The text up to the next tag is the title.
+                end = html.find("<", m.end())
+                if end < 0:
+                    break
+            if end < 0:
+                if not _END[tag].search(html, m.end()):
+                    never.add(tag)
+            else:
+                tokens = _TOKEN.finditer(html, end)
             continue
         if tag not in BLOCK:
             if tag == "br":

@@ -1,5 +1,7 @@
 """Extraction on pages that the trees have not seen, parsing and decoding."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -37,6 +39,25 @@ def test_scripts_end_at_their_own_end_tag(script):
     assert H.parse(f"<head>{script}</head><body><p>Article</p></body>").blocks == ["Article"]
 
 
+ARTICLE = "<article><h1>A title here</h1><p>Some text in here, with a comma. And more.</p><p>Another paragraph, long enough to count.</p></article>"
+
+
+@pytest.mark.parametrize("start", [
+    "<head><meta charset=x><title>x</title>", "<html><head><title>x</title><link>", "<title>x</title>", "<body><noscript>", "<head><title>x",
+    "<body><svg><svg><text>in</text></svg><text>LABEL</text></svg>", "<svg><svg></svg>", "<video src=a>", "<body><object><object></object></object>",
+    "<head><noscript><style>a{}</style></noscript></head>", "<svg><title>LABEL</title></svg>", "<title>a <p> b</title>", "<svg a='>'/>"])
+def test_open_heads_and_hidden_elements_keep_the_article(trees, start):
+    assert H.texts_of([start + ARTICLE], trees) == [
+        "A title here\n\nSome text in here, with a comma. And more.\n\nAnother paragraph, long enough to count."]
+
+
+@pytest.mark.parametrize("part", ["<svg>", "<noscript>", "<svg></svg>", "<option>a", "<title>", "<svg", "</svg>"])
+def test_many_hidden_elements_take_linear_time(part):
+    started = time.monotonic()
+    H.parse("<body>" + part * 20_000 + ARTICLE)
+    assert time.monotonic() - started < 10
+
+
 @pytest.mark.parametrize("page", [
     None, "", "   ", "plain text only", "<", "<<>>", "<p", "<!-- open", "<script>never", "</div></p></body>", "<div " + "a" * 5000,
     "<div>" * 3000 + "deep", "<p>" * 2000 + "x", "<a href=\"" * 50, "&#xZZ; &bogus; &#1114112;", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>\x00</p>",
