@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, docs: DataFrame) -> str:
+    """``name``, or the first longer one that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

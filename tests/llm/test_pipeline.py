@@ -10,7 +10,7 @@ from modelferry.llm.queries import all_oracles, all_queries
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 14))
     assert set(all_queries()) | {"pipeline"} <= set(entry.queries())
     assert set(all_oracles()) <= set(all_queries())
 
