@@ -2,6 +2,10 @@
 
 quality rules drop what they reject; SimHash keeps one document of each group; secret scans
 redact; mixing repeats documents of small sources; packing gives the pieces in their sequences.
+
+Null texts and texts of few words fail the base rules and go; a long text is one document like any other. Of equal or
+nearly equal documents the one with the smallest id stays. An empty table passes through as an empty one. Columns besides those of
+``documents`` are carried up to the last stage.
 """
 
 from __future__ import annotations
@@ -16,8 +20,7 @@ from modelferry.session import written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
     prepare(spark)
-    judged = quality_rules.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("rules.kept").select(*[f"`{c}`" for c in docs.columns])
+    return quality_rules.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
