@@ -162,18 +162,17 @@ def ordinary_strings(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").alias("sample_id")).distinct().orderBy(
         F.xxhash64(F.lit(SEED), "sample_id"), "sample_id").limit(SAMPLE)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("sample_id"))
-    clean = with_patterns(texts).where(F.size("__base") == 0)
-    words = clean.select(F.split("__t", r"[^A-Za-z0-9]+").alias("w"))
+    # No filter here: it would go below the join, and patterns would be sought in all documents.
+    words = with_patterns(texts).select(F.when(F.size("__base") == 0, F.split("__t", r"[^A-Za-z0-9]+")).alias("w"))
     at = F.sequence(F.lit(0), F.size("w") - 2)
     pair = F.transform(at, lambda i: F.concat_ws(
         "_", F.lower(F.get("w", i)), F.lower(F.get("w", i + 1))))
     camel = F.transform(at, lambda i: F.concat(F.lower(F.get("w", i)), F.initcap(F.get("w", i + 1))))
     path = F.transform(at, lambda i: F.concat(F.lit("/"), F.get("w", i), F.lit("-"), F.get("w", i + 1)))
     upper = F.transform(pair, F.upper)
-    joined = words.where(F.size("w") > 1)
+    forms = F.when(F.size("w") > 1, F.concat("w", pair, camel, path, upper)).otherwise(F.col("w"))
     marks = docs.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c * 200) for c in "-=_+/"])).alias("s"))
-    return words.select(F.explode("w").alias("s")).unionByName(
-        joined.select(F.explode(F.concat(pair, camel, path, upper)).alias("s"))).unionByName(marks)
+    return words.select(F.explode_outer(forms).alias("s")).where("s is not null").unionByName(marks)
 
 
 def pair_counts(strings: DataFrame) -> dict[int, int]:
