@@ -492,6 +492,10 @@ QUERIES: dict[str, str] = {
         FROM candidates c LEFT JOIN exp_map x ON x.experiment_id = c.experiment_id
         WHERE x.target_name IS NULL OR x.target_name NOT IN (SELECT name FROM tgt_experiments)""",
     "failure_comments": "SELECT * FROM fail_comments",
+    "failure_parts": """
+        SELECT model_name, CAST(floor(version / 4096) AS BIGINT) AS part, count(*) AS rows,
+               string_agg(left(reason, 60), '; ' ORDER BY version) AS text
+        FROM reasons WHERE reason IS NOT NULL GROUP BY 1, 2""",
     "artifact_manifest": _MANIFEST.format(files="all_files"),
     "model_manifest": _MANIFEST.format(files="model_files"),
     "migration_summary": """

@@ -183,9 +183,10 @@ def inventory_report(spark, sf_dir):
 def inventory_with_metadata(spark, sf_dir):
     """Flavors and versions from model files, requirements from whole texts."""
     s = fx.source(spark, sf_dir)
-    found = metadata.run_metadata(_mlmodel_files(spark, sf_dir), _requirement_files(spark, sf_dir))
-    ids = found.withColumn("run_id", F.col("run_id").cast("bigint"))
-    return survey.inventory_report(s, Options(), fx.TARGET_HOST, ids).select(
+    flavors = metadata.model_flavors(_mlmodel_files(spark, sf_dir))
+    texts = metadata.model_requirements(_requirement_files(spark, sf_dir))
+    flavors, texts = (df.withColumn("run_id", F.col("run_id").cast("bigint")) for df in (flavors, texts))
+    return survey.inventory_report(s, Options(), fx.TARGET_HOST, flavors, requirements=texts).select(
         "model_name", "flavors", "python_version", "requirements"
     )
 
@@ -396,6 +397,11 @@ def failure_comments(spark, sf_dir):
     return reconcile.failure_comments(rewrite.version_failures(_plan(spark, sf_dir).judged()))
 
 
+@query
+def failure_parts(spark, sf_dir):
+    return reconcile.failure_parts(rewrite.version_failures(_plan(spark, sf_dir).judged()))
+
+
 @query
 def artifact_manifest(spark, sf_dir):
     plan = _plan(spark, sf_dir)

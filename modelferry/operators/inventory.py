@@ -4,6 +4,9 @@ Every version is laid out as a few entries (its totals, stage, users,
 experiment, message). Entries are deduplicated by (model, kind, value) before
 anything is gathered by model, so that the versions of a large model are summed
 all over the cluster, and only distinct texts meet in the task that joins them.
+Comments, one for each blocked version, are joined by segments of versions first.
+Requirement texts are long: entries hold the run that has them, and the text is
+looked up for the one run that is left by model.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from modelferry.functions.text import cut, first_user, joined_sorted
 from modelferry.functions.times import day_text, minute_text
 from modelferry.operators.counts import runs_per_experiment, with_counts
 from modelferry.operators.joins import outer_lookup
+from modelferry.operators.long_texts import PART, in_order, part_of
 from modelferry.operators.references import BLOCKED, READY, RUN_MISSING, experiment_label, version_states
 from modelferry.operators.scope import lifecycle
 from modelferry.options import Options
@@ -68,8 +72,7 @@ def _entries(states: DataFrame, with_metadata: bool) -> Column:
         laid_out += [
             entry(_FLAVORS, flavors),
             entry(_PYTHON, F.nullif(F.col("python_version"), F.lit(""))),
-            entry(_REQUIREMENTS, F.when(flavors.isNotNull(), F.coalesce("requirements", F.lit(""))),
-                  F.col("version")),
+            entry(_REQUIREMENTS, F.when(flavors.isNotNull(), F.col("run_id").cast("string")), F.col("version")),
         ]
     return F.array(*laid_out)
 
@@ -99,7 +102,7 @@ def _by_model(
 ) -> DataFrame:
     runs = with_counts(snapshot.runs.select("run_id", "experiment_id", "run_user"), counts)
     if metadata is not None:
-        runs = runs.join(metadata, "run_id", "left")
+        runs = runs.join(metadata.select("run_id", "flavors", "python_version"), "run_id", "left")
     states = version_states(
         snapshot.versions.select("model_name", "version", "run_id", "user_id", "stage", "creation_ms"),
         runs,
@@ -128,9 +131,7 @@ def _by_model(
 
     is_experiment = F.col("kind") == _EXPERIMENT
     name = experiment_label(F.col("_name"), F.col("experiment_id"))
-    comments = F.array_sort(
-        F.collect_list(F.when(F.col("kind") == _COMMENT, F.struct("nth", "text")))
-    )
+    comment = F.when(F.col("kind") == _COMMENT, F.col("text"))
     columns = [
         total("versions").alias("versions"), total("blocked").alias("blocked"),
         total("params").alias("params"), total("metrics").alias("metrics"),
@@ -140,29 +141,43 @@ def _by_model(
         joined_sorted(_texts(_STAGE), LIST_SEPARATOR).alias("stages"),
         joined_sorted(_texts(_OWNER), LIST_SEPARATOR).alias("owners"),
         joined_sorted(F.collect_set(F.when(is_experiment, name)), NAME_SEPARATOR).alias("experiment_names"),
-        F.array_join(F.transform(comments, lambda c: c["text"]), COMMENT_SEPARATOR).alias("comments"),
+        in_order(F.col("nth"), comment, COMMENT_SEPARATOR).alias("comments"),
     ]
     if metadata is not None:
         columns += [
             joined_sorted(_texts(_FLAVORS), NAME_SEPARATOR).alias("flavors"),
             joined_sorted(_texts(_PYTHON), LIST_SEPARATOR).alias("python_version"),
-            F.max_by("text", F.when(F.col("kind") == _REQUIREMENTS, F.col("nth"))).alias("requirements"),
+            F.max_by("text", F.when(F.col("kind") == _REQUIREMENTS, F.col("nth"))).alias("described_run"),
         ]
-    return labelled.groupBy("model_name").agg(*columns)
+    # Everything but comments is in one part, so the other texts of a part are those of the model.
+    part = F.when(F.col("kind") == _COMMENT, part_of(F.col("nth")))
+    parts = labelled.groupBy("model_name", part.alias(PART)).agg(*columns)
+    sums = ["versions", "blocked", "params", "metrics", "files", "experiment_count", "runs"]
+    texts = [c for c in parts.columns if c not in ["model_name", PART, "latest_ms", "comments", *sums]]
+    return parts.groupBy("model_name").agg(
+        *[F.sum(c).alias(c) for c in sums], F.max("latest_ms").alias("latest_ms"),
+        *[F.max(F.when(F.col(PART).isNull(), F.col(c))).alias(c) for c in texts],
+        in_order(F.col(PART), F.col("comments"), COMMENT_SEPARATOR).alias("comments"),
+    )
 
 
 def inventory(
     snapshot: Snapshot, counts: DataFrame, options: Options, target_host: str,
     in_reach: DataFrame | None = None, metadata: DataFrame | None = None,
-    now: Column | None = None,
+    now: Column | None = None, requirements: DataFrame | None = None,
 ) -> DataFrame:
     """The inventory of ``snapshot.models``, in tracking-table columns (A1).
 
     ``counts`` are the per-run counts (A12). ``in_reach`` limits the experiments
     whose runs count, needed when versions are capped; None means all.
-    ``metadata`` (run_id, flavors, requirements, python_version) is optional (X3).
+    ``metadata`` (run_id, flavors, python_version) is optional (X3); requirement texts
+    (run_id, requirements) may be among its columns or come as ``requirements``.
     """
     by_model = _by_model(snapshot, counts, options, in_reach, metadata)
+    if metadata is not None:
+        texts = metadata if requirements is None else requirements
+        by_model = outer_lookup(
+            by_model, texts.select(F.col("run_id").alias("described_run"), "requirements"), ["described_run"], ["model_name"])
     joined = snapshot.models.select("model_name", F.col("creation_ms").alias("model_ms")).join(
         by_model, "model_name", "left"
     )

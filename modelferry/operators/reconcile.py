@@ -13,6 +13,7 @@ from modelferry.functions.status import (
 from modelferry.functions.text import cut, joined_sorted
 from modelferry.operators.counts import COUNTS, with_counts
 from modelferry.operators.joins import outer_lookup
+from modelferry.operators.long_texts import cells, text_parts
 from modelferry.schemas import Snapshot
 
 # Message length and separators in the tracking comments.
@@ -127,13 +128,15 @@ def target_rollup(target: Snapshot, counts: DataFrame, host: str, target_host: s
     )
 
 
+def failure_parts(failures: DataFrame) -> DataFrame:
+    """By model and segment of versions: failed versions and their reasons in order, one row a part."""
+    return text_parts(failures, ["model_name"], "version", cut(F.col("reason"), REASON_LENGTH), REASON_SEPARATOR)
+
+
 def failure_comments(failures: DataFrame) -> DataFrame:
     """By model: failed versions and their reasons in order."""
-    reasons = F.array_sort(F.collect_list(F.struct("version", cut(F.col("reason"), REASON_LENGTH).alias("text"))))
-    return failures.groupBy("model_name").agg(
-        F.count(F.lit(1)).alias("failed"),
-        F.array_join(F.transform(reasons, lambda r: r["text"]), REASON_SEPARATOR).alias("comments"),
-    )
+    return cells(failure_parts(failures), ["model_name"], REASON_SEPARATOR).select(
+        "model_name", F.col("rows").alias("failed"), F.col("text").alias("comments"))
 
 
 def model_outcomes(

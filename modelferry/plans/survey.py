@@ -69,6 +69,7 @@ def lost_references(snapshot: Snapshot, found: Discovery, options: Options) -> D
 def inventory_report(
     snapshot: Snapshot, options: Options, target_host: str,
     metadata: DataFrame | None = None, failures: DataFrame | None = None, now: Column | None = None,
+    requirements: DataFrame | None = None,
 ) -> DataFrame:
     """The inventory of the models in scope, with error rows where reading failed."""
     found = discover(snapshot, options)
@@ -79,7 +80,7 @@ def inventory_report(
     versions = scope.allow_models(scope.scope_models(snapshot.versions), list(options.model_names))
     scoped = snapshot.with_tables(models=found.models, versions=versions)
     rows = inv.inventory(
-        scoped, counts, options, target_host, found.experiments if capped else None, metadata, now
+        scoped, counts, options, target_host, found.experiments if capped else None, metadata, now, requirements
     )
     if failures is None:
         return rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.queries import all_queries
 from modelferry import Options
-from modelferry.operators import joins, ranking, scope
+from modelferry.operators import joins, long_texts, ranking, reconcile, scope
 from modelferry.plans import survey, transfer
 from tests import small
 
@@ -146,3 +146,44 @@ def test_published_views_differ_only_in_absent_rows(spark, sf_dir):
     whole, published = fx.tables(spark, sf_dir), fx.tables(spark, sf_dir, True)
     assert whole["runs"].count() == 1500 and published["runs"].count() == 1286
     assert whole["versions"].count() == 6000 and published["versions"].count() == 520
+
+
+def test_long_cells_equal_plain_joins(spark):
+    """Most failures in one model, some without a reason, one without a version."""
+    rows = [("big" if i % 3 else f"m{i % 7}", i, None if i % 11 == 0 else f"reason {i} " + "x" * (i % 80)) for i in range(1, 20001)]
+    rows += [("none", 1, None), ("none", 9000, None), ("empty", 5000, ""), ("empty", 1, ""), ("big", None, "odd")]
+    failures = spark.createDataFrame(rows, "model_name string, version int, reason string")
+    expected = {}
+    for model, version, reason in sorted(rows, key=lambda r: (r[0], -1 if r[1] is None else r[1])):
+        count, texts = expected.get(model, (0, []))
+        expected[model] = count + 1, texts + ([] if reason is None else [reason[:60]])
+    got = {r.model_name: (r.failed, r.comments) for r in reconcile.failure_comments(failures).collect()}
+    assert got == {m: (n, "; ".join(t)) for m, (n, t) in expected.items()}
+    parts = reconcile.failure_parts(failures)
+    assert parts.agg(F.max("rows")).first()[0] <= ranking.VERSIONS_PER_SEGMENT
+    assert parts.where("model_name = 'big'").count() == 6
+    assert reconcile.failure_comments(failures.where("false")).count() == 0
+
+
+def test_a_cell_is_shuffled_as_parts(spark):
+    failures = spark.createDataFrame([("m", 1, "r")], "model_name string, version int, reason string")
+    exchanges = [line for line in plan(reconcile.failure_comments(failures)).splitlines() if "hashpartitioning" in line]
+    assert len(exchanges) == 2 and f"{long_texts.PART}" in exchanges[1] and f"{long_texts.PART}" not in exchanges[0].split("ENSURE")[0].split("hashpartitioning")[1]
+
+
+def test_requirement_texts_are_looked_up_last(spark):
+    source = small.registry(
+        spark, models=[{"model_name": "a"}, {"model_name": "b"}], experiments=[{"experiment_id": "e", "name": "/e"}],
+        runs=[{"run_id": f"r{i}", "experiment_id": "e", "lifecycle": "active"} for i in range(4)],
+        versions=[{"model_name": "a", "version": 1, "run_id": "r0"}, {"model_name": "a", "version": 2, "run_id": "r1"},
+                  {"model_name": "a", "version": 3, "run_id": "r2"}, {"model_name": "b", "version": 1, "run_id": "r3"}])
+    flavors = spark.createDataFrame([("r0", "f", "3"), ("r1", "g", None), ("r2", None, None)], "run_id string, flavors string, python_version string")
+    texts = spark.createDataFrame([("r0", "old"), ("r1", "won"), ("r2", "no flavors"), ("r3", "none")], "run_id string, requirements string")
+    rows = survey.inventory_report(source, Options(), "t", flavors, requirements=texts)
+    assert {r.model_name: (r.flavors, r.requirements) for r in rows.collect()} == {"a": ("f | g", "won"), "b": (None, None)}
+    whole = survey.inventory_report(source, Options(), "t", flavors.join(texts, "run_id", "full_outer"))
+    assert {r.model_name: r.requirements for r in whole.collect()} == {"a": "won", "b": None}
+    # The column is no part of any aggregate, and one join alone has it below.
+    lines = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("requirements#" in line for line in lines)
+    assert not [line for line in lines if "Aggregate" in line and "requirements#" in line]
