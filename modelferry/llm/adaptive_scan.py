@@ -222,20 +222,23 @@ def nearest(vectors: DataFrame, every: int = 20) -> DataFrame:
                 names=["v", "rep", "bound", "lists", "near", "scores"])
 
     listed = written(distinct.mapInArrow(assign, "v array<double>, rep long, ids array<long>, list long"), "lists")
-    # At most MAX_LISTS rows.
-    blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("n_blocks"))
     asked = written(rows.where(F.col("id") % every == 0).join(reps, "v").select("v", "rep", "id"), "asked")
     askers = asked.groupBy("rep").agg(F.first("v").alias("v")).select("v", "rep")
-    groups = max(1, -(-askers.count() // QUERY_ROWS))
     asking = written(askers.mapInArrow(
         probe, "v array<double>, rep long, bound double, lists array<long>, near array<long>, scores array<double>"), "asking")
-    probes = asking.select(
-        "v", "rep", "bound", F.pmod(F.xxhash64("rep"), F.lit(groups)).alias("part"), F.explode("lists").alias("list")
-    ).join(F.broadcast(blocks), "list").select(
-        "v", "rep", "bound", "part", "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("block"))
-    candidates = listed.join(F.broadcast(blocks), "list").select(
+    probing = asking.select("v", "rep", "bound", F.explode("lists").alias("list"))
+    # At most MAX_LISTS rows. Candidates go only to the queries that probe their list, in as many parts as these fill.
+    sizes = written(listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("n_blocks")).join(
+        probing.groupBy("list").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("n_parts")), "list"), "sizes")
+
+    def numbers(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    probes = probing.join(F.broadcast(sizes), "list").select(
+        "v", "rep", "bound", F.pmod(F.xxhash64("rep"), "n_parts").alias("part"), "list", numbers("n_blocks").alias("block"))
+    candidates = listed.join(F.broadcast(sizes), "list").select(
         "v", "rep", "ids", "list", F.pmod(F.xxhash64(F.lit(SEED), "rep"), "n_blocks").alias("block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("part"))
+        numbers("n_parts").alias("part"))
     keys = ["list", "block", "part"]
     found = candidates.groupBy(*keys).cogroup(probes.groupBy(*keys)).applyInArrow(
         _met(space), "query long, id long, score double")
