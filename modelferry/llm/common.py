@@ -35,6 +35,15 @@ def free(name: str, docs: DataFrame) -> str:
     return name
 
 
+def set_aside(docs: DataFrame, working: str) -> DataFrame:
+    """The documents with other names for columns that are called like a working one; ``toDF`` names them back."""
+    taken = working.split()
+    names: list[str] = []
+    for c in docs.columns:
+        names.append(free(f"{c}_own", docs) if c.lower() in taken else c)
+    return docs.toDF(*names)
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

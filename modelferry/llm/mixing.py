@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from modelferry.llm.common import set_aside
 from modelferry.session import written
 
 SEED = 7
@@ -163,7 +164,8 @@ def order(docs: DataFrame, target: Target = Target()) -> DataFrame:
 
 def mixed(docs: DataFrame, target: Target = Target()) -> DataFrame:
     """The copies with the columns of the documents."""
-    return copies(docs, target).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = set_aside(docs, "__md5 __tokens __turn __draw __block __of __whole __n __cut")
+    return copies(own, target).select(*[F.col(f"`{c}`") for c in own.columns]).toDF(*docs.columns)
 
 
 #: The order of all copies in DuckDB, for a limit of 2 passes. With two numbers only, the largest and the

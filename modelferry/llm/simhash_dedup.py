@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from modelferry.llm.common import raw
+from modelferry.llm.common import raw, set_aside
 from modelferry.llm.components import connected_components
 from modelferry.session import written
 
@@ -199,10 +199,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Null ids come last. Where several rows hold that id, the one with the smallest fingerprint stays,
     then the smallest text hash.
     """
-    marked, _, of = components(docs)
+    rows = set_aside(docs, "__fp __stays __id")
+    marked, _, of = components(rows)
     stays = of.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "fp")).alias("r")).select(
         F.col("r.fp").alias("__stays"), F.col("r.least").alias("__id"))
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    own = [F.col(f"`{c}`") for c in rows.columns]
     # One row for each fingerprint that stays, but for rows that share their id.
     return marked.join(stays, (F.col("__fp") == F.col("__stays")) & F.col("doc_id").eqNullSafe(F.col("__id"))).groupBy(
-        "__fp").agg(F.min_by(F.struct(*own), F.struct(F.xxhash64("text"), F.length("text"))).alias("row")).select("row.*")
+        "__fp").agg(F.min_by(F.struct(*own), F.struct(F.xxhash64("text"), F.length("text"))).alias("row")).select("row.*").toDF(*docs.columns)

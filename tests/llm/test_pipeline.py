@@ -39,3 +39,24 @@ def test_stages_in_order_and_run(spark, folder):
     assert max(ids.values()) <= 2 and counts[3] >= counts[2]
     expected = Counter((r.doc_id, r.piece, r.length) for r in best_fit_packing.pack(step).collect())
     assert Counter((r.doc_id, r.piece, r.length) for r in P.run(spark, folder).collect()) == expected
+
+
+CLASHES = "__fp int, __stays string, __md5 string, __tokens int, __turn int, __draw int, __n int, __t string, __base int, __spans int, rules int, row int, q int"
+
+
+def test_clashing_columns_and_empty_tables(spark, folder):
+    rng = random.Random(2)
+    names = [f.split()[0] for f in CLASHES.split(", ")]
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(500)], k=40)) + " token=abcdefg", "s", *["7" if "string" in f else 7 for f in CLASHES.split(", ")])
+            for i in range(12)] + [(None, None, None, *[None] * len(names))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + CLASHES)
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    empty = docs.where("false")
+    for name, stage in P.STAGES[:-1]:
+        docs, empty = stage(spark, docs, folder), stage(spark, empty, folder)
+        assert docs.columns == ["doc_id", "text", "source", *names] and empty.columns == docs.columns, name
+        assert empty.count() == 0
+    got = docs.collect()
+    assert {r.doc_id for r in got} == set(range(12)) and all(str(v) == "7" for r in got for v in r[3:])
+    assert all(r.text.endswith(" [SECRET]") for r in got)
+    assert P.pack(spark, empty, folder).count() == 0 and P.pack(spark, docs, folder).count() >= 12
