@@ -118,3 +118,49 @@ def test_written_shards_hold_all_records(spark, folder):
         (r.doc_id, r.source, r.text, r.tokens) for r in docs.collect())
     expected = {(r.doc_id, r.shard) for r in S.shard(docs, 5).collect()}
     assert {(r.doc_id, r.shard) for r in back.collect()} == expected
+
+
+def test_slots_are_those_of_a_plain_shuffle(spark, monkeypatch):
+    """Buckets by draw, Fisher-Yates in each, one behind the other; repeated rows draw by their number."""
+    prepare(spark)
+    monkeypatch.setattr(S, "BUCKET_ROWS", 20)
+    docs = corpus(spark).unionByName(corpus(spark).where("doc_id = 5").crossJoin(spark.range(90)).drop("id"))
+    shards = 4
+    now, grown = S.scores(shards)
+    hashed = docs.select("doc_id", "source", "text", now.alias("shard"), grown.alias("grown"), S.F.xxhash64(*docs.columns).alias("row"))
+    copies, rows = Counter(), []
+    for r in hashed.collect():
+        copies[r.row] += 1
+        rows.append((r.shard, r.row, copies[r.row], r.doc_id, r.source, r.text))
+    pairs = spark.createDataFrame([(r[1], r[2]) for r in rows], "row long, copy long").distinct()
+    draws = {(r.row, r.copy): r.draw for r in pairs.select(
+        "row", "copy", S.F.xxhash64(S.F.lit(S.SEED + 1), "row", "copy").alias("draw")).collect()}
+    of = Counter(r[0] for r in rows)
+    buckets = defaultdict(list)
+    for r in rows:
+        draw = draws[r[1], r[2]]
+        buckets[r[0], draw % -(-of[r[0]] // 20)].append((draw, *r[1:]))
+    expected, at = [], Counter()
+    for (shard, bucket), inside in sorted(buckets.items()):
+        inside.sort(key=lambda r: r[:3])
+        for place, r in zip(S.fisher_yates(len(inside), [S.SEED, shard, bucket]), inside):
+            expected.append((shard, at[shard] + int(place), r[3], r[4], r[5]))
+        at[shard] += len(inside)
+    assert max(b for _, b in buckets) > 1
+    got = S.write_shards(docs, S.scratch_path(spark, "plain"), shards)
+    assert sorted(map(repr, expected)) == sorted(repr((r.shard, r.slot, r.doc_id, r.source, r.text)) for r in got.collect())
+    # The copies of one row do not share a bucket.
+    assert len({k for k, v in buckets.items() if any(r[3] == 5 for r in v)}) > 3
+
+
+def test_shards_keep_columns_with_working_names(spark):
+    prepare(spark)
+    docs = spark.createDataFrame(
+        [(i, "t" * i, i, 2 * i, [i], (i, "x")) for i in range(9)] + [(None, None, None, None, None, None)] * 3,
+        "doc_id int, text string, shard int, slot long, n array<int>, __row struct<a: int, b: string>")
+    got = S.write_shards(docs, S.scratch_path(spark, "clash"), 3)
+    assert {"shard_own", "slot_own", "n_own", "__row_own", "shard", "slot"} <= set(got.columns)
+    back = got.select("doc_id", "text", "shard_own", "slot_own", "n_own", "__row_own").collect()
+    assert Counter(map(repr, map(tuple, back))) == Counter(map(repr, map(tuple, docs.collect())))
+    empty = S.write_shards(docs.where("doc_id > 99"), S.scratch_path(spark, "empty"), 3)
+    assert empty.count() == 0 and "slot" in empty.columns
