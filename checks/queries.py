@@ -360,7 +360,7 @@ def target_params(spark, sf_dir):
 @query
 def metric_history(spark, sf_dir):
     s = fx.source(spark, sf_dir)
-    return rewrite.metric_history(_plan(spark, sf_dir).mapped, s.run_metrics, s.metric_points)
+    return rewrite.metric_history(_plan(spark, sf_dir).mapped, s.run_metrics, s.metric_points, written)
 
 
 def _created_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -303,23 +305,25 @@ def target_metrics(mapped: DataFrame, run_metrics: DataFrame) -> DataFrame:
     return _under_new_id(run_metrics.select("run_id", "key", "value"), _new_ids(mapped))
 
 
-def metric_history(mapped: DataFrame, run_metrics: DataFrame, metric_points: DataFrame) -> DataFrame:
+def metric_history(
+    mapped: DataFrame, run_metrics: DataFrame, metric_points: DataFrame, stage: Callable[[DataFrame, str], DataFrame] | None = None
+) -> DataFrame:
     """Every point of every metric of the new runs.
 
     A metric without points yields one synthetic point; points of no metric are
-    dropped. Two inner joins and an anti-join rather than one outer join, since
-    an outer join could not split a series that holds much of the table. Points of
-    runs that are not new go before anything is shuffled by metric.
+    dropped. An inner join and an anti-join rather than one outer join, since
+    an outer join could not split a series that holds much of the table. With ``stage`` (see
+    :func:`modelferry.session.written`) the joined points are kept, so the source's points are read and moved once, and
+    the anti-join reads the two key columns of the points that move alone; without it the inner join is made twice.
     """
     new = new_runs(mapped).select("run_id", "target_run_id", "start_ms", "end_ms", *_batch(mapped))
     metrics = run_metrics.select("run_id", "key", "value").join(new, "run_id")
-    of_new = metric_points.select("run_id", "key", "value", "ts_ms", "step").join(
-        new.select("run_id"), "run_id", "left_semi"
-    )
-    points = of_new.join(
+    points = metric_points.select("run_id", "key", "value", "ts_ms", "step").join(
         metrics.select("run_id", "key", "target_run_id", *_batch(mapped)), ["run_id", "key"]
-    ).select(F.col("target_run_id").alias("run_id"), "key", "value", "ts_ms", "step", *_batch(mapped))
-    recorded = of_new.select("run_id", "key").distinct()
+    )
+    if stage:
+        points = stage(points, "points")
+    recorded = points.select("run_id", "key").distinct()
     ended = F.nullif(F.col("end_ms"), F.lit(0).cast("bigint"))
     started = F.nullif(F.col("start_ms"), F.lit(0).cast("bigint"))
     synthetic = metrics.join(recorded, ["run_id", "key"], "left_anti").select(
@@ -327,7 +331,8 @@ def metric_history(mapped: DataFrame, run_metrics: DataFrame, metric_points: Dat
         F.coalesce(ended, started, F.lit(0)).cast("bigint").alias("ts_ms"),
         F.lit(0).cast("bigint").alias("step"), *_batch(mapped),
     )
-    return points.unionByName(synthetic)
+    moved = points.select(F.col("target_run_id").alias("run_id"), "key", "value", "ts_ms", "step", *_batch(mapped))
+    return moved.unionByName(synthetic)
 
 
 # -- versions ---------------------------------------------------------------

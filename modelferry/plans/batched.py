@@ -125,7 +125,7 @@ def stage(
         {
             "run_params": rw.target_params(mapped, source.run_params),
             "run_metrics": rw.target_metrics(mapped, source.run_metrics),
-            "metric_points": rw.metric_history(mapped, source.run_metrics, source.metric_points),
+            "metric_points": rw.metric_history(mapped, source.run_metrics, source.metric_points, written),
             "run_tags": rw.target_run_tags(mapped, source.run_tags, host),
             "experiment_tags": experiment_tags.join(targets_of_experiments, "experiment_id"),
             "experiments": rw.target_experiments(plan.mapping, host).join(targets_of_experiments, "experiment_id"),

@@ -164,7 +164,7 @@ def run_transfer(
     records = {
         "run_params": rw.target_params(mapped, source.run_params),
         "run_metrics": rw.target_metrics(mapped, source.run_metrics),
-        "metric_points": rw.metric_history(mapped, source.run_metrics, source.metric_points),
+        "metric_points": rw.metric_history(mapped, source.run_metrics, source.metric_points, written),
         "run_tags": rw.target_run_tags(mapped, source.run_tags, host),
         "run_artifacts": copied.where("ok").select(F.col("target_run_id").alias("run_id"), "path", "size_bytes"),
         "experiment_tags": rw.target_experiment_tags(plan.mapping, source.experiment_tags, host),

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.queries import all_queries
 from modelferry import Options
-from modelferry.operators import joins, long_texts, ranking, reconcile, scope
+from modelferry.operators import joins, long_texts, ranking, reconcile, rewrite, scope
 from modelferry.plans import survey, transfer
+from modelferry.session import written
 from tests import small
 
 QUERIES = all_queries()
@@ -187,3 +188,28 @@ def test_requirement_texts_are_looked_up_last(spark):
     lines = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
     assert any("requirements#" in line for line in lines)
     assert not [line for line in lines if "Aggregate" in line and "requirements#" in line]
+
+
+def test_points_of_a_transfer_are_read_once(spark, folder):
+    """The inner join is staged; what follows reads the staged points, and of the source's only one scan is left."""
+    points = [{"run_id": f"r{i % 5}", "key": f"k{i % 3}", "value": float(i), "ts_ms": i, "step": i} for i in range(60)]
+    source = small.registry(spark, metric_points=points)
+    source.metric_points.write.parquet(f"{folder}/metric_points")
+    read = spark.read.schema(source.metric_points.schema).parquet(f"{folder}/metric_points")
+    mapped = spark.createDataFrame(
+        [(f"r{i}", f"t{i}", 7, 9, i < 4) for i in range(5)], "run_id string, target_run_id string, start_ms long, end_ms long, is_new boolean")
+    metrics = spark.createDataFrame(
+        [(f"r{i}", f"k{j}", 0.5) for i in range(5) for j in (0, 1, 8)], "run_id string, key string, value double")
+    staged = []
+
+    def stage(df, name):
+        staged.append(plan(df))
+        return written(df, name)
+
+    rows = rewrite.metric_history(mapped, metrics, read, stage)
+    assert len(staged) == 1 and staged[0].count("metric_points") == 1
+    assert "metric_points" not in plan(rows)
+    lazy = rewrite.metric_history(mapped, metrics, read)
+    assert rows.exceptAll(lazy).isEmpty() and lazy.exceptAll(rows).isEmpty()
+    assert rows.where("key = 'k8' and ts_ms = 9 and value = 0.5").count() == 4 and rows.where("key = 'k2' or run_id = 't4'").isEmpty()
+    assert rows.count() == 4 + sum(p["run_id"] != "r4" and p["key"] != "k2" for p in points)
