@@ -31,7 +31,7 @@ from modelferry.plans.transfer import (
     Outcome, Transfer, assumed_copied, fail_uncopied, finished_models, migrate_pending, plan_transfer, with_addresses,
 )
 from modelferry.schemas import Snapshot
-from modelferry.session import scratch_path, written
+from modelferry.session import cleared, kept, scratch_path, written
 from modelferry.sources.file_copy import copy_artifacts
 from modelferry.sources.registry import committed, read_registry, write_parts, write_registry
 from modelferry.sources.retry_queue import read_queue, write_queue
@@ -187,6 +187,15 @@ def migrate_pending_in_batches(
     """
     if copy_files and not options.artifact_root:
         raise ValueError("set artifact_root, the address below which copied files go")
+    with cleared(store.spark):
+        summary = _batches_transferred(source, target_path, target_host, options, store, commit, copy_files, now)
+        return kept(summary, "summary")
+
+
+def _batches_transferred(
+    source: Snapshot, target_path: str, target_host: str, options: Options,
+    store: TrackingStore, commit: str, copy_files: bool, now: Column | None,
+) -> DataFrame:
     spark = store.spark
     done = [c for c in committed(spark, target_path) if re.fullmatch(re.escape(commit) + r"-\d{6,}", c)]
     first = 1 + max((int(c.rpartition("-")[2]) for c in done), default=-1)

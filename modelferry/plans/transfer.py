@@ -18,7 +18,7 @@ from modelferry.operators.upsert import apply_outcomes, pending
 from modelferry.options import Options
 from modelferry.plans.survey import Discovery, Stage, discover, lazily
 from modelferry.schemas import Snapshot
-from modelferry.session import written
+from modelferry.session import cleared, kept, written
 from modelferry.sources.file_copy import copy_artifacts
 from modelferry.sources.registry import read_registry, write_registry
 from modelferry.sources.retry_queue import read_queue, write_queue
@@ -142,23 +142,30 @@ def run_transfer(
     """Copy the files, write all records as one commit, and sum up.
 
     Files that failed earlier and are due at ``now`` are copied along (R10). With ``copy_files`` off the
-    manifest is recorded as if it had been copied.
+    manifest is recorded as if it had been copied. What was staged on the way is removed; the outcome's tables stay.
     """
     if copy_files and not options.artifact_root:
         raise ValueError("set artifact_root, the address below which copied files go")
+    with cleared(source.models.sparkSession):
+        return _transferred(source, target, options, target_path, commit, copy_files, now)
+
+
+def _transferred(
+    source: Snapshot, target: Snapshot, options: Options, target_path: str, commit: str, copy_files: bool, now: Column | None,
+) -> Outcome:
     plan = plan_transfer(source, target, options, written)
     mapped, judged = plan.mapped, plan.judged()
     manifest = plan.manifest(judged)
     if copy_files:
         queue = read_queue(source.models.sparkSession, target_path)
         wanted = retries.with_due(with_addresses(manifest, mapped, source), queue, target.run_artifacts, now)
-        copied = written(copy_artifacts(wanted, options.copy_threads), "copied")
+        copied = kept(copy_artifacts(wanted, options.copy_threads), "copied")
         judged = fail_uncopied(judged, copied)
     else:
-        copied = written(assumed_copied(manifest), "copied")
+        copied = kept(assumed_copied(manifest), "copied")
     host = source.host
-    created = written(rw.target_versions(judged, target.versions, host, now), "created")
-    failures = written(rw.version_failures(judged), "failures")
+    created = kept(rw.target_versions(judged, target.versions, host, now), "created")
+    failures = kept(rw.version_failures(judged), "failures")
     models = plan.found.models if options.migrate_models else scope.nothing(plan.found.models)
     fresh = rw.target_models(rw.new_models(models, target.models, options.model_prefix), host, now)
     records = {
@@ -180,8 +187,8 @@ def run_transfer(
         # After the commit: a file that is queued and held as well leaves the queue next time.
         write_queue(retries.next_queue(queue, copied, target.run_artifacts, now), target_path)
     experiments = plan.mapping if options.migrate_experiments else scope.nothing(plan.mapping)
-    summary = rw.migration_summary(models, experiments, created)
-    return Outcome(summary, failures, created, copied, rw.run_failures(mapped), rw.file_failures(copied))
+    summary = kept(rw.migration_summary(models, experiments, created), "summary")
+    return Outcome(summary, failures, created, copied, kept(rw.run_failures(mapped), "run-failures"), rw.file_failures(copied))
 
 
 def migrate_all(
@@ -203,6 +210,15 @@ def migrate_pending(
     With nothing pending and no failed file due, nothing is written and the summary is all zero. The
     tracking table names the models, so the allowlist does not apply.
     """
+    with cleared(store.spark):
+        summary = _pending_transferred(source, target_path, target_host, options, store, commit, copy_files, now)
+        return kept(summary, "summary")
+
+
+def _pending_transferred(
+    source: Snapshot, target_path: str, target_host: str, options: Options,
+    store: TrackingStore, commit: str, copy_files: bool, now: Column | None,
+) -> DataFrame:
     tracking = store.read()
     waiting = pending(tracking, source.host)
     if waiting.isEmpty() and not (copy_files and not retries.due(read_queue(store.spark, target_path), now).isEmpty()):

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,7 +67,53 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    made = f"{shared_folder(spark).rstrip('/')}/{name}-{os.urandom(8).hex()}"
+    for block in _blocks():
+        block[made] = False
+    return made
+
+
+_thread = threading.local()
+
+
+def _blocks() -> list[dict[str, bool]]:
+    """Paths handed out in each open ``cleared`` block of this thread, outermost first, and whether they are kept."""
+    if not hasattr(_thread, "blocks"):
+        _thread.blocks = []
+    return _thread.blocks
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Removes what this thread stages inside the block once it ends; after an error what it kept as well.
+
+    For jobs that leave their results elsewhere: a DataFrame that reads what was staged inside may not be used
+    afterwards, unless :func:`kept` wrote it.
+    """
+    made: dict[str, bool] = {}
+    _blocks().append(made)
+    ended = False
+    try:
+        yield
+        ended = True
+    finally:
+        _blocks().pop()
+        for path, keep in made.items():
+            if not (keep and ended):
+                _remove(spark, path)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`written`, but outlives the innermost ``cleared`` block."""
+    path = scratch_path(df.sparkSession, name)
+    if _blocks():
+        _blocks()[-1][path] = True
+    return _stored(df, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -73,6 +122,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage where a result feeds several jobs; a lost executor then
     costs a read, not a second run.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _stored(df, scratch_path(df.sparkSession, name))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

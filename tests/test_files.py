@@ -2,12 +2,13 @@
 
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from modelferry import Options
+from modelferry import Options, session
 from modelferry.operators import byte_bins, retries, rewrite, upsert
 from modelferry.plans import batched, survey, transfer
 from modelferry.schemas import RETRIES, TRACKING
@@ -553,3 +554,57 @@ def test_batches_copy_files_and_queue_lost_ones(spark, folder):
     batched.migrate_pending_in_batches(source, f"{folder}/target", "https://t", options, store, "c", now=later)
     target = registry.read_registry(spark, f"{folder}/target", "https://t")
     assert target.run_artifacts.count() == 3 and retry_queue.read_queue(spark, f"{folder}/target").count() == 0
+
+
+def test_jobs_leave_only_their_results_in_the_shared_folder(spark, folder, monkeypatch):
+    shared = session.shared_folder(spark)
+    source, options = small.sample_source(spark), Options(skip_existing_versions=True, batch_size=1)
+    spark.createDataFrame([(1,)], "a int").count()
+
+    def left(job):
+        before = set(os.listdir(shared))
+        result = job()
+        return result, sorted(n.rpartition("-")[0] for n in set(os.listdir(shared)) - before)
+
+    done, names = left(lambda: transfer.migrate_all(source, f"{folder}/all", "t", options, "c", copy_files=False))
+    assert names == ["copied", "created", "failures", "run-failures", "summary"]
+    assert done.created_versions.count() == 2 and done.failures.count() == 2 and done.copied.count() > 0
+    assert done.run_failures.count() == done.file_failures.count() == 0 and done.summary.count() == 1
+    for job, path in ((transfer.migrate_pending, "pending"), (batched.migrate_pending_in_batches, "batches")):
+        store = TrackingStore(spark, f"{folder}/tracking-{path}")
+        survey.track_inventory(survey.inventory_report(source, options, "t"), store)
+        for commit in ("one", "two"):  # the second finds nothing to do
+            done, names = left(lambda: job(source, f"{folder}/{path}", "t", options, store, commit, copy_files=False))
+            assert names == ["summary"] and done.first().migrated_models == (2 if commit == "one" else 0)
+
+    def broken(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr(transfer, "write_registry", broken)
+
+    def failing():
+        with pytest.raises(OSError, match="no space"):
+            transfer.migrate_all(source, f"{folder}/broken", "t", options, "c", copy_files=False)
+
+    assert left(failing)[1] == []
+
+
+def test_a_cleared_block_is_of_its_thread(spark):
+    other, rows = [], spark.range(3)
+
+    def elsewhere():
+        other.append(session.written(rows, "other"))
+
+    with session.cleared(spark):
+        gone = session.written(rows, "gone")
+        with session.cleared(spark):
+            stays = session.kept(rows, "inner")
+        assert gone.count() == stays.count() == 3
+        result = session.kept(stays, "outer")
+        thread = threading.Thread(target=elsewhere)
+        thread.start()
+        thread.join()
+    assert result.count() == other[0].count() == 3
+    for df in (gone, stays):
+        with pytest.raises(Exception, match="(?i)not.*exist"):
+            df.count()
