@@ -266,6 +266,23 @@ def test_copy_isolates_failures(spark, tree, folder):
     assert left == []
 
 
+@pytest.mark.parametrize("error, tries", [
+    (FileNotFoundError("Failed to open local file '/in/429/artifacts/a'"), 1),
+    (OSError("When reading 'in/503/artifacts/a': AccessDenied"), 1),
+    (OSError("When reading 'in/503/artifacts/a': HTTP 429"), 6),
+    (OSError("When writing '/to/429/a': TEMPORARILY_UNAVAILABLE"), 6),
+])
+def test_numbers_in_addresses_do_not_ask_for_another_attempt(error, tries):
+    seen = []
+
+    def broken():
+        seen.append(1)
+        raise error
+
+    ok, _, message = file_copy.with_retry(broken, 0.0, "s3://in/503/artifacts/a", "/to/429/a")
+    assert (ok, message, len(seen)) == (False, str(error), tries)
+
+
 def test_retryable_failures_are_tried_again():
     seen = []
 
