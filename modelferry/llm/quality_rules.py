@@ -6,9 +6,8 @@ trusted target (documents labelled good). A document's score is the mean of
 log P(target) - log P(raw) over its n-grams, so length does not count. Every document at
 or above the threshold is kept.
 
-Corpus counts cover all documents. Only what depends on labels, the target multinomial and the
-threshold, is fitted on a bounded sample: at most ``SAMPLE`` labelled documents of each class, those with
-the smallest hash of their id. The threshold is deterministic: the lowest
+Nothing is fitted on a sample: the raw counts cover all documents, the target counts every document labelled good, the
+threshold the scores of every labelled document, counted by steps of ``1 / STEPS``. The threshold is deterministic: the lowest
 score that separates good and bad best, but never above the ``LOSS`` quantile of the good
 ones, so that clean documents stay. Without labels of both classes nothing is rejected by score.
 
@@ -30,9 +29,9 @@ from modelferry.llm.common import chunks, free, mixed, per_text, run_hashes, wor
 
 GRAM = 5
 BUCKETS = 1 << 16
-SAMPLE = 20_000
 LOSS = 0.002
-SEED = 2
+# Steps of a score that the threshold tells apart; scores lie within about 16 of zero, so their counts are few.
+STEPS = 10_000
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -79,6 +78,20 @@ def _repeated_earlier(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray
     return later, any_
 
 
+def mean_ratios(data: np.ndarray, bounds: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+    """The mean log ratio of texts that lie end to end."""
+    buckets = gram_buckets(data)
+    ok = _inside(bounds, len(buckets))
+    sums = np.zeros(len(data) + 1)
+    counts = np.zeros(len(data) + 1)
+    np.cumsum(np.where(ok, ratios[buckets], 0.0), out=sums[1:len(buckets) + 1])
+    np.cumsum(ok, out=counts[1:len(buckets) + 1])
+    sums[len(buckets) + 1:] = sums[len(buckets)]
+    counts[len(buckets) + 1:] = counts[len(buckets)]
+    grams = counts[bounds[1:]] - counts[bounds[:-1]]
+    return np.where(grams > 0, (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(grams, 1), 0.0)
+
+
 def measure(data: np.ndarray, bounds: np.ndarray, ratios: np.ndarray | None) -> dict[str, np.ndarray]:
     """The rule counts and mean log ratio of texts that lie end to end."""
     n = len(bounds) - 1
@@ -115,18 +128,7 @@ def measure(data: np.ndarray, bounds: np.ndarray, ratios: np.ndarray | None) ->
         np.add.at(cover, whole[twice] + WINDOW, -1)
         repeat = np.bincount(owner[np.cumsum(cover[:-1]) > 0], minlength=n)
 
-    llr = np.zeros(n)
-    if ratios is not None:
-        buckets = gram_buckets(data)
-        ok = _inside(bounds, len(buckets))
-        sums = np.zeros(len(data) + 1)
-        counts = np.zeros(len(data) + 1)
-        np.cumsum(np.where(ok, ratios[buckets], 0.0), out=sums[1:len(buckets) + 1])
-        np.cumsum(ok, out=counts[1:len(buckets) + 1])
-        sums[len(buckets) + 1:] = sums[len(buckets)]
-        counts[len(buckets) + 1:] = counts[len(buckets)]
-        grams = counts[bounds[1:]] - counts[bounds[:-1]]
-        llr = np.where(grams > 0, (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(grams, 1), 0.0)
+    llr = np.zeros(n) if ratios is None else mean_ratios(data, bounds, ratios)
     return {
         "n_words": n_words, "word_chars": per_text(letters, bounds),
         "n_symbols": per_text(_SYMBOL[data], bounds),
@@ -148,24 +150,33 @@ def measured(text: Column, ratios: np.ndarray | None) -> Column:
     return run(text)
 
 
-def labelled_sample(labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """At most ``limit`` labelled ids of each class, by smallest hash."""
-    known = labels.where("doc_id is not null and quality in (0, 1)").select(
+def scores(text: Column, ratios: np.ndarray) -> Column:
+    """The mean log ratio of a text alone, as :func:`measured` gives it."""
+
+    @F.pandas_udf(T.DoubleType())
+    def run(texts: pd.Series) -> pd.Series:
+        parts = [np.round(mean_ratios(data, bounds, ratios), 9) for _, data, bounds in chunks(pa.array(texts, pa.string()))]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return run(text)
+
+
+def labelled_sample(labels: DataFrame) -> DataFrame:
+    """Every labelled id and its class, bad where labels differ."""
+    return labels.where("doc_id is not null and quality in (0, 1)").select(
         F.col("doc_id").cast("long").alias("sample_id"), F.col("quality").cast("int").alias("sample_quality")
     ).groupBy("sample_id").agg(F.min("sample_quality").alias("sample_quality"))
-    order = [F.xxhash64(F.lit(SEED), "sample_id"), F.col("sample_id")]
-    return known.where("sample_quality = 1").orderBy(*order).limit(limit).unionByName(
-        known.where("sample_quality = 0").orderBy(*order).limit(limit))
 
 
 def bucket_counts(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     """Counts by bucket: row 0 of all documents, row 1 of the trusted ones.
 
-    A task sends one row a bucket, so what reaches the driver is bounded by the buckets.
+    A task sends one row a bucket, so what reaches the driver is bounded by the buckets. Spark broadcasts the ids
+    where they are few, and deals texts and ids by id where they are not.
     """
     trusted = sample.where("sample_quality = 1").select("sample_id", F.lit(True).alias("trusted"))
     marked = docs.select("doc_id", "text").join(
-        F.broadcast(trusted), F.col("doc_id") == F.col("sample_id"), "left"
+        trusted, F.col("doc_id") == F.col("sample_id"), "left"
     ).select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
     def count(batches):
@@ -196,31 +207,49 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return (np.log(p[1]) - np.log(p[0])).astype(np.float32)
 
 
-def best_threshold(good: np.ndarray, bad: np.ndarray, loss: float = LOSS) -> float:
-    """The cut that separates best, at most the ``loss`` quantile of the good scores."""
+def best_threshold(
+    good: np.ndarray, bad: np.ndarray, loss: float = LOSS, n_good: np.ndarray | None = None, n_bad: np.ndarray | None = None,
+) -> float:
+    """The cut that separates best, at most the ``loss`` quantile of the good scores. ``n_good`` and ``n_bad`` say how often each score occurs."""
     if not len(good) or not len(bad):
         return float("-inf")
-    cap = float(np.quantile(good, loss, method="lower"))
-    cuts = np.unique(np.append(good[good <= cap], cap))
+    good, more_good = _counted(good, n_good)
+    bad, more_bad = _counted(bad, n_bad)
+    cap = float(good[np.searchsorted(more_good[1:], int(loss * (more_good[-1] - 1)), "right")])
+    cuts = good[good <= cap]
     # Rejected bad ones count for, rejected good ones against; ties go to the lower cut.
-    gain = np.searchsorted(np.sort(bad), cuts) / len(bad) - np.searchsorted(np.sort(good), cuts) / len(good)
+    gain = more_bad[np.searchsorted(bad, cuts)] / more_bad[-1] - more_good[np.searchsorted(good, cuts)] / more_good[-1]
     cut = float(cuts[int(np.argmax(gain))])
-    # Half-way to the bad ones below, so that good ones a little under the sampled ones stay.
+    # Half-way to the bad ones below, so that good ones a little under the labelled ones stay.
     below = bad[bad < cut]
     return (cut + float(below.max())) / 2 if len(below) else float("-inf")
 
 
+def _counted(values: np.ndarray, n: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how many lie below each and in all."""
+    distinct, place = np.unique(values, return_inverse=True)
+    return distinct, np.append(0, np.cumsum(np.bincount(place, n).astype(np.int64)))
+
+
+def score_counts(docs: DataFrame, labelled: DataFrame, ratios: np.ndarray) -> DataFrame:
+    """How many labelled documents of each class (``sample_quality``) have a score of that ``step``.
+
+    All are scored where they lie, and scores, not texts, meet the labels. Of rows that share an id the lowest score counts.
+    """
+    scored = docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long").alias("sample_id"), scores(F.col("text"), ratios).alias("llr")
+    ).groupBy("sample_id").agg(F.min("llr").alias("llr"))
+    return scored.join(labelled, "sample_id").groupBy(
+        "sample_quality", F.floor(F.col("llr") * STEPS).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """Log ratios by bucket and the threshold. Of rows that share a sampled id the lowest score counts."""
-    sample = labelled_sample(labels)
-    ratios = log_ratios(bucket_counts(docs, sample))
-    scored = docs.select("doc_id", "text").join(
-        F.broadcast(sample), F.col("doc_id") == F.col("sample_id")
-    ).select("sample_id", "sample_quality", measured(F.col("text"), ratios)["llr"].alias("llr")).groupBy(
-        "sample_id", "sample_quality").agg(F.min("llr").alias("llr")).collect()
-    good = np.array([r.llr for r in scored if r.sample_quality == 1])
-    bad = np.array([r.llr for r in scored if r.sample_quality == 0])
-    return ratios, best_threshold(good, bad)
+    """Log ratios by bucket and the threshold."""
+    labelled = labelled_sample(labels)
+    ratios = log_ratios(bucket_counts(docs, labelled))
+    rows = score_counts(docs, labelled, ratios).collect()
+    found = [np.array([(r.step / STEPS, r.n) for r in rows if r.sample_quality == q]).reshape(-1, 2) for q in (1, 0)]
+    return ratios, best_threshold(found[0][:, 0], found[1][:, 0], n_good=found[0][:, 1], n_bad=found[1][:, 1])
 
 
 def judge(docs: DataFrame, labels: DataFrame, name: str = "rules") -> DataFrame:

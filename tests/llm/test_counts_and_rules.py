@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from modelferry.llm import quality_rules as Q
 from modelferry.llm.common import chunks, prepare
@@ -64,6 +65,30 @@ def test_threshold_keeps_good_ones():
     assert -1 < Q.best_threshold(good, np.full(9, -1.0)) < 0
 
 
+def test_counted_scores_give_the_threshold_of_all(spark):
+    rng = np.random.default_rng(3)
+    good, bad = np.round(rng.normal(0.5, 0.3, 5000), 2), np.round(rng.normal(-0.5, 0.5, 3000), 2)
+    (g, n), (b, m) = (np.unique(x, return_counts=True) for x in (good, bad))
+    cut = Q.best_threshold(good, bad, 0.05)
+    assert cut == Q.best_threshold(g, b, 0.05, n, m) and (good < cut).mean() <= 0.05 and (bad < cut).mean() > 0.4
+
+
+def test_every_label_counts(spark):
+    """More labelled documents of a class than any bound there was."""
+    prepare(spark)
+    n = 20_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality")).unionByName(
+        docs.where("doc_id < 100").select("doc_id", F.lit(0).alias("quality")))
+    labelled = Q.labelled_sample(labels)
+    counts = Q.bucket_counts(docs, labelled)
+    assert labelled.count() == n
+    grams = lambda start: sum(len(f"text {i}") - Q.GRAM + 1 for i in range(start, n))
+    assert counts.sum(axis=1).tolist() == [grams(0), grams(100)]
+    found = Q.score_counts(docs, labelled, Q.log_ratios(counts)).groupBy("sample_quality").agg(F.sum("n").alias("n")).collect()
+    assert {r.sample_quality: r.n for r in found} == {1: n - 100, 0: 100}
+
+
 def test_verdicts_take_effect_and_keep_columns(spark):
     prepare(spark)
     fine = [(i, f"the quick brown fox number {i} jumps over lazy dogs and cats near river {i * 7}", "s", i) for i in range(60)]
