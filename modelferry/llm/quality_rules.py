@@ -171,12 +171,12 @@ def labelled_sample(labels: DataFrame) -> DataFrame:
 def bucket_counts(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     """Counts by bucket: row 0 of all documents, row 1 of the trusted ones.
 
-    A task sends one row a bucket, so what reaches the driver is bounded by the buckets. Spark broadcasts the ids
-    where they are few, and deals texts and ids by id where they are not.
+    A task sends one row a bucket, so what reaches the driver is bounded by the buckets. Texts and ids are dealt
+    by id at any size, as labels grow with the documents and would not stay small enough to broadcast.
     """
     trusted = sample.where("sample_quality = 1").select("sample_id", F.lit(True).alias("trusted"))
     marked = docs.select("doc_id", "text").join(
-        trusted, F.col("doc_id") == F.col("sample_id"), "left"
+        trusted.hint("merge"), F.col("doc_id") == F.col("sample_id"), "left"
     ).select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
     def count(batches):
