@@ -1,11 +1,11 @@
 """One row by model: what there is to migrate.
 
-Every version is laid out as a few entries (its totals, stage, users,
-experiment, message). Entries are deduplicated by (model, kind, value) before
-anything is gathered by model, so that the versions of a large model are summed
-all over the cluster, and only distinct texts meet in the task that joins them.
-Comments, one for each blocked version, are joined by segments of versions first.
-Requirement texts are long: entries hold the run that has them, and the text is
+Only a version's name, number and run go to the runs; its experiment's facts are
+looked up by the runs, which are fewer. What a version says itself and what its run
+says are two narrow rows that move once, to the segment of the model's versions.
+Each segment keeps sums, distinct values and joined comments, so that the versions of
+a large model are gathered all over the cluster, and segments are merged by model.
+Requirement texts are long: rows hold the run that has them, and the text is
 looked up for the one run that is left by model.
 """
 
@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from modelferry.functions.names import normalize_host
 from modelferry.functions.status import BAD_MARK, ERROR_PREFIX, PENDING, OK_MARK, WARN_MARK, readiness
-from modelferry.functions.text import cut, first_user, joined_sorted
+from modelferry.functions.text import cut, joined_sorted
 from modelferry.functions.times import day_text, minute_text
-from modelferry.operators.counts import runs_per_experiment, with_counts
+from modelferry.operators.counts import COUNTS, runs_per_experiment, with_counts
 from modelferry.operators.joins import outer_lookup
 from modelferry.operators.long_texts import PART, in_order, part_of
-from modelferry.operators.references import BLOCKED, READY, RUN_MISSING, experiment_label, version_states
+from modelferry.operators.references import BLOCKED, RUN_MISSING, experiment_label, version_states
 from modelferry.operators.scope import lifecycle
 from modelferry.options import Options
 from modelferry.schemas import TRACKING, Snapshot
@@ -37,52 +37,9 @@ NAME_SEPARATOR = " | "
 COMMENT_SEPARATOR = "; "
 NO_STAGE = "None"
 
-_TOTALS, _STAGE, _OWNER, _EXPERIMENT = "totals", "stage", "owner", "experiment"
-_COMMENT, _FLAVORS, _PYTHON, _REQUIREMENTS = "comment", "flavors", "python", "requirements"
-
-
-def _entries(states: DataFrame, with_metadata: bool) -> Column:
-    experiment_type = states.schema["experiment_id"].dataType
-    no_text, no_order = F.lit(None).cast("string"), F.lit(None).cast("int")
-    no_experiment = F.lit(None).cast(experiment_type)
-
-    def entry(kind: str, text: Column = no_text, order: Column = no_order,
-              experiment: Column = no_experiment) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), text.alias("text"),
-            order.alias("nth"), experiment.alias("experiment_id"),
-        )
-
-    found = F.col("run_state") == READY
-    message = F.concat(
-        F.lit("v"), F.col("version").cast("string"), F.lit(": "),
-        cut(F.lit(RUN_MISSING), VERSION_MESSAGE),
-    )
-    owner = first_user(F.col("run_user"), F.col("user_id"))
-    laid_out = [
-        entry(_TOTALS),
-        entry(_STAGE, F.nullif(F.nullif(F.col("stage"), F.lit("")), F.lit(NO_STAGE))),
-        entry(_OWNER, F.nullif(F.col("user_id"), F.lit(""))),
-        entry(_OWNER, F.when(found, F.nullif(owner, F.lit("")))),
-        entry(_EXPERIMENT, experiment=F.when(found, F.col("experiment_id"))),
-        entry(_COMMENT, F.when(F.col("run_state") == BLOCKED, message), F.col("version")),
-    ]
-    if with_metadata:
-        flavors = F.nullif(F.col("flavors"), F.lit(""))
-        laid_out += [
-            entry(_FLAVORS, flavors),
-            entry(_PYTHON, F.nullif(F.col("python_version"), F.lit(""))),
-            entry(_REQUIREMENTS, F.when(flavors.isNotNull(), F.col("run_id").cast("string")), F.col("version")),
-        ]
-    return F.array(*laid_out)
-
-
-def _texts(kind: str) -> Column:
-    return F.collect_list(F.when(F.col("kind") == kind, F.col("text")))
-
 
 def _experiment_facts(snapshot: Snapshot, options: Options, in_reach: DataFrame | None) -> DataFrame:
-    """Name and number of runs of every experiment; 0 runs when out of reach."""
+    """One row by experiment: how often it is listed, its names, and its runs (0 when out of reach) as often as it is listed."""
     runs = lifecycle(snapshot.runs, options.include_deleted_runs)
     per_experiment = runs_per_experiment(runs, options.max_runs_per_experiment)
     if not options.migrate_experiments:
@@ -91,74 +48,98 @@ def _experiment_facts(snapshot: Snapshot, options: Options, in_reach: DataFrame
         per_experiment = per_experiment.join(
             in_reach.select("experiment_id"), "experiment_id", "left_semi"
         )
-    return snapshot.experiments.select("experiment_id", F.col("name").alias("_name")).join(
-        per_experiment, "experiment_id", "left"
+    label = experiment_label(F.col("name"), F.col("experiment_id"))
+    listed = snapshot.experiments.where(F.col("experiment_id").isNotNull()).groupBy("experiment_id").agg(
+        F.count(F.lit(1)).alias("_listed"), F.collect_set(label).alias("_names"))
+    return listed.join(per_experiment, "experiment_id", "left").select(
+        "experiment_id", "_listed", (F.col("_listed") * F.coalesce("runs", F.lit(0))).alias("_runs"),
+        F.get("_names", F.lit(0)).alias("_name"),
+        F.when(F.size("_names") > 1, F.slice("_names", 2, F.size("_names") - 1)).alias("_more_names"),
     )
 
 
-def _by_model(
+def _laid_out(
     snapshot: Snapshot, counts: DataFrame, options: Options,
     in_reach: DataFrame | None, metadata: DataFrame | None,
 ) -> DataFrame:
-    runs = with_counts(snapshot.runs.select("run_id", "experiment_id", "run_user"), counts)
+    """Two narrow rows by version: what it says itself, and what its run says; what the other says is null."""
+    facts = _experiment_facts(snapshot, options, in_reach)
+    runs = with_counts(
+        outer_lookup(snapshot.runs.select("run_id", "experiment_id", "run_user"), facts, ["experiment_id"], ["run_id"]), counts)
     if metadata is not None:
         runs = runs.join(metadata.select("run_id", "flavors", "python_version"), "run_id", "left")
-    states = version_states(
-        snapshot.versions.select("model_name", "version", "run_id", "user_id", "stage", "creation_ms"),
-        runs,
-    )
-    blocked = (F.col("run_state") == BLOCKED).cast("bigint")
-    laid = states.select(
-        "model_name", F.explode(_entries(states, metadata is not None)).alias("e"),
-        "creation_ms", blocked.alias("blocked"), "params", "metrics", "model_files",
-    ).select("model_name", "e.*", "creation_ms", "blocked", "params", "metrics", "model_files")
-    present = laid.where(
-        (F.col("kind") == _TOTALS) | F.col("text").isNotNull() | F.col("experiment_id").isNotNull()
+    part = part_of(F.col("version")).alias(PART)
+    own = snapshot.versions.select(
+        "model_name", part, F.nullif(F.nullif(F.col("stage"), F.lit("")), F.lit(NO_STAGE)).alias("stage"),
+        F.nullif(F.col("user_id"), F.lit("")).alias("owner"), "creation_ms",
     )
-    distinct = present.groupBy("model_name", "kind", "text", "nth", "experiment_id").agg(
-        F.count(F.lit(1)).alias("versions"), F.sum("blocked").alias("blocked"),
-        F.sum("params").alias("params"), F.sum("metrics").alias("metrics"),
-        F.sum("model_files").alias("files"), F.max("creation_ms").alias("creation_ms"),
+    # A found run without a user counts as the version's user's, who is there already.
+    states = version_states(snapshot.versions.select("model_name", "version", "run_id"), runs)
+    blocked = F.col("run_state") == BLOCKED
+    of_run = [
+        "model_name", part, F.nullif(F.col("run_user"), F.lit("")).alias("owner"), F.lit(1).alias("versions"),
+        F.when(blocked, F.col("version")).alias("blocked_version"), blocked.cast("int").alias("blocked"),
+        *[F.nullif(F.col(c), F.lit(0)).alias(c) for c in COUNTS],
+        "experiment_id", "_listed", "_runs", "_name", "_more_names",
+    ]
+    if metadata is not None:
+        flavors = F.nullif(F.col("flavors"), F.lit(""))
+        described = flavors.isNotNull() & F.col("version").isNotNull()
+        of_run += [
+            flavors.alias("flavors"), F.nullif(F.col("python_version"), F.lit("")).alias("python_version"),
+            F.when(described, F.struct("version", F.col("run_id").cast("string").alias("run_id"))).alias("described"),
+        ]
+    return states.select(*of_run).unionByName(own, allowMissingColumns=True)
+
+
+def _merged(column: str) -> Column:
+    """Aggregate: the distinct elements of arrays."""
+    return F.array_distinct(F.flatten(F.collect_list(column)))
+
+
+def _by_model(
+    snapshot: Snapshot, counts: DataFrame, options: Options,
+    in_reach: DataFrame | None, metadata: DataFrame | None,
+) -> DataFrame:
+    laid = _laid_out(snapshot, counts, options, in_reach, metadata)
+    sums = ["versions", "blocked", *COUNTS]
+    sets = {"stages": "stage", "owners": "owner"}
+    if metadata is not None:
+        sets |= {"flavors": "flavors", "python_version": "python_version"}
+    latest = {"latest_ms": "creation_ms"} | ({"described": "described"} if metadata is not None else {})
+    experiment = F.when(F.col("experiment_id").isNotNull(), F.struct(
+        "experiment_id", F.coalesce("_listed", F.lit(1)).alias("listed"), F.coalesce("_runs", F.lit(0)).alias("runs"),
+        experiment_label(F.col("_name"), F.col("experiment_id")).alias("name"), F.col("_more_names").alias("more")))
+    lost = F.array_sort(F.collect_set("blocked_version"))
+    comments = F.array_join(F.transform(lost, lambda v: F.concat(
+        F.lit("v"), v.cast("string"), F.lit(": "), cut(F.lit(RUN_MISSING), VERSION_MESSAGE))), COMMENT_SEPARATOR)
+    # Moved as they are: rows of a part are hardly ever in one task before, so summing them up there saves nothing.
+    parts = laid.repartition("model_name", PART).groupBy("model_name", PART).agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(name) for name, c in latest.items()],
+        *[F.collect_set(c).alias(name) for name, c in sets.items()], F.collect_set(experiment).alias("used"),
+        F.nullif(comments, F.lit("")).alias("comments"),
     )
-    # Only one kind of entry has an experiment.
-    labelled = outer_lookup(
-        distinct, _experiment_facts(snapshot, options, in_reach), ["experiment_id"],
-        ["model_name", "kind", "text", "nth"],
+    merged = parts.repartition("model_name").groupBy("model_name").agg(
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in latest],
+        *[_merged(c).alias(c) for c in (*sets, "used")],
+        in_order(F.col(PART), F.col("comments"), COMMENT_SEPARATOR).alias("comments"),
     )
 
-    def total(column: str) -> Column:
-        return F.sum(F.when(F.col("kind") == _TOTALS, F.col(column)))
+    def total(field: str) -> Column:
+        return F.aggregate("used", F.lit(0).cast("bigint"), lambda so_far, e: so_far + e[field])
 
-    is_experiment = F.col("kind") == _EXPERIMENT
-    name = experiment_label(F.col("_name"), F.col("experiment_id"))
-    comment = F.when(F.col("kind") == _COMMENT, F.col("text"))
+    names = F.flatten(F.transform("used", lambda e: F.concat(
+        F.array(e["name"]), F.coalesce(e["more"], F.array().cast("array<string>")))))
+    separators = {"flavors": NAME_SEPARATOR}
     columns = [
-        total("versions").alias("versions"), total("blocked").alias("blocked"),
-        total("params").alias("params"), total("metrics").alias("metrics"),
-        total("files").alias("files"), F.max("creation_ms").alias("latest_ms"),
-        F.count_if(is_experiment).alias("experiment_count"),
-        F.sum("runs").alias("runs"),
-        joined_sorted(_texts(_STAGE), LIST_SEPARATOR).alias("stages"),
-        joined_sorted(_texts(_OWNER), LIST_SEPARATOR).alias("owners"),
-        joined_sorted(F.collect_set(F.when(is_experiment, name)), NAME_SEPARATOR).alias("experiment_names"),
-        in_order(F.col("nth"), comment, COMMENT_SEPARATOR).alias("comments"),
+        "model_name", "versions", "blocked", "params", "metrics", F.col("model_files").alias("files"), "latest_ms", "comments",
+        total("listed").alias("experiment_count"), total("runs").alias("runs"),
+        joined_sorted(F.array_distinct(names), NAME_SEPARATOR).alias("experiment_names"),
+        *[joined_sorted(F.col(c), separators.get(c, LIST_SEPARATOR)).alias(c) for c in sets],
     ]
     if metadata is not None:
-        columns += [
-            joined_sorted(_texts(_FLAVORS), NAME_SEPARATOR).alias("flavors"),
-            joined_sorted(_texts(_PYTHON), LIST_SEPARATOR).alias("python_version"),
-            F.max_by("text", F.when(F.col("kind") == _REQUIREMENTS, F.col("nth"))).alias("described_run"),
-        ]
-    # Everything but comments is in one part, so the other texts of a part are those of the model.
-    part = F.when(F.col("kind") == _COMMENT, part_of(F.col("nth")))
-    parts = labelled.groupBy("model_name", part.alias(PART)).agg(*columns)
-    sums = ["versions", "blocked", "params", "metrics", "files", "experiment_count", "runs"]
-    texts = [c for c in parts.columns if c not in ["model_name", PART, "latest_ms", "comments", *sums]]
-    return parts.groupBy("model_name").agg(
-        *[F.sum(c).alias(c) for c in sums], F.max("latest_ms").alias("latest_ms"),
-        *[F.max(F.when(F.col(PART).isNull(), F.col(c))).alias(c) for c in texts],
-        in_order(F.col(PART), F.col("comments"), COMMENT_SEPARATOR).alias("comments"),
-    )
+        columns.append(F.col("described.run_id").alias("described_run"))
+    return merged.select(*columns)
 
 
 def inventory(

@@ -246,3 +246,51 @@ def test_versions_meet_made_ones_by_source_name(spark, prefix):
     found = rewrite.new_versions(source.versions, made, small.HOST, prefix, True)
     assert sorted((r.model_name, r.version, r.target_model) for r in found.where("model_name like 'm_'").collect()) == [
         ("m1", 2, f"{prefix}m1"), ("m1", 3, f"{prefix}m1"), ("m2", 1, f"{prefix}m2")]
+
+
+def test_an_inventory_moves_two_narrow_rows_by_version(spark):
+    """Nothing but sums and distinct values is gathered by model, and what a version says itself does not go to its run."""
+    source = small.sample_source(spark)
+    lines = survey.inventory_report(source, Options(), "t")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in lines if "Generate" in line]
+    moved = [line for line in lines if "RepartitionByExpression" in line]
+    assert len(moved) == 2 and "part" in moved[1] and "part" not in moved[0].split("RepartitionByExpression")[1]
+
+
+def test_inventory_of_experiments_and_runs_listed_twice(spark):
+    """An experiment counts as often as it is listed, with its runs; so does a version whose run is listed twice."""
+    source = small.registry(
+        spark, models=[{"model_name": "a"}, {"model_name": "b"}],
+        experiments=[{"experiment_id": "e", "name": "/e"}, {"experiment_id": "e", "name": "/d"}, {"experiment_id": "f", "name": "/f"}],
+        runs=[{"run_id": "r1", "experiment_id": "e", "lifecycle": "active", "run_user": "w"},
+              {"run_id": "r2", "experiment_id": "f", "lifecycle": "active"}, {"run_id": "r2", "experiment_id": "f", "lifecycle": "active"},
+              {"run_id": "r3", "experiment_id": "gone", "lifecycle": "active"}, {"run_id": "r4", "lifecycle": "active", "run_user": ""}],
+        run_params=[{"run_id": "r2", "key": "k", "value": "v"}],
+        versions=[{"model_name": "a", "version": v, "run_id": r, "user_id": u, "stage": s} for v, r, u, s in (
+            (1, "r1", "u", "None"), (2, "r2", "", "Staging"), (3, "r3", None, ""), (4, "r4", "x", None), (5, None, "u", "Staging"),
+            (5000, "lost", "z", None), (6, "lost", "z", None), (6, "lost", "z", None))])
+    rows = {r.model_name: r for r in survey.inventory_report(source, Options(), "t").collect()}
+    a, b = rows["a"], rows["b"]
+    assert (a.source_versions, a.source_versions_blocked, a.source_experiments, a.source_runs, a.source_params) == (9, 3, 4, 4, 2)
+    assert (a.stages, a.owner_emails, a.experiments) == ("Staging", "u, w, x, z", "(id: gone) | /d | /e | /f")
+    assert a.discovery_comments == "v6: run missing; v5000: run missing"
+    assert (b.source_versions, b.stages, b.owner_emails, b.experiments, b.discovery_comments) == (0, "None", "", "", None)
+
+
+def test_versions_are_numbered_before_they_are_named(spark):
+    """The same rows as the view's, with parts listed twice or without a key, and no name below the window."""
+    line = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+    rows = [(o, p, o % 3, n, 1.0, float(-o), 0.0, 0.0, "RAN"[o % 3], "FO"[n % 2], None)
+            for o in (1, 2, 2, 9) for n in (1, 7) for p in (1, 2, 3, None)]
+    lines = spark.createDataFrame(rows, line)
+    parts = spark.createDataFrame([(1, "a b", "t"), (2, "c", "t"), (2, "c", "t"), (4, "d", "t"), (None, "e", "t"), (3, None, "t")],
+                                  "p_partkey long, p_name string, p_type string")
+    models = parts.sparkSession.sql(fx.VIEWS["models"].replace("FROM part", "FROM {part}"), part=parts)
+    sql = fx.VIEWS["versions"].replace("FROM lineitem JOIN models m", "FROM {lineitem} JOIN {models} m")
+    plain = spark.sql(sql, lineitem=lines, models=models)
+    made = fx.numbered_versions(lines, models)
+    assert made.schema == plain.schema and made.count() == plain.count() > 0
+    assert made.exceptAll(plain).isEmpty() and plain.exceptAll(made).isEmpty()
+    text = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_name" not in text[text.index("Window"):].split("Aggregate")[0]
