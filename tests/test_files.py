@@ -625,3 +625,17 @@ def test_a_cleared_block_is_of_its_thread(spark):
     for df in (gone, stays):
         with pytest.raises(Exception, match="(?i)not.*exist"):
             df.count()
+
+
+def test_joined_files_are_written_row_by_row(spark, folder):
+    """Python gets a row by text; files hold the texts in order, without the null ones."""
+    from checks.queries import write_joined
+
+    rows = [("a", 3, "z"), ("a", 1, ""), ("a", 2, None), ("a", 1, "y"), ("b", 1, None), ("c", 2, ""), ("c", 1, ""), ("d", None, "n"), ("d", 0, "\u00e9")]
+    texts = spark.createDataFrame([(f"{folder}/x/{a}", n, t) for a, n, t in rows], "address string, doc_id long, text string")
+    assert write_joined(texts, ["doc_id", "text"]) == len(rows)
+    plain = texts.groupBy("address").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("held")).select(
+        "address", F.array_join("held.text", "\n").alias("text"))
+    for row in plain.collect():
+        with open(row.address, encoding="utf-8", newline="") as file:
+            assert file.read() == row.text, row.address
