@@ -12,7 +12,7 @@ from modelferry.functions.status import (
 )
 from modelferry.functions.text import cut, joined_sorted
 from modelferry.operators.counts import COUNTS, with_counts
-from modelferry.operators.joins import outer_lookup
+from modelferry.operators.joins import outer_lookup, parted_lookup
 from modelferry.operators.long_texts import cells, text_parts
 from modelferry.schemas import Snapshot
 
@@ -113,7 +113,7 @@ def target_rollup(target: Snapshot, counts: DataFrame, host: str, target_host: s
     """
     made = tagged_versions(target.versions).where(F.col("source_host") == normal_host(host))
     runs = with_counts(target.runs.select("run_id", "experiment_id"), counts)
-    looked = outer_lookup(
+    looked = parted_lookup(
         made.select("model_name", "version", "run_id"), runs, ["run_id"], ["model_name", "version"]
     )
     pairs = looked.groupBy("model_name", "experiment_id").agg(
