@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from modelferry.operators import joins, reconcile, rewrite
+from modelferry.operators import joins, long_texts, reconcile, rewrite
 from tests import small
 
 HOST = small.HOST
@@ -121,3 +121,16 @@ def test_a_rollup_moves_name_and_run(spark, folder):
     assert sorted(tuple(r) for r in rolled.collect()) == [
         ("a", 4, 2, 3, 4, "https://t/ml/experiments/e | https://t/ml/experiments/f"), ("b", 1, 0, 0, 0, None)]
     assert "xxhash64" not in plan(rolled)
+
+
+def test_failures_move_once_and_as_rows(spark):
+    failures = spark.createDataFrame(
+        [("a", v, f"reason {v}" if v % 2 else None) for v in (9000, 1, 3, 2)] + [("b", 2, None), ("c", None, "late")],
+        "model_name string, version int, reason string")
+    parts = reconcile.failure_parts(failures)
+    assert parts.columns == ["model_name", long_texts.PART, "rows", "text"]
+    assert sorted(((r.model_name, r.part, r.rows, r.text) for r in parts.collect()), key=str) == [
+        ("a", 0, 3, "reason 1; reason 3"), ("a", 2, 1, None), ("b", 0, 1, None), ("c", None, 1, "late")]
+    assert "ENSURE_REQUIREMENTS" not in plan(parts)
+    steps = parts._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")
+    assert len(steps) == 2 and "Aggregate" in steps[0] and "Aggregate" not in steps[1]
