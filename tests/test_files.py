@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from checks import queries
 from modelferry import Options, session
 from modelferry.operators import byte_bins, retries, rewrite, upsert
 from modelferry.plans import batched, survey, transfer
@@ -639,3 +640,32 @@ def test_joined_files_are_written_row_by_row(spark, folder):
     for row in plain.collect():
         with open(row.address, encoding="utf-8", newline="") as file:
             assert file.read() == row.text, row.address
+
+
+def test_files_are_copied_in_rounds(spark, folder, monkeypatch):
+    """No round's files wait for the next, a run is in one round, and every file of every text is copied."""
+    ids = [*range(47), *range(60, 200, 3)]
+    texts = {n: "é" * (n % 5) + "x" * n for n in ids}
+    spark.createDataFrame(
+        [(n, texts[n], "en", f"s{n % 3}", len(texts[n])) for n in ids], "doc_id long, text string, lang string, source string, n_chars long"
+    ).write.parquet(f"{folder}/documents.parquet")
+    places, rounds, write = [], [], queries.write_texts
+
+    def path_of(spark, name, make=queries.scratch_path):
+        places.append(make(spark, name))
+        return places[-1]
+
+    def noted(files):
+        assert not any(os.path.exists(p) for p in places if "/tree-" in p or "/moved-" in p)
+        rounds.append({r.address.split("/artifacts/")[0].rsplit("/", 1)[1] for r in files.collect()})
+        return write(files)
+
+    monkeypatch.setattr(queries, "FILES_AT_ONCE", 20)
+    monkeypatch.setattr(queries, "write_texts", noted)
+    monkeypatch.setattr(queries, "scratch_path", path_of)
+    got = sorted(tuple(r) for r in queries.all_queries()["artifact_copy"](spark, folder).collect())
+    name = {0: "model/MLmodel", 1: "model/code/pkg/__init__.py", 3: "model/MLmodel", 4: "model/.cfg"}
+    assert got == sorted(
+        (str(n // 3), name.get(n % 6, f"plots/_a/b/s{n % 3}.png"), True, size, size) for n in ids for size in [len(texts[n].encode())])
+    assert len(rounds) == 5 and sum(len(r) for r in rounds) == len(set().union(*rounds)) == len({n // 3 for n in ids})
+    assert not any(os.path.exists(p) for p in places if "/tree-" in p or "/moved-" in p)
