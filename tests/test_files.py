@@ -3,6 +3,7 @@
 import json
 import os
 import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -642,6 +643,38 @@ def test_joined_files_are_written_row_by_row(spark, folder):
             assert file.read() == row.text, row.address
 
 
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for k in range(found.size()) if (name := found.apply(k).getName()).startswith("shuffle_")}
+
+
+def _settled(look, done, seconds=20):
+    """What ``look`` gives once ``done``; files are removed a little after the write."""
+    ends = time.time() + seconds
+    while not done(found := look()) and time.time() < ends:
+        time.sleep(0.1)
+    return found
+
+
+def test_what_is_staged_leaves_no_shuffle_files(spark, folder):
+    before = spark.conf.get(session.SHUFFLES_SETTING)
+    rows = spark.range(5000).withColumn("k", F.col("id") % 701)
+    sums = rows.join(rows.groupBy("k").agg(F.sum("id").alias("total")).hint("shuffle_merge"), "k").groupBy("total").count()
+    there = _shuffle_files(spark)
+    staged = session.written(sums, "sums")
+    assert not _settled(lambda: _shuffle_files(spark) - there, lambda left: not left)
+    records = {"models": sums.select(F.col("total").cast("string").alias("model_name"))}
+    registry.write_registry(records, f"{folder}/registry", small.HOST, "one")
+    retry_queue.write_queue(spark.createDataFrame([], RETRIES).repartition(3, "path"), f"{folder}/registry")
+    assert not _settled(lambda: _shuffle_files(spark) - there, lambda left: not left)
+    # The plan can be used again, and the setting is as it was.
+    assert sorted(staged.collect()) == sorted(sums.collect()) == sorted(session.written(sums, "again").collect())
+    assert spark.conf.get(session.SHUFFLES_SETTING) == before
+    with pytest.raises(ValueError), session.shuffles_dropped(spark):
+        raise ValueError
+    assert spark.conf.get(session.SHUFFLES_SETTING) == before
+
+
 def test_files_are_copied_in_rounds(spark, folder, monkeypatch):
     """No round's files wait for the next, a run is in one round, and every file of every text is copied."""
     ids = [*range(47), *range(60, 200, 3)]
